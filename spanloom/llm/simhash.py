@@ -239,7 +239,13 @@ def near_duplicate_classes(
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id names their near-duplicate class; of rows that repeat an id, one stays."""
+    """The rows of ``docs`` whose id names their near-duplicate class; of rows that repeat an id, one stays.
+
+    Which of them stays is decided by a hash of the row, so reruns agree.
+    """
     keep = near_duplicate_classes(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id")))
     ids = keep.select(F.col(id_col).alias("__kept")).distinct()
-    return docs.dropDuplicates([id_col]).join(ids, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
+    hashed = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    left = docs.join(ids, docs[id_col].eqNullSafe(ids["__kept"]), "left_semi")
+    one = left.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row"))
+    return one.select("row.*")
