@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 FALLBACK = -20.0
-MAX_NODES = 400_000
+MAX_NODES = 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -35,66 +35,95 @@ def load_pieces(path: str = "/opt/tokenizers/piece_bpe_32k.model") -> dict[str,
 
 
 class Trie:
-    """Forward scores of prefixes; starts anew when it has grown to ``max_nodes``, which bounds its memory."""
+    """Forward scores of prefixes; starts anew when it has grown to ``max_nodes``, which bounds its memory.
+
+    Each node knows the longest suffix of its prefix that begins some piece. That suffix gives, from a memo, the pieces that
+    end at the node, so scoring a node reads only scores along its own path.
+    """
 
     def __init__(self, pieces: dict[str, float], max_nodes: int = MAX_NODES) -> None:
         self.pieces, self.max_nodes = pieces, max_nodes
-        self.ends = {p[i:] for p in pieces for i in range(len(p))}  # a string outside ends no piece
+        self.begins = {p[:i] for p in pieces for i in range(len(p) + 1)}
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}  # (node, character) as one number
-        self.score, self.count = [0.0], [0]
-        self.known: dict[str, int] = {}
-
-    def __call__(self, word: str) -> int:
-        """Tokens of one pre-token."""
-        if (found := self.known.get(word)) is not None:
-            return found
-        if len(self.score) > self.max_nodes:
+        self.nodes: list[tuple[float, int, str]] = [(0.0, 0, "")]  # score, tokens, suffix
+        self.memo: dict[str, tuple[str, list[tuple[int, float]]]] = {}
+        self.known = _Known(self)
+
+    def _ending(self, text: str) -> tuple[str, list[tuple[int, float]]]:
+        """The longest suffix that begins a piece, and (length, score) of the pieces that end ``text``."""
+        suffix = text
+        while suffix not in self.begins:
+            suffix = suffix[1:]
+        self.memo[text] = found = suffix, [(len(suffix) - i, self.pieces[suffix[i:]]) for i in range(len(suffix)) if suffix[i:] in self.pieces]
+        return found
+
+    def total(self, words: list[str]) -> int:
+        """Tokens of some pre-tokens."""
+        if len(self.nodes) > self.max_nodes:
             self.clear()
-        text, path, child = MARK + word, [0], self.child
-        score, count, pieces, ends = self.score, self.count, self.pieces, self.ends
-        for end, c in enumerate(text, start=1):
-            key = path[-1] << 21 | ord(c)
-            node = child.get(key)
-            if node is None:
-                before = path[-1]
-                size = len(c.encode("utf-8", "surrogatepass"))
-                best, tokens = score[before] + FALLBACK * size, count[before] + size
-                start = end - 1
-                while start >= 0 and (tail := text[start:end]) in ends:
-                    own = pieces.get(tail)
-                    if own is not None:
-                        at = path[start]
-                        total = score[at] + own
-                        if total > best or (total == best and count[at] + 1 < tokens):
-                            best, tokens = total, count[at] + 1
-                    start -= 1
-                node = child[key] = len(score)
-                score.append(best)
-                count.append(tokens)
-            path.append(node)
-        self.known[word] = count[path[-1]]
-        return count[path[-1]]
+        return sum(map(self.known.__getitem__, words))
+
+    def add(self, word: str) -> int:
+        """Insert one pre-token; its tokens."""
+        child, nodes, memo = self.child, self.nodes, self.memo
+        node, at = 0, nodes[0]
+        path = [at]
+        for c in MARK + word:
+            key = node << 21 | ord(c)
+            node = child.get(key, 0)
+            if not node:
+                score, count, suffix = at
+                text = suffix + c
+                own, ending = memo.get(text) or self._ending(text)
+                size = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
+                best, tokens = score + FALLBACK * size, count + size
+                for length, piece in ending:
+                    score, count, _ = path[-length]
+                    score += piece
+                    if score > best or (score == best and count + 1 < tokens):
+                        best, tokens = score, count + 1
+                node = child[key] = len(nodes)
+                nodes.append((best, tokens, own))
+            at = nodes[node]
+            path.append(at)
+        return at[1]
+
+
+class _Known(dict):
+    """Terminal counts by pre-token; one not seen yet goes into the trie."""
+
+    def __init__(self, trie: Trie) -> None:
+        self.trie = trie
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = self.trie.add(word)
+        return found
+
+
+_tries: dict[int, Trie] = {}  # a worker's trie goes on from task to task
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model", max_nodes: int = MAX_NODES) -> DataFrame:
     """(doc_id, n_words, n_tokens), one row for each row of ``docs``; null and wordless texts have none of either.
 
-    The vocabulary is read on the driver from ``vocabulary`` and sent to the tasks. A task keeps one trie over its
-    partition, so nothing is shuffled. A word of any length is scored whole. Only the named columns are read.
+    The vocabulary is read on the driver from ``vocabulary`` and sent to the tasks. A worker keeps one trie over its
+    tasks, so nothing is shuffled. A word of any length is scored whole. Only the named columns are read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(sent.value, max_nodes)
+        trie = _tries.get(max_nodes)
+        if trie is None or trie.pieces is not sent.value:
+            trie = _tries[max_nodes] = Trie(sent.value, max_nodes)
         for batch in batches:
             words, tokens = [], []
             for text in batch.column(1).to_pylist():
                 found = WORD.findall(text or "")
                 words.append(len(found))
-                tokens.append(sum(map(trie, found)))
+                tokens.append(trie.total(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[id_col, "n_words", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
