@@ -21,8 +21,8 @@ BUCKETS = 256
 
 
 def _least_of(children: Column, size: int, count: int) -> Column:
-    """The least child of each of ``count`` consecutive groups of ``size``."""
-    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.array_min(F.slice(children, i * size + 1, size)))
+    """The least child of each of ``count`` consecutive groups of ``size``; not a lambda, in which the children would be drawn anew each time."""
+    return F.array(*(F.array_min(F.slice(children, i * size + 1, size)) for i in range(count)))
 
 
 def with_shard(df: DataFrame, key: Column, n_shards: int, into: str = "shard", weights: list[float] | None = None, fan: tuple[int, int] = FAN, seed: int = 7) -> DataFrame:
@@ -62,9 +62,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id",
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + F.lit(16)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    groups = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    placed = with_shard(with_shard(groups, F.col("doc_id"), n_shards, "at", fan=fan), F.col("doc_id"), n_shards + 1, "grown", fan=fan)
-    placed = cut(placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(11), F.col("doc_id").cast("string"), "size", "text_crc32"), F.lit(BUCKETS)).cast("int")).withColumn("shard", F.col("at.shard")))
+    placed = with_shard(with_shard(rows, F.col("doc_id"), n_shards, "at", fan=fan), F.col("doc_id"), n_shards + 1, "grown", fan=fan)
+    groups = placed.groupBy("doc_id", "size", "text_crc32", "at", "grown").agg(F.count("*").alias("n"))
+    placed = cut(groups.withColumn("bucket", F.pmod(F.xxhash64(F.lit(11), F.col("doc_id").cast("string"), "size", "text_crc32"), F.lit(BUCKETS)).cast("int")).withColumn("shard", F.col("at.shard")))
     in_shard = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = placed.groupBy("shard", "bucket").agg(F.sum("n").alias("rows")).select("shard", "bucket", F.coalesce(F.sum("rows").over(in_shard), F.lit(0)).alias("first"))
     in_bucket = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
