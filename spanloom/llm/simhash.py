@@ -231,7 +231,7 @@ def near_duplicate_classes(
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    edges = linked_fingerprints(distinct, max_bits, block)
+    edges = cut(linked_fingerprints(distinct, max_bits, block))
     roots = connected_components(edges, "a", "b").withColumnRenamed("node", "fp")
     classed = distinct.join(roots, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = classed.join(classed.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("fp", "component_id")
