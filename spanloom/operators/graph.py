@@ -41,3 +41,85 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = links.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def cluster_gate(min_coverage: float = 0.8) -> Column:
+    """Hits long enough for their shorter sequence; strictly above, and not of a sequence with itself."""
+    return (F.col("length") / F.least("qlen", "slen") > min_coverage) & (F.col("q") != F.col("s"))
+
+
+def superfamily_score() -> Column:
+    return (F.col("length") * F.col("pident") - F.col("gapopen")) / F.greatest("qlen", "slen")
+
+
+def comparative_gate(min_coverage: float = 0.8, min_identity: float = 80.0, by_longer: bool = True) -> Column:
+    """Hits covered and identical enough, by the greater or the lesser of both coverages."""
+    coverage = F.greatest("qcov", "tcov") if by_longer else F.least("qcov", "tcov")
+    return (coverage >= min_coverage) & (F.col("pident") >= min_identity)
+
+
+def best_directed(hits: DataFrame, by: str = "bitscore") -> DataFrame:
+    """The best hit of each ordered pair (q, s); ties go to the greater row."""
+    rest = [c for c in hits.columns if c not in ("q", "s", by)]
+    return hits.groupBy("q", "s").agg(F.max(F.struct(by, *rest)).alias("h")).select("q", "s", "h.*")
+
+
+def best_canonical(hits: DataFrame, by: tuple[str, ...] = ("pident", "qcov", "tcov")) -> DataFrame:
+    """The best hit of each unordered pair, as (src < dst)."""
+    pairs = hits.where("q <> s").select(F.least("q", "s").alias("src"), F.greatest("q", "s").alias("dst"), *by)
+    return pairs.groupBy("src", "dst").agg(F.max(F.struct(*by)).alias("h")).select("src", "dst", "h.*")
+
+
+def simplify(edges: DataFrame, src: str, dst: str, weight: str) -> DataFrame:
+    """Undirected edges without loops; parallel edges add their weights."""
+    return edges.where(F.col(src) != F.col(dst)).groupBy(F.least(src, dst).alias("src"), F.greatest(src, dst).alias("dst")).agg(F.sum(weight).alias("weight"))
+
+
+def compose(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(member, component) maps applied one after the other; what the second lacks stays."""
+    then = second.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
+    return first.join(then, F.col("component") == F.col("__node"), "left").select("node", F.coalesce("__component", "component").alias("component"))
+
+
+def attach_small(small: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, family): each small node joins the family of its best-scoring neighbour, or founds one with it.
+
+    ``small`` has (node, other, score), ``members`` (node, family). A neighbour without a family is promoted: new families are numbered on
+    from the largest, in the order in which small nodes meet them (by node id as text, best score first).
+    """
+    best = small.groupBy("node").agg(F.max(F.struct("score", F.col("other").alias("other"))).alias("b")).select("node", "b.other", "b.score")
+    known = best.join(members.select(F.col("node").alias("other"), "family"), "other", "left")
+    fresh = known.where("family is null").groupBy("other").agg(F.min(F.col("node").cast("string")).alias("first"))
+    top = members.agg(F.coalesce(F.max("family"), F.lit(0)).alias("top"))
+    numbered = fresh.withColumn("__k", F.row_number().over(Window.orderBy("first", "other"))).crossJoin(F.broadcast(top)).select("other", (F.col("__k") + F.col("top")).cast("long").alias("new"))
+    joined = known.join(numbered, "other", "left").select("node", F.coalesce("family", "new").alias("family"))
+    return joined.unionByName(numbered.select(F.col("other").alias("node"), F.col("new").alias("family")))
+
+
+def merge_groups(membership: DataFrame, member: str, group: str) -> DataFrame:
+    """(group, merged): groups that share a member, directly or through others, get the smallest of their numbers."""
+    first = membership.groupBy(member).agg(F.min(group).alias("__g"))
+    edges = membership.join(first, member).select(F.col(group).alias("src"), F.col("__g").alias("dst")).distinct()
+    return connected_components(edges).select(F.col("node").alias(group), F.col("component").alias("merged"))
+
+
+def override_groups(groups: DataFrame, overrides: DataFrame, key: str, group: str) -> DataFrame:
+    """Groups replaced where ``overrides`` has the key, keys only there appended, then numbered anew by size."""
+    both = groups.join(overrides.select(key, F.col(group).alias("__o")), key, "full_outer").select(key, F.coalesce("__o", group).alias("__g"))
+    order = both.groupBy("__g").agg(F.count("*").alias("n")).withColumn(group, F.row_number().over(Window.orderBy(F.col("n").desc(), "__g")))
+    return both.join(order, "__g").select(key, group)
+
+
+def uncovered(everything: DataFrame, *covers: DataFrame, key: str) -> DataFrame:
+    """Keys in none of the covers."""
+    left = everything.select(key).distinct()
+    for cover in covers:
+        left = left.join(cover.select(key).distinct(), key, "left_anti")
+    return left
+
+
+def de_bruijn_edges(kmers: DataFrame, kmer: str = "kmer", count: str = "n") -> DataFrame:
+    """(src, dst, weight) between k-mers whose suffix is the next one's prefix; the weight is the geometric mean of their counts."""
+    left = kmers.select(F.col(kmer).alias("src"), F.col(count).alias("__a"), F.expr(f"substring({kmer}, 2)").alias("__k"))
+    right = kmers.select(F.col(kmer).alias("dst"), F.col(count).alias("__b"), F.expr(f"substring({kmer}, 1, length({kmer}) - 1)").alias("__k"))
+    return left.join(right, "__k").select("src", "dst", F.sqrt(F.col("__a").cast("double") * F.col("__b")).alias("weight"))

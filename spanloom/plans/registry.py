@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from spanloom.plans import interval_queries
+
+MODULES = (interval_queries,)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
