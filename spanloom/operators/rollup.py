@@ -17,7 +17,7 @@ def half_even(value: Column, digits: int = 0) -> Column:
 
 def parse_number(cell: Column) -> Column:
     """Number of a text cell; empty, NA and unparsable cells are null."""
-    return F.try_cast(F.nullif(F.nullif(F.trim(cell), F.lit("")), F.lit("NA")), "double") if hasattr(F, "try_cast") else F.nullif(F.nullif(F.trim(cell), F.lit("")), F.lit("NA")).try_cast("double")
+    return F.nullif(F.nullif(F.trim(cell), F.lit("")), F.lit("NA")).try_cast("double")
 
 
 def add_attribute(df: DataFrame, values: DataFrame, key: str, value: str, into: str) -> DataFrame:
@@ -101,7 +101,7 @@ def length_pivot(df: DataFrame, group: str, sample: str, length: str, samples: S
 
 def name_pivot(df: DataFrame, group: str, sample: str, name: str, samples: Sequence[str]) -> DataFrame:
     """One column for each sample with its sorted names joined by ', ' (empty where absent)."""
-    return df.groupBy(group).pivot(sample, list(samples)).agg(F.array_join(F.array_sort(F.collect_set(name)), ", ")).na.fill("")
+    return df.groupBy(group).pivot(sample, list(samples)).agg(F.array_join(F.array_sort(F.collect_set(F.col(name).cast("string"))), ", ")).na.fill("")
 
 
 def weighted_annotation(df: DataFrame, group: str, label: str, weight: str, value: str) -> DataFrame:

@@ -18,9 +18,8 @@ def reverse_complement(seq: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """All k-mers in order; none for shorter sequences."""
-    n = F.length(seq) - k + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """All k-mers in order; none for shorter sequences. One pass of a look-ahead: substring by position would start over for each."""
+    return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
 
 
 def kmer_counts(df: DataFrame, seq: str, k: int, by: tuple[str, ...] = (), skip_n: bool = False, omit_last: bool = False) -> DataFrame:
