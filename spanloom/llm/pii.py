@@ -100,19 +100,28 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUP
     counts = entity.groupBy("entity").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
     pairs = entity.join(counts, "entity").join(held.select("h", "terms"), "h").select("entity", "ce", F.explode("terms").alias("term"))
     together = cut(pairs.where(~F.contains("entity", "term")).groupBy("entity", "ce", "term").agg(F.count("*").alias("cte")).where(F.col("cte") >= support))
-    terms = together.select("term").distinct()
-    number = terms.count()
-    if not number:
+    if together.isEmpty():
         return together.select("entity", "term", F.lit(0.0).alias("share"))
-    if number <= BROADCAST_ROWS:
-        terms = F.broadcast(terms)
-    whole = lines(docs).select("line")
-    words = whole.select(F.xxhash64("line").alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), 0))).alias("term"))
-    totals = words.join(terms, "term").select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("ct"))
-    n = whole.where("line <> ''").select(F.xxhash64("line").alias("h")).distinct().agg(F.count("*").alias("n"))
-    informed = together.join(totals, "term").join(F.broadcast(n))  # n is one row
-    pmi = F.log2(F.col("n") * F.col("cte") / (F.col("ct") * F.col("ce")))
-    return informed.withColumn("share", pmi / F.log2(F.col("n") / F.col("ce"))).where(F.col("share") >= threshold).select("entity", "term", "share")
+    whole = lines(docs).where("line <> ''").select("line", F.xxhash64("line").alias("h"))
+    n = whole.select("h").distinct().count()
+    # share >= threshold needs c(t) <= c(t, e) (N / c(e)) ^ (1 - threshold); any count over some of the lines is a lower bound of c(t)
+    together = together.withColumn("most", F.col("cte") * F.pow(F.lit(float(n)) / F.col("ce"), F.lit(1 - threshold)) * (1 + 1e-9))
+
+    def counted(part: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The pairs whose term is in no more of the distinct lines of ``part`` (h, term) than it may be, with that count as ct."""
+        totals = part.distinct().groupBy("term").agg(F.count("*").alias("ct"))
+        return cut(pairs.drop("ct").join(totals, "term", "left").withColumn("ct", F.coalesce("ct", F.lit(0))).where("ct <= most"))
+
+    left = counted(held.select("h", F.explode("terms").alias("term")), together)
+    for share in (16, 1):
+        terms = left.select("term").distinct()
+        number = terms.count()
+        if not number:
+            break
+        words = whole.where(F.pmod("h", F.lit(share)) == 0).select("h", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), 0))).alias("term"))
+        left = counted(words.join(F.broadcast(terms) if number <= BROADCAST_ROWS else terms, "term").select("h", "term"), left)
+    pmi = F.log2(F.lit(float(n)) * F.col("cte") / (F.col("ct") * F.col("ce")))
+    return left.withColumn("share", pmi / F.log2(F.lit(float(n)) / F.col("ce"))).where(F.col("share") >= threshold).select("entity", "term", "share")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
