@@ -247,5 +247,6 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ids = keep.select(F.col(id_col).alias("__kept")).distinct()
     hashed = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
     left = docs.join(ids, docs[id_col].eqNullSafe(ids["__kept"]), "left_semi")
-    one = left.groupBy(F.col(id_col).alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row"))
+    lost = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))  # rows without an id are told apart by their texts
+    one = left.groupBy(F.col(id_col).alias("__id"), lost.alias("__lost")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row"))
     return one.select("row.*")
