@@ -146,9 +146,9 @@ def split_by_length(df: DataFrame, minimum: int, s: str = "s", e: str = "e") ->
 def chunk_map(sizes: DataFrame, seq: str, length: str, chunk: int, overlap: int) -> DataFrame:
     """(seq, chunk_no, start0, end0): half-open chunks; only sequences over twice the chunk size are cut, each chunk runs on by ``overlap``."""
     n = F.when(F.col(length) > 2 * chunk, F.floor(F.col(length) / chunk)).otherwise(F.lit(1)).cast("long")
-    parts = sizes.select(seq, length, n.alias("n")).withColumn("step", F.floor(F.col(length) / F.col("n"))).withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    end = F.when(F.col("chunk_no") == F.col("n") - 1, F.col(length)).otherwise(F.least(F.col(length), (F.col("chunk_no") + 1) * F.col("step") + overlap))
-    return parts.select(seq, "chunk_no", (F.col("chunk_no") * F.col("step")).alias("start0"), end.alias("end0"))
+    parts = sizes.select(seq, length, n.alias("__n")).withColumn("__step", F.floor(F.col(length) / F.col("__n"))).withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)))
+    end = F.when(F.col("chunk_no") == F.col("__n") - 1, F.col(length)).otherwise(F.least(F.col(length), (F.col("chunk_no") + 1) * F.col("__step") + overlap))
+    return parts.select(seq, "chunk_no", (F.col("chunk_no") * F.col("__step")).alias("start0"), end.alias("end0"))
 
 
 def to_chunks(df: DataFrame, chunks: DataFrame, seq: str, s: str = "s", e: str = "e") -> DataFrame:
