@@ -152,9 +152,9 @@ def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[
         diagonal = np.repeat(places[part] - begins[doc[part]], n) - offset
         step = index.budget[passage] + 1
         band = np.floor_divide(diagonal, step)
-        for b in (band, band - 1):  # a band is two steps wide
-            keys.append(np.stack([d, passage, b, offset], axis=1))
-    found = np.unique(np.concatenate(keys), axis=0)  # a q-gram of the passage counts once a band
+        # a band is two steps wide, and a q-gram of the passage counts once a band
+        keys.append(np.unique(np.concatenate([np.stack([d, passage, b, offset], axis=1) for b in (band, band - 1)]), axis=0))
+    found = np.unique(np.concatenate(keys), axis=0)
     change = np.flatnonzero(np.r_[True, (found[1:, :3] != found[:-1, :3]).any(axis=1)])
     shared = np.diff(np.r_[change, len(found)])
     done: set[tuple[int, int]] = set()

@@ -23,7 +23,7 @@ SYMBOL = re.compile(r"[#*$%&|<>]")
 LEGAL = re.compile(r"licen[sc]e|copyright|©|all rights reserved|https?:|www\.|cookie|subscribe|click here|terms of (?:use|service)", re.I)
 FEATURES = ("bias", "one_or_two_words", "few_words", "many_words", "symbol_words", "some_symbols", "capitals", "pipes", "exclamations", "seen_before", "one_word_repeats", "low_variety", "digits", "legal", "ends_sentence", "long_words")
 MAX_TRAINING_DOCS = 600
-MAX_TRAINING_LINES = 40
+SEQUENCE_LINES = 80
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_CONTENT_SHARE = 50, 50, 0.5
 
 
@@ -121,24 +121,33 @@ def train_field(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 15
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> Crf:
-    """Fit on the first ``MAX_TRAINING_LINES`` lines of at most ``max_docs`` labelled documents of each label, the first in the order of a hash.
+    """Fit on all lines of at most ``max_docs`` labelled documents of each label, the first in the order of a hash.
 
-    Both bounds are for fitting only: labelling reads every line. Without documents of both labels it is ``prior_field``.
+    The bound is for fitting only, and on documents: their texts are read whole, in the tasks, and a line comes to the driver
+    as one number that holds its features. Long texts are cut into sequences of ``SEQUENCE_LINES`` lines, none of which is left out.
+    Without documents of both labels it is ``prior_field``.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.min(label_col).alias("__y"), F.max(label_col).alias("__z")).where("__y = __z")
     each = [usable.where(F.col("__y") == y).select(F.col(id_col).alias("__id"), "__y").orderBy(F.xxhash64("__id"), "__id").limit(max_docs) for y in (0, 1)]
     sample = F.broadcast(each[0].unionByName(each[1]))
-    joined = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")).join(sample, F.col("__doc") == F.col("__id"))
-    lines = joined.select(F.col("__doc").cast("string").alias("id"), "__y", F.slice(F.split(F.substring("__text", 1, 20_000), "\n"), 1, MAX_TRAINING_LINES).alias("lines"))
-    rows = sorted((r["id"], r["__y"], r["lines"] or []) for r in lines.dropDuplicates(["id"]).toLocalIterator())
-    by_label = [[line_features(r[2])[0] for r in rows if r[1] == y] for y in (0, 1)]
+    joined = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")).join(sample, F.col("__doc") == F.col("__id")).select(F.col("__doc").cast("string"), F.col("__y").cast("int"), "__text")
+    place = 1 << np.arange(len(FEATURES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [(line_features((t or "").split("\n"))[0].astype(np.int64) @ place).tolist() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.list_(pa.int32()))], names=["id", "y", "marks"])
+
+    rows = sorted((r["id"], r["y"], r["marks"]) for r in joined.mapInArrow(run, "id string, y int, marks array<int>").dropDuplicates(["id"]).toLocalIterator())
+    by_label = [[(np.array(r[2], np.int64)[:, None] & place > 0).astype(np.float64) for r in rows if r[1] == y] for y in (0, 1)]
     if not all(by_label):
         return prior_field()
     sequences = []
     for k in range(max(map(len, by_label))):  # good, bad and good again, in turns
         good, bad = (by_label[y][k % len(by_label[y])] for y in (1, 0))
         parts = ((good, 1), (bad, 0)) if k % 2 else ((bad, 0), (good, 1))
-        sequences.append((np.concatenate([x for x, _ in parts]), np.concatenate([np.full(len(x), y) for x, y in parts])))
+        x, y = np.concatenate([x for x, _ in parts]), np.concatenate([np.full(len(x), y) for x, y in parts])
+        sequences += [(x[i : i + SEQUENCE_LINES], y[i : i + SEQUENCE_LINES]) for i in range(0, len(x), SEQUENCE_LINES)]
     return train_field(sequences)
 
 
