@@ -25,10 +25,10 @@ PEAKS = "(SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderk
 QUERIES = {
     "peak_top5": lambda sp, d: C.top_peaks(peaks(sp, d), "l_orderkey"),
     "strongest_pick": lambda sp, d: rounded(C.strongest(peaks(sp, d), "l_orderkey")),
-    "hor_tier": lambda sp, d: table(sp, d, "lineitem").select("l_orderkey", "l_linenumber", C.order_tier(F.col("l_linenumber"), F.when(F.col("l_returnflag") == "A", "consensus").when(F.col("l_returnflag") == "R", "dominant").otherwise(""), F.col("l_linestatus") == "O").alias("tier")),
+    "hor_tier": lambda sp, d: table(sp, d, "lineitem").select("l_orderkey", "l_linenumber", C.order_tier(F.col("l_linenumber"), F.col("l_quantity") + 5, F.col("l_linestatus") == "O", F.when(F.col("l_returnflag") == "A", "consensus").when(F.col("l_returnflag") == "R", "dominant").otherwise("strict")).alias("tier")),
     "short_flag": lambda sp, d: peaks(sp, d).select("l_orderkey", "rank", C.short_founder(F.col("period"), F.col("score")).alias("short")),
     "period_clusters": lambda sp, d: C.period_clusters(peaks(sp, d).withColumn("period", F.col("period") * 20), "l_orderkey"),
-    "founder_cascade": lambda sp, d: C.founders(peaks(sp, d).withColumn("identity", F.lit(1.0) - F.col("score") / 10), "l_orderkey", "l_suppkey"),
+    "founder_cascade": lambda sp, d: C.founders(peaks(sp, d).withColumns({"identity": F.lit(1.0) - F.col("score") / 10, "proposed": F.col("period"), "iqr": F.lit(0.05), "occupancy": F.lit(0.9), "coverage": F.lit(0.9), "contrast": F.lit(0.6)}), "l_orderkey", "l_suppkey"),
     "communities": lambda sp, d: _communities(sp, d),
     "gff_parse": lambda sp, d: table(sp, d, "nation").select("n_nationkey", attribute_map(F.concat(F.lit("Name="), F.col("n_name"), F.lit(";bad;Name=x="), F.col("n_nationkey").cast("string"))).alias("m")).select("n_nationkey", F.col("m")["Name"].alias("name"), F.size("m").alias("n")),
     "kv_parse": lambda sp, d: parse_key_values(table(sp, d, "nation").select(F.concat_ws("\t", "n_name", F.lit("a"), F.col("n_nationkey").cast("string"), F.lit("b"), F.lit("1"), F.lit("a"), F.col("n_regionkey").cast("string"), F.lit("odd")).alias("value"))).select("id", F.col("annot")["a"].alias("a"), F.col("annot")["b"].alias("b")),
@@ -47,7 +47,7 @@ def _communities(sp, d):
 ORACLE_SQL = {
     "peak_top5": f"SELECT l_orderkey, " + ", ".join(f"max(CASE WHEN rank = {i} THEN {c} END) AS {c}_{i}" for i in range(1, 6) for c in ("period", "score")) + f" FROM {PEAKS} p GROUP BY l_orderkey",
     "strongest_pick": f"SELECT l_orderkey, round(period, 6) AS period, round(identity, 6) AS identity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN identity >= CAST(0.7 AS DOUBLE) THEN identity END DESC NULLS LAST, rank) AS k FROM {PEAKS} p) t WHERE k = 1",
-    "hor_tier": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 1 THEN 'none' WHEN l_returnflag = 'A' THEN 'supported' WHEN l_returnflag = 'R' THEN 'weak' WHEN l_linestatus = 'O' THEN 'supported' ELSE 'strict' END AS tier FROM lineitem",
+    "hor_tier": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 1 THEN 'none' WHEN l_linestatus = 'O' OR l_quantity >= 45 OR l_returnflag = 'R' THEN 'weak' WHEN l_returnflag = 'A' THEN 'supported' ELSE 'strict' END AS tier FROM lineitem",
     "short_flag": f"SELECT l_orderkey, rank, period <= 30 AND score < CAST(0.2 AS DOUBLE) AS short FROM {PEAKS} p",
     "gff_parse": "SELECT n_nationkey, 'x=' || n_nationkey AS name, 1 AS n FROM nation",
     "kv_parse": "SELECT n_name AS id, CAST(n_regionkey AS VARCHAR) AS a, '1' AS b FROM nation",
