@@ -180,3 +180,36 @@ def table_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], columns
     both = side(before, "x").join(side(after, "y"), list(keys), "full_outer")
     cells = F.array(*(F.struct(F.lit(c).alias("column"), F.get("x", F.lit(i)).alias("before"), F.get("y", F.lit(i)).alias("after")) for i, c in enumerate(columns)))
     return both.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*").where(~F.col("before").eqNullSafe(F.col("after")))
+
+
+def half_mass(df: DataFrame, group: str, value: str, share: float = 0.5) -> DataFrame:
+    """(group, n): how many of a group's greatest values add up to less than ``share`` of its total.
+
+    Values are positive whole numbers; equal ones are counted first, so the window orders distinct values. Others are left out.
+    """
+    counts = df.where(F.col(value) > 0).groupBy(group, value).agg(F.count("*").alias("c"))
+    above = Window.partitionBy(group).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    mass = F.col(value) * F.col("c")
+    summed = counts.withColumn("before", F.coalesce(F.sum(mass).over(above), F.lit(0))).withColumn("total", F.sum(mass).over(Window.partitionBy(group)))
+    fit = F.ceil((F.col("total") * share - F.col("before")) / F.col(value)) - 1
+    return summed.groupBy(group).agg(F.sum(F.greatest(F.lit(0), F.least(F.col("c"), fit))).cast("long").alias("n"))
+
+
+def systematic_sample(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
+    """``n`` rows of each group, evenly spaced by ``order`` from first to last; all rows of a smaller group. This sampling is the feature."""
+    if n < 2:
+        raise ValueError("first and last row make two")
+    placed = df.withColumn("__k", F.row_number().over(Window.partitionBy(group).orderBy(order))).withColumn("__n", F.count("*").over(Window.partitionBy(group)))
+    wanted = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: half_even(1 + i * (F.col("__n") - 1) / F.lit(n - 1)).cast("int"))
+    return placed.where((F.col("__n") <= n) | F.array_contains(wanted, F.col("__k"))).drop("__k", "__n")
+
+
+def replace_groups(df: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """The rows of ``fresh`` in place of all rows of ``df`` with the same keys."""
+    return df.join(fresh.select(key).distinct(), key, "left_anti").select(*df.columns).unionByName(fresh.select(*df.columns))
+
+
+def listed_above(text: Column, least: float = 10.0) -> Column:
+    """The labels of a list 'label (12.3%), ...' whose percentage is ``least`` or more, joined by ', '."""
+    items = F.filter(F.split(text, ", "), lambda x: F.regexp_extract(x, r"\(([0-9.]+)%", 1).try_cast("double") >= least)
+    return F.array_join(F.transform(items, lambda x: F.regexp_replace(x, r" \(.*", "")), ", ")

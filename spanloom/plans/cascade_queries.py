@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import cascade as C
 from spanloom.operators import graph as G
+from spanloom.operators import rollup as R
 from spanloom.plans.adapters import table
 from spanloom.plans.rollup_queries import HITS, hits, rounded
 from spanloom.sinks.formats import ragged_lines, report_document
@@ -35,6 +36,10 @@ QUERIES = {
     "record_ids": lambda sp, d: table(sp, d, "orders").select("o_orderkey", parse_record_id(F.concat(F.col("o_orderstatus"), F.lit(":chr_"), F.col("o_custkey").cast("string"), F.lit("_"), F.col("o_orderkey").cast("string"), F.lit("_"), (F.col("o_orderkey") + 7).cast("string"))).alias("r")).select("o_orderkey", "r.*"),
     "ragged_table": lambda sp, d: ragged_lines(table(sp, d, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n")), "p_brand", "p_type", "n"),
     "report_doc": lambda sp, d: report_document(table(sp, d, "region"), table(sp, d, "nation").select(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey", "n_name"), "r_regionkey"),
+    "half_mass": lambda sp, d: R.half_mass(table(sp, d, "lineitem").select("l_suppkey", F.col("l_quantity").cast("long").alias("q")), "l_suppkey", "q"),
+    "systematic_sample": lambda sp, d: R.systematic_sample(table(sp, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey", 5),
+    "replace_groups": lambda sp, d: R.replace_groups(table(sp, d, "orders").select("o_custkey", "o_orderkey"), table(sp, d, "customer").where("c_nationkey < 5").select(F.col("c_custkey").alias("o_custkey"), F.lit(0).cast("long").alias("o_orderkey")), "o_custkey"),
+    "percent_list": lambda sp, d: table(sp, d, "part").select("p_partkey", R.listed_above(F.concat(F.lit("AT ("), F.col("p_size").cast("string"), F.lit(".5%), GC (9.9%), "), F.col("p_brand"), F.lit(" (10.0%)"))).alias("motifs")),
     "window_counts": lambda sp, d: window_counts(table(sp, d, "events"), ["event_type"], "ts", "1 hour").select("event_type", F.unix_timestamp("start").alias("start_s"), "n"),
 }
 
@@ -53,5 +58,9 @@ ORACLE_SQL = {
     "kv_parse": "SELECT n_name AS id, CAST(n_regionkey AS VARCHAR) AS a, '1' AS b FROM nation",
     "record_ids": "SELECT o_orderkey, o_orderstatus AS family, 'chr_' || o_custkey AS seqid, o_orderkey AS start, o_orderkey + 7 AS \"end\" FROM orders",
     "ragged_table": "SELECT p_brand || chr(9) || string_agg(p_type || chr(9) || n, chr(9) ORDER BY n DESC, p_type) AS value FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) t GROUP BY p_brand",
+    "half_mass": "SELECT l_suppkey, count(*) FILTER (WHERE run < 0.5 * total) AS n FROM (SELECT l_suppkey, sum(q) OVER (PARTITION BY l_suppkey ORDER BY q DESC ROWS UNBOUNDED PRECEDING) AS run, sum(q) OVER (PARTITION BY l_suppkey) AS total FROM (SELECT l_suppkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem) x WHERE q > 0) y GROUP BY l_suppkey",
+    "systematic_sample": "SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) x WHERE n <= 5 OR k IN (1, round_even(1 + 1 * (n - 1) / 4, 0), round_even(1 + 2 * (n - 1) / 4, 0), round_even(1 + 3 * (n - 1) / 4, 0), n)",
+    "replace_groups": "SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 5) UNION ALL SELECT c_custkey, 0 FROM customer WHERE c_nationkey < 5",
+    "percent_list": "SELECT p_partkey, CASE WHEN p_size + 0.5 >= 10 THEN 'AT, ' ELSE '' END || p_brand AS motifs FROM part",
     "window_counts": "SELECT event_type, CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS start_s, count(*) AS n FROM events GROUP BY 1, 2",
 }
