@@ -41,15 +41,19 @@ GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23,
 # ---------------------------------------------------------------- fingerprints
 
 
+def word_shingles(text: str | None, shingle: int) -> list[bytes]:
+    """Word shingles of a text, all its words where it has fewer; none for a text without words, or null."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
+    if len(words) < shingle:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)))
+
+
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """64-bit majority fingerprint of the word shingles of a text; 0 for a text without words, or null."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
-    if not words:
+    grams = word_shingles(text, shingle)
+    if not grams:
         return 0
-    if len(words) < shingle:
-        grams: list[bytes] = [b" ".join(words)]
-    else:
-        grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)))
     votes = np.zeros(64, np.int64)
     for at in range(0, len(grams), 1 << 16):
         part = grams[at : at + (1 << 16)]
@@ -243,7 +247,12 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Which of them stays is decided by a hash of the row, so reruns agree.
     """
-    keep = near_duplicate_classes(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    return keep_named(docs, near_duplicate_classes(docs, id_col, text_col, **how), id_col, text_col)
+
+
+def keep_named(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``keep_one_of_each`` for classes given as (doc_id, component_id)."""
+    keep = classes.where(F.col(id_col).eqNullSafe(F.col("component_id")))
     ids = keep.select(F.col(id_col).alias("__kept")).distinct()
     hashed = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
     left = docs.join(ids, docs[id_col].eqNullSafe(ids["__kept"]), "left_semi")

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, pii, quality_gam, queries, sharding, simhash, token_counts
+from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, near_copies, pii, quality_gam, queries, sharding, simhash, token_counts
 
 DATA = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor sit amet " * 20_000
@@ -349,3 +349,36 @@ def test_pipeline_stages(spark):
     shards = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert Counter(r.doc_id for r in shards.collect()) == Counter(r.doc_id for r in docs.collect())
     assert sorted(map(tuple, corpus_pipeline.run(spark, DATA).drop("slot").collect())) == sorted(map(tuple, shards.drop("slot").collect()))
+
+
+def test_near_duplicates_of_the_pipeline_are_all_pairs_of_similarity_08(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    stock = list(rng.choice(vocabulary, 40))  # a passage that all texts hold
+    texts = []
+    for i in range(60):
+        words = [*rng.choice(vocabulary, int(rng.integers(60, 400))), *stock]
+        texts.append(words)
+        for edits in range(1 + i % 7):
+            copy = list(words)
+            for at in rng.choice(len(words), edits * len(words) // 140, replace=False):
+                copy[at] = "edit"
+            texts.append(copy)
+    chain = list(rng.choice(vocabulary, 120))  # a large group whose ends are far apart
+    for i in range(40):
+        chain = [*chain[4:], *rng.choice(vocabulary, 4)]
+        texts.append(chain)
+    rows = [(i, " ".join(w), "s") for i, w in enumerate(texts)] + [(900, None, "s"), (901, "  ", "s"), (902, "two words", "s"), (903, "Two  words", "s"), (1000, " ".join(texts[0]), "s")]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for i, t, _ in rows}
+    name = {i: i for i in sets}
+    similar = [(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8)]
+    for _ in sets:
+        for a, b in similar:
+            name[a] = name[b] = min(name[a], name[b])
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near_copies.similar_classes(df).collect()} == name
+    kept = corpus_pipeline.STAGES[1][1](spark, df, DATA)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == set(name.values())
+    assert near_copies.similar_classes(df.where("false")).count() == 0
