@@ -1,7 +1,8 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
 A page is a sequence of words and tags. Ordinary words score positive; tags, and words inside boilerplate
-containers, score negative. One linear scan finds the contiguous run of the greatest sum, which is the content region; the
+containers, score negative; boilerplate within the content (in an article, or after headings and paragraphs of
+the element it stands in) scores nothing, so that it never parts what comes before from what follows. One linear scan finds the contiguous run of the greatest sum, which is the content region; the
 boilerplate inside it is left out. Weights come from the labelled pages below: log odds of standing in content to
 begin with, then corrected by a structured perceptron until the best run of each page is its labelled region.
 """
@@ -30,8 +31,20 @@ AWAY_NAME = re.compile(
 )
 AWAY_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar"}
 CONTENT = {"article", "main"}
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
+PARTS = {"ul", "ol", "li", "dl", "dd", "dt", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "blockquote", "section", "figure", "details"}  # of an element that holds prose
+CLOSE_P = PROSE | {"address", "article", "aside", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "search", "section", "summary", "table", "ul", "li", "dd", "dt"}
+ROWS, CELLS = {"tbody", "thead", "tfoot"}, {"td", "th"}
+#: What an opening tag closes without an end tag, and the elements beyond which it doesn't look.
+CLOSES = (
+    {t: ({"p"}, {"table", "caption", "button", "object", "html"} | CELLS) for t in CLOSE_P}
+    | {"option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "tr": ({"tr"}, {"table"}), "td": (CELLS, {"table"}), "th": (CELLS, {"table"})}
+    | {t: (ROWS, {"table"}) for t in ROWS}
+)
+ITEMS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"})}
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>")
+STRIPPED = {"word:away", "word:inner"}
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 #: Labelled pages: the content region stands between the marks [[ and ]].
@@ -92,33 +105,67 @@ def _away(name: str, attributes: str, in_content: bool) -> bool:
 def scored_parts(page: str) -> list[tuple[str, str, str]]:
     """(feature, text, block break: "" or the tag) for each run of words and each tag, in page order."""
     parts: list[tuple[str, str, str]] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[list] = []  # name, whether it is a boilerplate container, whether prose has stood directly in it
+    root = ["", False, False]
     away = content = links = 0
+    inner = False  # whether the boilerplate stands within the content
+    names: Counter = Counter()
+
+    def pop(depth: int) -> bool:
+        """Close the elements from a depth on; whether one was a boilerplate container."""
+        nonlocal away, content, links
+        closed = stack[depth:]
+        for name, was, _ in closed:
+            away, content, links = away - was, content - (name in CONTENT), links - (name == "a")
+            names[name] -= 1
+        del stack[depth:]
+        return any(was for _, was, _ in closed)
+
+    def close_open(which: set[str], barrier: set[str]) -> None:
+        if not any(names[name] for name in which):
+            return
+        found = None
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] in which:
+                found = depth
+            elif stack[depth][0] in barrier:
+                break
+        if found is not None:
+            pop(found)
+
     for kind, value, attributes in tokens(page):
+        gone_as = "inner" if inner else "away"
         if kind == "text":
             if value.isspace() and not away:
                 parts.append(("space", value, ""))
             elif not value.isspace():
-                parts.append(("word:away" if away else "word:link" if links else "word", value, ""))
+                parts.append((f"word:{gone_as}" if away else "word:link" if links else "word", value, ""))
             continue
         if kind == "open":
+            for rules in (ITEMS, CLOSES):
+                if value in rules:
+                    close_open(*rules[value])
+            parent = next((e for e in reversed(stack) if e[0] not in INLINE), root)
             gone = _away(value, attributes, content > 0)
-            parts.append((f"tag:{'away' if gone or away else value}", "", "" if value in INLINE - {"br"} else value))
+            if not away:
+                inner = gone and (content > 0 or parent[2])
+                parent[2] |= value in PROSE and not gone
+            gone_as = "inner" if inner else "away"
+            parts.append((f"tag:{gone_as if gone or away else value}", "", "" if value in INLINE - {"br"} else value))
             if value not in VOID and not attributes.endswith("/"):
-                stack.append((value, gone))
+                stack.append([value, gone, parent[2] and value in PARTS])
                 away, content, links = away + gone, content + (value in CONTENT), links + (value == "a")
+                names[value] += 1
         else:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == value:
-                    gone = False
-                    for name, was in stack[depth:]:
-                        away, content, links = away - was, content - (name in CONTENT), links - (name == "a")
-                        gone |= was
-                    del stack[depth:]
+                    gone = pop(depth)
                     break
             else:
                 gone = value in AWAY
-            parts.append((f"tag:{'away' if gone or away else '/' + value}", "", "" if value in INLINE else value))
+            parts.append((f"tag:{gone_as if gone or away else '/' + value}", "", "" if value in INLINE else value))
+        if not away:
+            inner = False
     return parts
 
 
@@ -135,7 +182,7 @@ def best_run(parts: list[tuple[str, str, str]], weights: dict[str, float]) -> tu
 
 
 def weight(feature: str, text: str, weights: dict[str, float]) -> float:
-    if feature == "space":
+    if feature == "space" or feature.endswith(":inner"):
         return 0.0
     own = weights.get(feature, weights["tag:other"])
     return own * len(text.split()) if text else own
@@ -154,7 +201,7 @@ def learned_weights() -> tuple[tuple[str, float], ...]:
         pages.append((parts, low, high))
         for k, (feature, text, _) in enumerate(parts):
             (inside if low <= k < high else outside)[feature] += max(1, len(text.split()))
-    every = {f for f in inside | outside if f != "space"}
+    every = {f for f in inside | outside if f != "space" and not f.endswith(":inner")}
     weights = {f: math.log((inside[f] + 1) / (outside[f] + 1)) for f in every} | {"tag:other": -0.1}
 
     def held(f: str, w: float) -> float:  # words score positive, tags and boilerplate words negative
@@ -165,13 +212,13 @@ def learned_weights() -> tuple[tuple[str, float], ...]:
         wrong = False
         for parts, low, high in pages:
             i, j = best_run(parts, weights)
-            words = lambda a, b: {k for k in range(a, b) if parts[k][0].startswith("word") and parts[k][0] != "word:away"}
+            words = lambda a, b: {k for k in range(a, b) if parts[k][0].startswith("word") and parts[k][0] not in STRIPPED}
             if words(i, j) != words(low, high):
                 wrong = True
                 for k in range(low, high):
-                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) + 0.05) if parts[k][0] != "space" else 0
+                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) + 0.05) if parts[k][0] != "space" and not parts[k][0].endswith(":inner") else 0
                 for k in range(i, j):
-                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) - 0.05) if parts[k][0] != "space" else 0
+                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) - 0.05) if parts[k][0] != "space" and not parts[k][0].endswith(":inner") else 0
         if not wrong:
             break
     weights.pop("space", None)
@@ -186,7 +233,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     current: list[str] = []
     for feature, text, tag in parts[i:j]:
         if text:
-            if feature != "word:away":
+            if feature not in STRIPPED:
                 current.append(text)
         elif tag == "br":
             current.append(" ")

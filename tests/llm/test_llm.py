@@ -191,6 +191,22 @@ def test_html(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ('<main><div class="text">', "</div></main>"), ('<div class="content">', "</div>"), ("", "")])
+def test_html_with_boilerplate_between_paragraphs(open_, close):
+    weights = dict(html_extract.learned_weights())
+    long = "buy two of these now and get one more for free " * 20
+    top, tail = '<html><body><nav><a href="/">Home page</a></nav>', "<footer>all rights reserved</footer></body></html>"
+    share, advert = f"<div class='share'><a href='/s'>{long}</a></div>", f"<div class='ad'><p>{long}</p><p>{long}</div>"
+    pages = {
+        f"<h1>Short title</h1>{share}<p>Body of the text.</p>": "Short title\nBody of the text.",
+        f"<h1>T</h1><p>One two.</p>{advert}<p>Three four.</p>{advert}<p>Five six.</p>": "T\nOne two.\nThree four.\nFive six.",
+        f"<h2>Bread</h2><p class='share'>{long}<p>Mix flour.<ul><li>Water<li class='promo'>{long}<li>Salt</ul>": "Bread\nMix flour.\nWater\nSalt",
+        f"<h1>T</h1><table><tr><td>One<td class='ad'>{long}<td>Two<tr><td>Three</table>": "T\nOne\nTwo\nThree",
+    }
+    for body, text in pages.items():
+        assert html_extract.main_text(f"{top}{open_}{body}{close}{tail}", weights) == text
+
+
 # ------------------------------------------------------------------ 6
 
 
