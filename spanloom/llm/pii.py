@@ -2,9 +2,11 @@
 
 The protected entities are the personal data that patterns find. How strongly a term reveals an entity is estimated from the
 corpus: over all N distinct lines, a term in c(t) lines that shares c(t, e) of them with an entity in c(e) lines discloses
-PMI(t; e) = log2(N c(t, e) / (c(t) c(e))) of the entity's information, IC(e) = log2(N / c(e)). A term whose share PMI / IC
-reaches ``threshold``, on at least ``support`` distinct lines, discloses the entity: in texts that hold the entity, the term is
-generalised, or removed where it discloses all of it (a share of 1).
+PMI(t; e) = log2(N c(t, e) / (c(t) c(e))) of the entity's information, IC(e) = log2(N / c(e)). Few lines are weak evidence, so
+a term is judged by the lower bound (Wilson's, 95 % one-sided) of its share of lines with the entity, c(t, e) / c(t), in place of
+that share: where PMI / IC reaches ``threshold`` even so, the term discloses the entity, on however few lines they stand. Terms
+are words of letters of any length outside the pattern spans. In texts that hold the entity, the term is generalised, or
+removed where it discloses all of it (a share of 1).
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?<![0-9][0-9])(?<![0-9][ -][0-9])(?:[ -]?+[0-9]){11,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-TERM = r"\p{L}{4,}"
-SUPPORT, THRESHOLD = 3, 0.8
-BROADCAST_ROWS = 50_000
+TERM = r"(?<![\p{L}\p{N}])\p{L}++(?!\p{N})"
+LIKELY = r"@|\+[0-9]|[0-9]\.[0-9]|[0-9][ -]?[0-9][ -]?[0-9]"  # a text without it can't match a pattern; reads much faster than they do
+THRESHOLD, Z = 0.8, 1.6448536  # Z: 95 % one-sided
+BROADCAST_ROWS = 500_000
 
 
 def located(text: Column, pattern: Column) -> Column:
@@ -84,28 +87,41 @@ def with_base(docs: DataFrame, text_col: str = "text", into: str = "__base") ->
     return docs.withColumn(into, F.concat(*(of_kind(k, spans) for k, spans in enumerate(found.values()))))
 
 
-def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def _words(line: Column, spans: Column) -> Column:
+    """Distinct terms of a line, in lower case, outside its pattern spans."""
+
+    def step(state: Column, s: Column) -> Column:
+        kept = F.concat(state["out"], F.substring(line, state["at"] + 1, s["start"] - state["at"]), F.lit("\n"))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["start"] >= state["at"], kept).otherwise(state["out"]).alias("out"))
+
+    rest = F.aggregate(F.array_sort(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(line, s["at"] + 1, F.length(line))))
+    return F.array_distinct(F.regexp_extract_all(F.lower(rest), F.lit(TERM), 0))
+
+
+def disclosing_terms(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, share) for every term that discloses an entity, from counts over all distinct lines of ``docs``.
 
-    Lines, not documents, are the unit of co-occurrence, and equal lines count once, so copies don't make evidence. Only entities and
-    pairs with ``support`` lines are counted further, and term counts over the whole corpus are taken for those terms alone.
+    Lines, not documents, are the unit of co-occurrence, and equal lines count once, so copies don't make evidence. Every entity
+    is examined; term counts over the whole corpus are taken for terms on their lines alone.
     """
     lines = lambda df: df.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
-    # a line that no pattern can match holds no entity; this reads much faster than the patterns
-    likely = docs.where(F.regexp_like(F.col(text_col), F.lit(r"@|\+[0-9]|[0-9]\.[0-9]|[0-9][ -]?[0-9][ -]?[0-9]")))
-    held = lines(likely).where(F.regexp_like("line", F.lit(r"@|\+[0-9]|[0-9]\.[0-9]|[0-9][ -]?[0-9][ -]?[0-9]")))
-    held = with_base(held, "line").where(F.size("__base") > 0).select(F.xxhash64("line").alias("h"), F.array_distinct(F.transform("__base", lambda s: F.lower(s["found"]))).alias("entities"), F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), 0)).alias("terms"))
-    held = cut(held.dropDuplicates(["h"]))
+    held = lines(docs.where(F.regexp_like(F.col(text_col), F.lit(LIKELY)))).where(F.regexp_like("line", F.lit(LIKELY)))
+    held = cut(with_base(held, "line").where(F.size("__base") > 0).withColumn("h", F.xxhash64("line")).dropDuplicates(["h"]))
+    held = cut(held.select("h", F.array_distinct(F.transform("__base", lambda s: F.lower(s["found"]))).alias("entities"), _words(F.col("line"), F.col("__base")).alias("terms")))
+    whole = lines(docs).where("line <> ''").select("line", F.xxhash64("line").alias("h"))
+    n = 0 if held.isEmpty() else whole.select("h").distinct().count()
     entity = held.select("h", F.explode("entities").alias("entity"))
-    counts = entity.groupBy("entity").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
+    counts = entity.groupBy("entity").agg(F.count("*").alias("ce")).where(F.col("ce") < n)  # what is on every line holds no information
     pairs = entity.join(counts, "entity").join(held.select("h", "terms"), "h").select("entity", "ce", F.explode("terms").alias("term"))
-    together = cut(pairs.where(~F.contains("entity", "term")).groupBy("entity", "ce", "term").agg(F.count("*").alias("cte")).where(F.col("cte") >= support))
+    together = pairs.groupBy("entity", "ce", "term").agg(F.count("*").alias("cte"))
+    # the bound reaches q = (c(e) / N) ^ (1 - threshold) where c(t, e) - q c(t) >= z sqrt(q (1 - q) c(t)), which bounds c(t); any
+    # count over some of the lines is a lower bound of c(t)
+    q = F.pow(F.col("ce") / F.lit(float(n)), F.lit(1 - threshold))
+    b = Z * F.sqrt(q * (1 - q))
+    most = F.pow((F.sqrt(b * b + 4 * q * F.col("cte")) - b) / (2 * q), F.lit(2.0)) * (1 + 1e-9)
+    together = cut(together.withColumn("most", most).where("most >= cte"))
     if together.isEmpty():
         return together.select("entity", "term", F.lit(0.0).alias("share"))
-    whole = lines(docs).where("line <> ''").select("line", F.xxhash64("line").alias("h"))
-    n = whole.select("h").distinct().count()
-    # share >= threshold needs c(t) <= c(t, e) (N / c(e)) ^ (1 - threshold); any count over some of the lines is a lower bound of c(t)
-    together = together.withColumn("most", F.col("cte") * F.pow(F.lit(float(n)) / F.col("ce"), F.lit(1 - threshold)) * (1 + 1e-9))
 
     def counted(part: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs whose term is in no more of the distinct lines of ``part`` (h, term) than it may be, with that count as ct."""
@@ -113,15 +129,22 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", support: int = SUP
         return cut(pairs.drop("ct").join(totals, "term", "left").withColumn("ct", F.coalesce("ct", F.lit(0))).where("ct <= most"))
 
     left = counted(held.select("h", F.explode("terms").alias("term")), together)
+    plain = F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), 0))
     for share in (16, 1):
         terms = left.select("term").distinct()
         number = terms.count()
         if not number:
             break
-        words = whole.where(F.pmod("h", F.lit(share)) == 0).select("h", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), 0))).alias("term"))
+        part = whole.where(F.pmod("h", F.lit(share)) == 0)
+        # lines that hold an entity have their terms counted already, without their pattern spans
+        some = part.where(F.regexp_like("line", F.lit(LIKELY)))
+        some = with_base(some, "line").where(F.size("__base") == 0).select("h", plain.alias("terms"))
+        none = part.where(~F.regexp_like("line", F.lit(LIKELY))).select("h", plain.alias("terms"))
+        own = held.where(F.pmod("h", F.lit(share)) == 0).select("h", "terms")
+        words = none.unionByName(some).unionByName(own).select("h", F.explode("terms").alias("term"))
         left = counted(words.join(F.broadcast(terms) if number <= BROADCAST_ROWS else terms, "term").select("h", "term"), left)
     pmi = F.log2(F.lit(float(n)) * F.col("cte") / (F.col("ct") * F.col("ce")))
-    return left.withColumn("share", pmi / F.log2(F.lit(float(n)) / F.col("ce"))).where(F.col("share") >= threshold).select("entity", "term", "share")
+    return left.withColumn("share", pmi / F.log2(F.lit(float(n)) / F.col("ce"))).select("entity", "term", "share")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -143,7 +166,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     # rows without an entity don't take part in the join
     plain = keyed.where(F.size("__entities") == 0).withColumn("terms", empty)
     joined = keyed.where(F.size("__entities") > 0).join(per_text, "__key", "left")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("__shares"), "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("__shares"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
     spans = F.transform(located(F.col("text"), pattern), lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["found"].alias("found"), F.coalesce(F.element_at(F.col("__shares"), F.lower(s["found"])), F.lit(0.0)).alias("share")))
     outside = F.filter(spans, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     marked = joined.withColumn("terms", F.when(F.col("__shares").isNotNull(), outside).otherwise(empty))

@@ -348,6 +348,32 @@ def test_disclosing_terms(spark):
     assert all(r.text.startswith("[TERM] ") and "[EMAIL]" in r.text for r in pii.sanitised(found).where("doc_id between 1000 and 1004").collect())
 
 
+def test_disclosing_terms_of_entities_on_one_line(spark):
+    """Every entity is examined: names of three letters, names that are part of the address, and lines copied often, against plain counts."""
+    rng = np.random.default_rng(6)
+    names = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(40)]
+    texts = [" ".join(rng.choice(names, 8)) + f" no{i}" for i in range(1000)]
+    texts += [f"{names[0]} Kim {names[1]} kim.lee@zoo.org", f"{names[2]} Lee lee.19@far.net", f"Anabel {names[3]} +49 (30) 555-2485 Anabel", f"{names[4]} org.x@zoo.org", "Mail lee.77@here.net"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    emails = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\+[0-9][ ().0-9-]+[0-9]")
+    words = {t: {w for w in re.findall(r"[^\W_]+", emails.sub("\n", t.lower())) if w.isalpha()} for t in set(texts)}
+    held = {t: set(emails.findall(t.lower())) for t in words}
+    n, expected = len(words), {}
+    for e in set().union(*held.values()):
+        on = [t for t in words if e in held[t]]
+        for w in set().union(*(words[t] for t in on)):
+            ct, cte, ic = sum(w in ws for ws in words.values()), sum(w in words[t] for t in on), math.log2(n / len(on))
+            p, z = cte / ct, 1.6448536
+            low = (p + z * z / (2 * ct) - z * math.sqrt(p * (1 - p) / ct + z * z / (4 * ct * ct))) / (1 + z * z / ct)
+            if math.log2(n * low / len(on)) / ic >= 0.8:
+                expected[e, w] = round(math.log2(n * cte / (ct * len(on))) / ic, 9)
+    assert {("kim.lee@zoo.org", "kim"), ("lee.19@far.net", "lee"), ("+49 (30) 555-2485", "anabel")} <= set(expected)
+    assert {(r.entity, r.term): round(r.share, 9) for r in pii.disclosing_terms(df).collect()} == expected
+    assert pii.disclosing_terms(df.where("doc_id = 1000")).count() == 0
+    found = {r.doc_id: r.text for r in pii.sanitised(pii.find_pii(df)).collect()}
+    assert all(w not in found[1000] + found[1002] for w in ("Kim", "kim", "Anabel"))
+
+
 # ------------------------------------------------------------------ pipeline
 
 
