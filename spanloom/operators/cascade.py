@@ -276,24 +276,3 @@ def founders(peaks: DataFrame, case: str, family: str, motifs: DataFrame | None
         F.array_join(F.transform(F.slice(apart, 1, 2), lambda c: F.bround(_median(F.transform(c["members"], lambda p: p["period"]))).cast("long").cast("string")), ",").alias("alternatives"),
         F.coalesce(short_founder(founder, now["score"]), F.lit(False)).alias("weak_short"), F.when(short, longer["period"]).alias("longer"),
     )
-
-
-def communities(edges: DataFrame, components: DataFrame, rounds: int = 20) -> DataFrame:
-    """(node, community): label propagation by edge weight within each component; ties go to the smallest label.
-
-    ``edges`` (src, dst, weight), ``components`` (node, component). All nodes take their neighbourhood's heaviest label at once, every other
-    round only if it is smaller than their own, so that two sides do not swap for ever; a fixed number of rounds bounds the work.
-    """
-    both = edges.select("src", "dst", "weight").union(edges.select(F.col("dst"), F.col("src"), F.col("weight"))).where("src <> dst")
-    both = cut(both.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
-    labels = components.select("node", F.col("node").alias("community"))
-    for turn in range(rounds):
-        votes = both.join(labels, F.col("dst") == F.col("node")).groupBy("src", "community").agg(F.sum("weight").alias("w"))
-        choice = votes.groupBy("src").agg(F.min(F.struct((-F.round("w", 9)).alias("o"), "community")).alias("c")).select(F.col("src").alias("node"), F.col("c.community").alias("chosen"))
-        joined = labels.join(choice, "node", "left")
-        free = F.lit(turn % 2 == 1) | (F.col("chosen") < F.col("community"))
-        after = cut(joined.select("node", F.when(F.col("chosen").isNotNull() & free, F.col("chosen")).otherwise(F.col("community")).alias("community"), (F.col("chosen").isNotNull() & free & (F.col("chosen") != F.col("community"))).alias("moved")))
-        labels = after.select("node", "community")
-        if turn and after.where("moved").isEmpty():
-            break
-    return labels

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.sequences import kmers
 from spanloom.session import cut
 
 LETTERS = "ACGT"
@@ -32,6 +33,16 @@ def keep_fragments(df: DataFrame, key: str, length: str, copies: str, min_copies
     return df.join(middle, key).where((F.col(copies) >= min_copies) & (F.col(length) >= min_share * F.col("__median"))).drop("__median")
 
 
+def chosen_fragments(df: DataFrame, key: str, length: str, copies: str, seq: str) -> DataFrame:
+    """(key, seq, method): the fragment of greatest length times copies, for keys that ``keep_fragments`` leaves a single one; other keys have no row.
+
+    These need no alignment: their fragment stands as the consensus.
+    """
+    kept = keep_fragments(df, key, length, copies)
+    best = kept.groupBy(key).agg(F.count("*").alias("n"), F.max_by(seq, F.struct((F.col(length) * F.col(copies)).alias("w"), F.col(seq))).alias(seq))
+    return best.where("n = 1").select(key, seq, F.lit("single").alias("method"))
+
+
 def _weighted_median(lengths: list[float], counts: list[int]) -> float:
     order = np.argsort(lengths)
     values, upto = np.array(lengths)[order], np.cumsum(np.array(counts)[order])
@@ -98,6 +109,34 @@ def stack_consensus(rows: DataFrame, key: str, seq: str, max_gap: float = 0.5, l
     return each.groupBy(key).agg(text.alias("consensus"), F.count_if("kept").alias("n_kept"), F.count_if(~F.col("kept")).alias("n_dropped"), F.count_if(F.col("kept") & (F.col("base") == "N")).alias("n_n"), F.avg(F.when(F.col("kept"), F.col("entropy"))).alias("mean_entropy"))
 
 
+def variants(tally: DataFrame, seq_id: str, least: float = 0.2) -> DataFrame:
+    """(seq_id, pos, bases, n_bases): of each consensus column the bases with over ``least`` of its weight, the heaviest first, ties in the order of the letters.
+
+    ``n_bases`` counts all bases that occur; columns with more than one are the variable ones. ``tally`` has (seq_id, pos, base, n), with
+    '-' for gaps where there are any, and n may be a weight.
+    """
+    total = tally.groupBy(seq_id, "pos").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("n_bases"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col("base")))).alias("b"))
+    strong = F.filter("b", lambda x: -x["o"] / F.col("total") > least)
+    return total.select(seq_id, "pos", F.array_join(F.transform(strong, lambda x: x["base"]), "").alias("bases"), "n_bases")
+
+
+def weighted_tally(rows: DataFrame, key: str, seq: str, weight: str) -> DataFrame:
+    """(key, pos, base, n): the summed weights of the rows that have a base, or a gap, in an aligned column."""
+    letters = rows.select(key, weight, F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("pos", "base")).where(F.col("base").isin(*LETTERS, "-"))
+    return letters.groupBy(key, "pos", "base").agg(F.sum(weight).alias("n"))
+
+
+def commonest_kmer(df: DataFrame, seq_id: str, seq: str, k: int) -> DataFrame:
+    """(seq_id, kmer): the k-mer that occurs most often in a sequence, the least of equals."""
+    counts = df.select(seq_id, F.explode(kmers(F.col(seq), k)).alias("kmer")).groupBy(seq_id, "kmer").agg(F.count("*").alias("n"))
+    return counts.groupBy(seq_id).agg(F.min(F.struct((-F.col("n")).alias("o"), "kmer")).alias("b")).select(seq_id, "b.kmer")
+
+
+def plain_consensus(df: DataFrame, seq_id: str, seq: str, k: int, window: int) -> DataFrame:
+    """A stand-alone consensus: windows from each occurrence of the commonest k-mer, stacked column by column."""
+    return stack_consensus(monomers(df, seq_id, seq, commonest_kmer(df, seq_id, seq, k), window), seq_id, "copy")
+
+
 def window_tally(df: DataFrame, seq_id: str, seq: str, period: int, window: int) -> DataFrame:
     """(seq_id, window_no, pos, base, n): bases at each position modulo the period, window by window; a short tail belongs to the last whole window."""
     letters = df.select(seq_id, F.greatest(F.floor(F.length(seq) / window) - 1, F.lit(0)).alias("last"), F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("i", "base"))
@@ -253,15 +292,18 @@ def monomer_cycles(counts: DataFrame, key: str, **how) -> DataFrame:
 
 
 def greedy_clusters(nodes: DataFrame, edges: DataFrame, rank: Column, max_rounds: int = 200) -> DataFrame:
-    """(node, representative): what taking nodes by ``rank``, then id, gives when each free one becomes a representative and its neighbours join.
+    """(node, representative): what taking nodes by ``rank`` gives when each free one becomes a representative and its neighbours join.
 
-    A node stands once no free neighbour precedes it, so whole layers are settled a round; members then pick their first representative.
-    Rounds are as many as the longest chain of such waits; more than ``max_rounds`` is an error. Edges count both ways.
+    Equal ranks go by a hash of the node, then by the node, so that a chain of ties is no longer than chance makes it. A node that is
+    listed twice counts once, with its least rank; null nodes and edges to unlisted nodes are left out. A node stands once no free
+    neighbour precedes it, so whole layers are settled a round; members then pick their first representative. Rounds are as many as
+    the longest chain of such waits; more than ``max_rounds``, or a round that settles nothing, is an error. Edges count both ways.
     """
-    order = nodes.select("node", F.struct(rank.alias("r"), F.col("node").alias("i")).alias("k"))
+    least = nodes.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(rank).alias("r"))
+    order = cut(least.select("node", F.struct("r", F.xxhash64("node").alias("h"), F.col("node").alias("i")).alias("k")))
     ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("u"), F.col("dst").alias("v")), F.struct(F.col("dst").alias("u"), F.col("src").alias("v")))).alias("e")).select("e.u", "e.v").distinct()
     ahead = cut(ends.join(order.toDF("u", "ku"), "u").join(order.toDF("v", "kv"), "v").where("ku < kv").select("u", "v"))
-    free, live, layers = cut(order.select("node")), ahead, []
+    free, live, layers = order.select("node"), ahead, []
     for _ in range(max_rounds):
         waiting = live.select(F.col("v").alias("node")).distinct()
         layers.append(cut(free.join(waiting, "node", "left_anti")))
@@ -269,6 +311,8 @@ def greedy_clusters(nodes: DataFrame, edges: DataFrame, rank: Column, max_rounds
         free = cut(free.join(waiting, "node", "left_semi").join(taken, "node", "left_anti"))
         if free.isEmpty():
             break
+        if layers[-1].isEmpty():
+            raise RuntimeError("a round of clusters settled no node")
         live = cut(live.join(free.withColumnRenamed("node", "u"), "u", "left_semi").join(free.withColumnRenamed("node", "v"), "v", "left_semi"))
     else:
         raise RuntimeError(f"clusters did not settle in {max_rounds} rounds")

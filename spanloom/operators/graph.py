@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.session import cut
+from spanloom.session import cut, written
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -52,10 +52,11 @@ def superfamily_score() -> Column:
     return (F.col("length") * F.col("pident") - F.col("gapopen")) / F.greatest("qlen", "slen")
 
 
-def comparative_gate(min_coverage: float = 0.8, min_identity: float = 80.0, by_longer: bool = True) -> Column:
-    """Hits covered and identical enough, by the greater or the lesser of both coverages."""
+def comparative_gate(min_coverage: float = 0.8, min_identity: float = 80.0, by_longer: bool = True, same: Column | None = None) -> Column:
+    """Hits covered and identical enough, by the greater or the lesser of both coverages; hits for which ``same`` holds pass anyway."""
     coverage = F.greatest("qcov", "tcov") if by_longer else F.least("qcov", "tcov")
-    return (coverage >= min_coverage) & (F.col("pident") >= min_identity)
+    passed = (coverage >= min_coverage) & (F.col("pident") >= min_identity)
+    return passed if same is None else passed | F.coalesce(same, F.lit(False))
 
 
 def best_directed(hits: DataFrame, by: str = "bitscore") -> DataFrame:
@@ -75,10 +76,25 @@ def simplify(edges: DataFrame, src: str, dst: str, weight: str) -> DataFrame:
     return edges.where(F.col(src) != F.col(dst)).groupBy(F.least(src, dst).alias("src"), F.greatest(src, dst).alias("dst")).agg(F.sum(weight).alias("weight"))
 
 
-def compose(first: DataFrame, second: DataFrame) -> DataFrame:
-    """(member, component) maps applied one after the other; what the second lacks stays."""
+def with_isolated(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
+    """(node, degree, strength) of every node of a weighted graph (src, dst, weight), also of those without an edge."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias(node), "weight")
+    sums = ends.groupBy(node).agg(F.count("*").alias("degree"), F.sum("weight").alias("strength"))
+    return nodes.select(node).distinct().join(sums, node, "left").select(node, F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("strength", F.lit(0.0)).alias("strength"))
+
+
+def canonical_pairs(hits: DataFrame) -> DataFrame:
+    """(src, dst): each pair of hits once with src <= dst, and a self loop for every sequence that has a hit."""
+    pairs = hits.select(F.least("q", "s").alias("src"), F.greatest("q", "s").alias("dst"))
+    loops = hits.select(F.explode(F.array("q", "s")).alias("src")).select("src", F.col("src").alias("dst"))
+    return pairs.unionByName(loops).distinct()
+
+
+def compose(first: DataFrame, second: DataFrame, keep: bool = True) -> DataFrame:
+    """(member, component) maps applied one after the other; what the second lacks stays, or goes where ``keep`` is false."""
     then = second.select(F.col("node").alias("__node"), F.col("component").alias("__component"))
-    return first.join(then, F.col("component") == F.col("__node"), "left").select("node", F.coalesce("__component", "component").alias("component"))
+    joined = first.join(then, F.col("component") == F.col("__node"), "left" if keep else "inner")
+    return joined.select("node", F.coalesce("__component", "component").alias("component"))
 
 
 def attach_small(small: DataFrame, members: DataFrame) -> DataFrame:
@@ -104,12 +120,135 @@ def merge_groups(membership: DataFrame, member: str, group: str) -> DataFrame:
 
 
 def override_groups(groups: DataFrame, overrides: DataFrame, key: str, group: str) -> DataFrame:
-    """Groups replaced where ``overrides`` has the key, keys only there appended, then numbered anew by size."""
-    both = groups.join(overrides.select(key, F.col(group).alias("__o")), key, "full_outer").select(key, F.coalesce("__o", group).alias("__g"))
-    order = both.groupBy("__g").agg(F.count("*").alias("n")).withColumn(group, F.row_number().over(Window.orderBy(F.col("n").desc(), "__g")))
+    """Groups replaced where ``overrides`` has the key, keys only there appended, then numbered from 1 by first appearance.
+
+    Overriding groups are shifted beyond the largest similarity group, so numbers never collide. Appearance goes by key, rows of
+    ``groups`` first. What is ranked is one row a group.
+    """
+    top = groups.agg(F.coalesce(F.max(group), F.lit(0)).alias("__top"))
+    shifted = overrides.crossJoin(F.broadcast(top)).select(key, (F.col(group) + F.col("__top")).alias("__o"))
+    known = groups.withColumn("__late", F.lit(0))
+    both = known.join(shifted, key, "full_outer").select(key, F.coalesce("__o", group).alias("__g"), F.coalesce("__late", F.lit(1)).alias("__late"))
+    first = both.groupBy("__g").agg(F.min(F.struct("__late", key)).alias("__first"))
+    order = first.withColumn(group, F.row_number().over(Window.orderBy("__first")))
     return both.join(order, "__g").select(key, group)
 
 
+def number_by_length(df: DataFrame, group: str, length: str, into: str = "family") -> DataFrame:
+    """(group, length, family): groups numbered from 1 by summed length, longest first, ties by group."""
+    sums = df.groupBy(group).agg(F.sum(length).alias(length))
+    return sums.withColumn(into, F.row_number().over(Window.orderBy(F.col(length).desc(), group)))
+
+
+def consistent_labels(pairs: DataFrame, labels: DataFrame, a: str, b: str, label: str) -> DataFrame:
+    """Pairs but those whose two ends have different labels; an end without a label goes with anything."""
+    known = labels.where(F.col(label).isNotNull())
+    first = known.select(F.col("node").alias(a), F.col(label).alias("__la"))
+    second = known.select(F.col("node").alias(b), F.col(label).alias("__lb"))
+    both = pairs.join(first, a, "left").join(second, b, "left")
+    return both.where(F.col("__la").isNull() | F.col("__lb").isNull() | (F.col("__la") == F.col("__lb"))).select(*pairs.columns)
+
+
+def superfamilies(hits: DataFrame, min_score: float = 20.0) -> DataFrame:
+    """(node, family, size): best directed hit of each pair, scored, gated and joined into components of two or more.
+
+    Families are numbered from 1 by size, largest first, ties by their smallest member; nodes without a partner have no row.
+    """
+    best = best_directed(hits.select("q", "s", "bitscore", "pident", "length", "gapopen", "qlen", "slen"))
+    edges = best.where((superfamily_score() >= min_score) & (F.col("q") != F.col("s"))).select(F.col("q").alias("src"), F.col("s").alias("dst"))
+    parts = cut(connected_components(edges))
+    sizes = parts.groupBy("component").agg(F.count("*").alias("size"))
+    ranked = sizes.withColumn("family", F.row_number().over(Window.orderBy(F.col("size").desc(), "component")).cast("long"))
+    return parts.join(ranked, "component").select("node", "family", "size")
+
+
+def group_by_motif(df: DataFrame, node: str, motif: str) -> DataFrame:
+    """(node, representative): nodes with the same motif string; the smallest node of it stands for them. Null motifs go."""
+    known = df.where(F.col(motif).isNotNull()).select(node, motif)
+    return known.join(known.groupBy(motif).agg(F.min(node).alias("representative")), motif).select(node, "representative")
+
+
+def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) -> float:
+    """Newman's modularity of a labelling (node, community) of undirected weighted edges, one row an edge; loops have src = dst."""
+    ends = edges.join(labels.select(F.col("node").alias("src"), F.col("community").alias("a")), "src").join(labels.select(F.col("node").alias("dst"), F.col("community").alias("b")), "dst")
+    halves = ends.select(F.explode(F.array("a", "b")).alias("c"), "weight", (F.col("a") == F.col("b")).alias("same"))
+    each = halves.groupBy("c").agg(F.sum("weight").alias("d"), F.coalesce(F.sum(F.when(F.col("same"), F.col("weight"))), F.lit(0.0)).alias("i"))
+    inside, twice, squares = each.agg(F.sum("i"), F.sum("d"), F.sum(F.pow("d", F.lit(2)))).first()
+    return inside / twice - resolution * squares / twice**2 if twice else 0.0
+
+
+def communities(edges: DataFrame, resolution: float = 1.0, tolerance: float = 1e-3, max_rounds: int = 200) -> DataFrame:
+    """(node, community) by modularity: rounds of moves as joins and aggregations, then the same on the graph of communities.
+
+    ``edges`` (src, dst, weight) are undirected with positive weights. In a round each node looks up the community that raises modularity
+    most (gain from its weight to the community and both totals; ties to the smallest label). Communities are givers or takers by a hash
+    of label and round, so none gives and takes at once. If such a round does not raise modularity it is taken back, and each giver
+    and each taker makes its best single move instead: those gains add up exactly. A level ends once moves gain no more than
+    ``tolerance``, the whole once a level does. A community is named by its smallest node. Not settling in ``max_rounds`` rounds a
+    level is an error.
+    """
+    links = written(edges.where("weight > 0").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.sum("weight").cast("double").alias("weight")))
+    nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    whole = written(nodes.withColumn("community", F.col("node")))
+    total = links.agg(F.sum("weight")).first()[0]
+    if not total:
+        return whole
+    reached = modularity(links, whole, resolution)
+    while True:
+        labels, quality = _moved(links, total, reached, resolution, tolerance, max_rounds)
+        if quality - reached <= tolerance:
+            break
+        reached = quality
+        whole = written(whole.join(labels.toDF("community", "__to"), "community").select("node", F.col("__to").alias("community")))
+        first, second = (labels.select(F.col("node").alias(e), F.col("community").alias(f"__{e}")) for e in ("src", "dst"))
+        merged = links.join(first, "src").join(second, "dst").groupBy(F.least("__src", "__dst").alias("src"), F.greatest("__src", "__dst").alias("dst"))
+        links = written(merged.agg(F.sum("weight").alias("weight")))
+    names = whole.groupBy("community").agg(F.min("node").alias("name"))
+    return whole.join(names, "community").select("node", F.col("name").alias("community"))
+
+
+def _moved(links: DataFrame, total: float, quality: float, resolution: float, tolerance: float, max_rounds: int) -> tuple[DataFrame, float]:
+    """One level: (node, community) from single nodes on, and its modularity."""
+    both = written(links.where("src <> dst").select("src", "dst", "weight").union(links.where("src <> dst").select("dst", "src", "weight")))
+    degree = written(links.select(F.explode(F.array("src", "dst")).alias("node"), "weight").groupBy("node").agg(F.sum("weight").alias("k")))
+    labels, idle = degree.select("node", F.col("node").alias("community")), 0
+    for turn in range(max_rounds):
+        held = labels.join(degree, "node")
+        totals = held.groupBy("community").agg(F.sum("k").alias("tot"))
+        to = both.join(labels.toDF("dst", "c"), "dst").groupBy("src", "c").agg(F.sum("weight").alias("w"))
+        own = held.join(totals, "community").select(F.col("node").alias("src"), F.col("community").alias("own"), "k", F.col("tot").alias("own_tot"))
+        seen = to.join(own, "src").join(totals.toDF("c", "tot"), "c")
+        # the gain of standing in c, less that of standing alone, in units of 1 / total
+        stay = F.when(F.col("c") == F.col("own"), F.col("w") - resolution * F.col("k") * (F.col("tot") - F.col("k")) / (2 * total))
+        go = F.when(F.col("c") != F.col("own"), F.struct((-F.round(F.col("w") - resolution * F.col("k") * F.col("tot") / (2 * total), 9)).alias("o"), F.col("c")))
+        alone = -resolution * F.col("k") * (F.col("own_tot") - F.col("k")) / (2 * total)  # where no edge leads to its own community
+        best = seen.groupBy("src", "own").agg(F.max(stay).alias("stay"), F.min(go).alias("go"), F.first(alone).alias("alone"))
+        wish = best.where("go is not null").select("src", "own", F.col("go.c").alias("c"), (-F.col("go.o") - F.coalesce("stay", "alone")).alias("gain")).where(F.col("gain") > 1e-9 * total)
+        wish = written(wish)
+        if wish.isEmpty():
+            return labels, quality
+        gives = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2)) == 0
+        dealt = wish.where(gives("own") & ~gives("c"))
+        after = _relabelled(labels, dealt)
+        reached = modularity(links, after, resolution)
+        if reached <= quality + tolerance:
+            one = dealt.groupBy("own").agg(F.max(F.struct("gain", "src", "c")).alias("m")).select("own", "m.*")
+            one = one.groupBy("c").agg(F.max(F.struct("gain", "src")).alias("m")).select("c", "m.*")
+            singly = _relabelled(labels, one)
+            by_one = modularity(links, singly, resolution)
+            after, reached = (singly, by_one) if by_one > reached else (after, reached)
+        idle = idle + 1 if reached - quality <= tolerance else 0
+        if reached > quality:
+            labels, quality = after, reached
+        if idle >= 3:  # a wish has its turn in one round of four
+            return labels, quality
+    raise RuntimeError(f"communities did not settle in {max_rounds} rounds")
+
+
+def _relabelled(labels: DataFrame, moves: DataFrame) -> DataFrame:
+    return written(labels.join(moves.select(F.col("src").alias("node"), "c"), "node", "left").select("node", F.coalesce("c", "community").alias("community")))
+
+
 def uncovered(everything: DataFrame, *covers: DataFrame, key: str) -> DataFrame:
     """Keys in none of the covers."""
     left = everything.select(key).distinct()

@@ -6,7 +6,7 @@ so they run as hash or sort-merge joins with a residual and never as nested loop
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,16 +22,33 @@ def _islands(df: DataFrame, keys: Sequence[str], s: str, e: str, touch: int) ->
     return numbered.groupBy(*keys, "__island").agg(F.min(s).alias(s), F.max(e).alias(e), F.sum("__n").alias("__n")).drop("__island")
 
 
+def _carried(bins: DataFrame, keys: Sequence[str], value: str, into: str, how: Callable[[str], Column], last: int = -1) -> DataFrame:
+    """(keys, __bin, into): an aggregate of a per-bin value over the bins before. What is ordered is one row for each occupied bin."""
+    before = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, last)
+    return bins.select(*keys, "__bin", how(value).over(before).alias(into))
+
+
 def merge_intervals(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", touch: int = 1, width: int | None = WIDTH) -> DataFrame:
     """(keys, s, e, n): maximal runs of intervals that overlap or lie within ``touch`` of each other, and how many made each.
 
-    Intervals are merged within coordinate bins of ``width`` first, so what one key's final pass orders is its
-    bins' islands rather than all of its rows. Other columns are dropped; rows with a null end are left out.
+    Intervals are merged within coordinate bins of ``width`` first; an island belongs to the bin of its start. Islands that the greatest end
+    of earlier bins reaches continue a run and are added up by bin, and only the last island that starts a run in its bin can be
+    continued. So a key's final pass orders at most two rows a bin. Other columns are dropped; rows with a null end are left out.
     """
     rows = df.select(*keys, s, e).where(F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn("__n", F.lit(1).cast("long"))
-    if width:
-        rows = _islands(rows.withColumn("__bin", F.floor(F.col(s) / width)), [*keys, "__bin"], s, e, touch).drop("__bin")
-    return _islands(rows, keys, s, e, touch).withColumnRenamed("__n", "n")
+    if not width:
+        return _islands(rows, keys, s, e, touch).withColumnRenamed("__n", "n")
+    by = [*keys, "__bin"]
+    islands = _islands(rows.withColumn("__bin", F.floor(F.col(s) / width)), by, s, e, touch)
+    reach = _carried(islands.groupBy(*by).agg(F.max(e).alias("__top")), keys, "__top", "__reach", F.max)
+    fresh = F.col("__reach").isNull() | (F.col(s) > F.col("__reach") + touch)
+    last = F.max(F.when(F.col("__fresh"), F.col(s))).over(Window.partitionBy(*by))
+    placed = islands.join(reach, by).withColumn("__fresh", fresh).withColumn("__last", last)
+    inner = F.col("__fresh") & (F.col(s) < F.col("__last"))
+    done = placed.where(inner).select(*keys, s, e, "__n")
+    edge = placed.where(~inner).groupBy(*by, "__fresh").agg(F.min(s).alias(s), F.max(e).alias(e), F.sum("__n").alias("__n"))
+    runs = _islands(edge.select(*keys, s, e, "__n"), keys, s, e, touch)
+    return done.unionByName(runs).withColumnRenamed("__n", "n")
 
 
 def union_length(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", inclusive: bool = True) -> DataFrame:
@@ -50,22 +67,37 @@ def _in_bins(df: DataFrame, s: Column, e: Column, width: int) -> DataFrame:
     return df.withColumn("__bin", F.explode(F.sequence(F.floor(s / width), F.floor(e / width))))
 
 
-def segments(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e") -> DataFrame:
+def _with_next(points: DataFrame, keys: Sequence[str], at: str, into: str, width: int) -> DataFrame:
+    """Points with the next one of their key: within coordinate bins, and for a bin's last point the first one of the next occupied bin."""
+    by = [*keys, "__bin"]
+    binned = points.withColumn("__bin", F.floor(F.col(at) / width))
+    firsts = binned.groupBy(*by).agg(F.min(at).alias("__first"))
+    after = firsts.select(*by, F.lead("__first").over(Window.partitionBy(*keys).orderBy("__bin")).alias("__after"))
+    inside = F.lead(at).over(Window.partitionBy(*by).orderBy(at))
+    return binned.withColumn(into, inside).join(after, by).withColumn(into, F.coalesce(into, "__after")).drop("__after")
+
+
+def segments(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
     """(keys, a, b): the half-open pieces between neighbouring breakpoints (starts, and ends + 1) of each key."""
     points = df.select(*keys, F.explode(F.array(F.col(s), F.col(e) + 1)).alias("a")).distinct()
-    return points.withColumn("b", F.lead("a").over(Window.partitionBy(*keys).orderBy("a"))).where(F.col("b").isNotNull())
+    return _with_next(points, keys, "a", "b", width).where(F.col("b").isNotNull()).drop("__bin")
 
 
 def covering(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
     """Each piece of ``segments`` with every interval that covers it."""
-    pieces = segments(df, keys, s, e).withColumn("__bin", F.floor(F.col("a") / width))
+    pieces = segments(df, keys, s, e, width).withColumn("__bin", F.floor(F.col("a") / width))
     return _in_bins(df, F.col(s), F.col(e), width).join(pieces, [*keys, "__bin"]).where((F.col(s) <= F.col("a")) & (F.col(e) + 1 >= F.col("b"))).drop("__bin")
 
 
-def split_segments(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
-    """(keys, s, e, names): disjoint pieces and the sorted, '|'-joined set of the names over each."""
-    found = covering(df, keys, s, e, width).groupBy(*keys, "a", "b").agg(F.array_join(F.array_sort(F.collect_set(name)), "|").alias("names"))
-    return found.select(*keys, F.col("a").alias("s"), (F.col("b") - 1).alias("e"), "names")
+def split_segments(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = WIDTH, strand: str | None = None) -> DataFrame:
+    """(keys, s, e, names): disjoint pieces and the sorted, '|'-joined set of the names over each.
+
+    With ``strand`` a piece also has that column: the strand that all intervals over it share, else '.'.
+    """
+    names = F.array_join(F.array_sort(F.collect_set(name)), "|").alias("names")
+    common = [F.when(F.min(strand) == F.max(strand), F.min(strand)).otherwise(".").alias(strand)] if strand else []
+    found = covering(df, keys, s, e, width).groupBy(*keys, "a", "b").agg(names, *common)
+    return found.select(*keys, F.col("a").alias("s"), (F.col("b") - 1).alias("e"), "names", *([strand] if strand else []))
 
 
 def drop_ambiguous(pieces: DataFrame, names: str = "names") -> DataFrame:
@@ -73,17 +105,20 @@ def drop_ambiguous(pieces: DataFrame, names: str = "names") -> DataFrame:
     return pieces.where(~F.contains(names, F.lit("|")))
 
 
-def contained(df: DataFrame, outer: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e") -> DataFrame:
+def contained(df: DataFrame, outer: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
     """Rows of ``df`` that lie within some interval of ``outer`` with equal keys.
 
-    A running maximum of the outer ends, in order of start, decides it: no pairs are formed.
+    The greatest outer end among earlier starts decides it, within coordinate bins and carried from bin to bin: no pairs are formed.
     """
+    by = [*keys, "__bin"]
     data = df.withColumn("__outer", F.lit(1))
     other = outer.select(*keys, s, e).withColumn("__outer", F.lit(0))
-    both = data.unionByName(other, allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy(s, "__outer").rowsBetween(Window.unboundedPreceding, 0)
+    both = data.unionByName(other, allowMissingColumns=True).withColumn("__bin", F.floor(F.col(s) / width))
+    order = Window.partitionBy(*by).orderBy(s, "__outer").rowsBetween(Window.unboundedPreceding, 0)
     reach = F.max(F.when(F.col("__outer") == 0, F.col(e))).over(order)
-    return both.withColumn("__reach", reach).where((F.col("__outer") == 1) & (F.col("__reach") >= F.col(e))).select(*df.columns)
+    tops = _carried(both.groupBy(*by).agg(F.max(F.when(F.col("__outer") == 0, F.col(e))).alias("__top")), keys, "__top", "__before", F.max)
+    held = both.withColumn("__reach", reach).where("__outer = 1").join(tops, by)
+    return held.where(F.greatest("__reach", "__before") >= F.col(e)).select(*df.columns)
 
 
 def best_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str, s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
@@ -124,13 +159,19 @@ def gaps(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e") -> Data
     return merge_intervals(df, keys, s, e).withColumn("gap", after).groupBy(*keys).agg(F.count("gap").alias("n_gaps"), F.coalesce(F.max("gap"), F.lit(0)).alias("max_gap"), F.coalesce(F.sum("gap"), F.lit(0)).alias("gap_total"))
 
 
-def depth(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e") -> DataFrame:
-    """(keys, s, e, depth): pieces of constant, positive coverage depth, from counted entries and exits."""
+def depth(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+    """(keys, s, e, depth): pieces of constant, positive coverage depth, from counted entries and exits.
+
+    The running sum is taken within coordinate bins, on top of the sum of the bins before.
+    """
     steps = df.select(*keys, F.explode(F.array(F.struct(F.col(s).alias("p"), F.lit(1).alias("d")), F.struct((F.col(e) + 1).alias("p"), F.lit(-1).alias("d")))).alias("x"))
     summed = steps.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d"))
-    order = Window.partitionBy(*keys).orderBy("p")
-    run = summed.withColumn("depth", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("next", F.lead("p").over(order))
-    return run.where("depth > 0").select(*keys, F.col("p").alias("s"), (F.col("next") - 1).alias("e"), "depth")
+    by = [*keys, "__bin"]
+    run = _with_next(summed, keys, "p", "next", width)
+    before = _carried(run.groupBy(*by).agg(F.sum("d").alias("__sum")), keys, "__sum", "__before", F.sum)
+    inside = F.sum("d").over(Window.partitionBy(*by).orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
+    deep = run.withColumn("depth", inside).join(before, by).withColumn("depth", F.col("depth") + F.coalesce("__before", F.lit(0)))
+    return deep.where("depth > 0").select(*keys, F.col("p").alias("s"), (F.col("next") - 1).alias("e"), "depth")
 
 
 def deduplicate(df: DataFrame, keys: Sequence[str], last: str) -> DataFrame:
@@ -151,9 +192,15 @@ def chunk_map(sizes: DataFrame, seq: str, length: str, chunk: int, overlap: int)
     return parts.select(seq, "chunk_no", (F.col("chunk_no") * F.col("__step")).alias("start0"), end.alias("end0"))
 
 
-def to_chunks(df: DataFrame, chunks: DataFrame, seq: str, s: str = "s", e: str = "e") -> DataFrame:
-    """One row for each chunk that holds an interval whole, in the chunk's own coordinates."""
-    return df.join(chunks, seq).where((F.col("start0") <= F.col(s)) & (F.col(e) < F.col("end0"))).withColumn(s, F.col(s) - F.col("start0")).withColumn(e, F.col(e) - F.col("start0")).drop("start0", "end0")
+def to_chunks(df: DataFrame, chunks: DataFrame, seq: str, s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+    """One row for each chunk that holds an interval whole, in the chunk's own coordinates.
+
+    A chunk that holds an interval holds its start, so intervals meet the chunks over the bin of their start only; ``width`` is best
+    about a chunk's size.
+    """
+    over = _in_bins(chunks, F.col("start0"), F.col("end0") - 1, width)
+    met = df.withColumn("__bin", F.floor(F.col(s) / width)).join(over, [seq, "__bin"]).where((F.col("start0") <= F.col(s)) & (F.col(e) < F.col("end0")))
+    return met.withColumn(s, F.col(s) - F.col("start0")).withColumn(e, F.col(e) - F.col("start0")).drop("start0", "end0", "__bin")
 
 
 def from_chunks(df: DataFrame, chunks: DataFrame, seq: str, s: str = "s", e: str = "e") -> DataFrame:
@@ -161,17 +208,28 @@ def from_chunks(df: DataFrame, chunks: DataFrame, seq: str, s: str = "s", e: str
     return df.join(chunks.select(seq, "chunk_no", "start0"), [seq, "chunk_no"]).withColumn(s, F.col(s) + F.col("start0")).withColumn(e, F.col(e) + F.col("start0")).drop("start0")
 
 
-def mask_sequences(seqs: DataFrame, regions: DataFrame, seq_id: str = "seq_id", seq: str = "seq", s: str = "s", e: str = "e", letter: str = "N") -> DataFrame:
-    """(seq_id, seq): sequences with the union of their regions (1-based, inclusive) overwritten by ``letter``."""
-    merged = merge_intervals(regions, [seq_id], s, e).groupBy(seq_id).agg(F.array_sort(F.collect_list(F.struct(s, e))).alias("r"))
-
-    def step(state: Column, r: Column) -> Column:
-        upto = F.least(r[e], F.length(seq).cast("long"))
-        run = F.greatest(F.lit(0).cast("long"), upto - r[s] + 1).cast("int")
-        return F.struct(F.concat(state["out"], F.substring(F.col(seq), state["at"], F.greatest(F.lit(0), (r[s] - state["at"]).cast("int"))), F.repeat(F.lit(letter), run)).alias("out"), (upto + 1).cast("int").alias("at"))
+def mask_sequences(seqs: DataFrame, regions: DataFrame, seq_id: str = "seq_id", seq: str = "seq", s: str = "s", e: str = "e", letter: str = "N", block: int = WIDTH) -> DataFrame:
+    """(seq_id, seq): sequences with the union of their regions (1-based, inclusive) overwritten by ``letter``.
 
-    whole = F.aggregate(F.coalesce("r", F.array().cast(merged.schema["r"].dataType)), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step, lambda z: F.concat(z["out"], F.substring(F.col(seq), z["at"], F.length(seq))))
-    return seqs.join(merged, seq_id, "left").select(seq_id, whole.alias(seq))
+    Sequences are cut into blocks of ``block`` letters, which are masked apart and put together again: no region makes its whole sequence be
+    copied. Ids are unique; a null sequence stays null, and one without regions as it is.
+    """
+    merged = merge_intervals(regions, [seq_id], s, e).where(F.col(e) >= 1).select(seq_id, F.greatest(F.col(s), F.lit(1)).alias("__s"), F.col(e).alias("__e"))
+    parts = merged.select(seq_id, "__s", "__e", F.explode(F.sequence(F.floor((F.col("__s") - 1) / block), F.floor((F.col("__e") - 1) / block))).alias("__block"))
+    low = F.col("__block") * block
+    local = F.struct(F.greatest(F.col("__s") - low, F.lit(1)).cast("int").alias("s"), F.least(F.col("__e") - low, F.lit(block)).cast("int").alias("e"))
+    spans = parts.groupBy(seq_id, "__block").agg(F.array_sort(F.collect_list(local)).alias("r"))
+    blocks = seqs.select(seq_id, F.posexplode(F.regexp_extract_all(F.col(seq), F.lit(f"(?s).{{1,{block}}}"), F.lit(0))).alias("__block", "__text")).withColumn("__block", F.col("__block").cast("long"))
+
+    def piece(r: Column, i: Column) -> Column:
+        at = F.coalesce(F.get(F.col("r"), i - 1)["e"], F.lit(0))
+        covered = F.greatest(F.lit(0), F.least(r["e"], F.length("__text")) - r["s"] + 1)
+        return F.concat(F.substring(F.col("__text"), at + 1, r["s"] - at - 1), F.repeat(F.lit(letter), covered))
+
+    rest = F.substring(F.col("__text"), F.element_at("r", -1)["e"] + 1, F.length("__text"))
+    masked = F.when(F.col("r").isNull(), F.col("__text")).otherwise(F.concat(F.array_join(F.transform("r", piece), ""), rest))
+    whole = blocks.join(spans, [seq_id, "__block"], "left").select(seq_id, F.struct("__block", masked.alias("t")).alias("b")).groupBy(seq_id).agg(F.array_join(F.transform(F.array_sort(F.collect_list("b")), lambda b: b["t"]), "").alias("__masked"))
+    return seqs.join(whole, seq_id, "left").select(seq_id, F.coalesce("__masked", seq).alias(seq))
 
 
 def reannotate(hits: DataFrame, lengths: DataFrame, seq: str = "seqid", name: str = "name", fraction: float = 0.05) -> DataFrame:

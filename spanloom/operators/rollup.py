@@ -81,17 +81,26 @@ def most_common(df: DataFrame, group: str, value: str, order: str) -> DataFrame:
 def tolerance_mode(df: DataFrame, group: str, value: str, tolerance: float = 0.1, least: int = 3, share: float = 0.25) -> DataFrame:
     """(group, mode, n): the median of the values within ``tolerance`` of the anchor that has most of them around it.
 
-    Values are counted first and anchors are distinct values, found by range bounds within the group's value counts; ties go to
-    the smallest anchor. Groups with under ``least`` or ``share`` of their values around it have no row.
+    Values are counted first and anchors are distinct values. How many lie around an anchor is the running count up to its upper bound
+    less that below its lower bound, so values and bounds are sorted together and no pairs are formed; ties go to the smallest anchor.
+    Groups with under ``least`` or ``share`` of their values around it have no row.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("c"))
-    reach = F.greatest(F.abs(F.col(value)), F.lit(1.0)) * tolerance
-    anchors = counts.select(group, F.col(value).alias("anchor"), (F.col(value) - reach).alias("low"), (F.col(value) + reach).alias("high"))
-    around = anchors.join(counts, group).where((F.col(value) >= F.col("low")) & (F.col(value) <= F.col("high")))
-    scored = around.groupBy(group, "anchor").agg(F.sum("c").alias("n"), F.percentile(value, F.lit(0.5), F.col("c")).alias("mode"))
-    best = scored.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("o"), "anchor", "mode")).alias("b"))
+    reach = lambda v: F.greatest(F.abs(v), F.lit(1.0)) * tolerance
+    v = F.col(value).cast("double")
+    points = F.array(
+        F.struct((v - reach(v)).alias("x"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("c")),
+        F.struct(v.alias("x"), F.lit(1).alias("kind"), F.col("c").alias("c")),
+        F.struct((v + reach(v)).alias("x"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("c")),
+    )
+    upto = F.sum("p.c").over(Window.partitionBy(group).orderBy("p.x", "p.kind").rowsBetween(Window.unboundedPreceding, 0))
+    swept = counts.select(group, v.alias("anchor"), F.explode(points).alias("p")).withColumn("upto", upto)
+    around = swept.groupBy(group, "anchor").agg(F.sum(F.when(F.col("p.kind") == 0, -F.col("upto")).when(F.col("p.kind") == 2, F.col("upto"))).alias("n"))
+    best = around.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("o"), "anchor")).alias("b")).select(group, "b.anchor", (-F.col("b.o")).alias("n"))
     totals = counts.groupBy(group).agg(F.sum("c").alias("total"))
-    return best.join(totals, group).select(group, "b.mode", (-F.col("b.o")).alias("n"), "total").where((F.col("n") >= least) & (F.col("n") >= share * F.col("total"))).drop("total")
+    chosen = best.join(totals, group).where((F.col("n") >= least) & (F.col("n") >= share * F.col("total")))
+    near = (v >= F.col("anchor") - reach(F.col("anchor"))) & (v <= F.col("anchor") + reach(F.col("anchor")))
+    return chosen.join(counts, group).where(near).groupBy(group, "n").agg(F.percentile(v, F.lit(0.5), F.col("c")).alias("mode")).select(group, "mode", "n")
 
 
 def length_pivot(df: DataFrame, group: str, sample: str, length: str, samples: Sequence[str]) -> DataFrame:
@@ -130,21 +139,29 @@ def shared_matrix(df: DataFrame, sample: str, family: str) -> DataFrame:
     return sets.select("n", F.explode("x").alias("sample_a"), "x").select("n", "sample_a", F.explode("x").alias("sample_b")).groupBy("sample_a", "sample_b").agg(F.sum("n").alias("shared"))
 
 
-def hit_metrics(hits: DataFrame, subject: str, length: str, s: str = "s", e: str = "e", perfect: float = 99.5) -> DataFrame:
-    """Per subject: hits, coverage, length-weighted identity, its deviation and quantiles, the share of perfect hits, gaps."""
+def hit_metrics(hits: DataFrame, subject: str, length: str, s: str = "s", e: str = "e", perfect: float = 99.5, unit: str | None = None) -> DataFrame:
+    """Per subject: hits, coverage of the whole and of the core (first to last hit), flanks, length-weighted identity, its deviation and quantiles, perfect hits, gaps.
+
+    With ``unit``, a column with the length of the sequence that was sought, ``hit_ratio`` is the hits over the expected length / unit.
+    """
     size = F.col(e) - F.col(s) + 1
-    stats = hits.withColumn("__n", size).groupBy(subject, length).agg(
+    keys = [subject, length, *([unit] if unit else [])]
+    stats = hits.withColumn("__n", size).groupBy(*keys).agg(
         F.count("*").alias("n_hits"),
         (F.sum(F.col("pident") * F.col("__n")) / F.sum("__n")).alias("mean_identity"),
         F.stddev_samp("pident").alias("sd_identity"),
-        F.percentile("pident", F.lit(0.05)).alias("p05"),
-        F.percentile("pident", F.lit(0.95)).alias("p95"),
-        F.avg((F.col("pident") >= perfect).cast("int")).alias("perfect_share"),
+        F.percentile("pident", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("__p"),
+        F.count_if(F.col("pident") >= perfect).alias("n_perfect"),
+        (F.max(e) - F.min(s) + 1).alias("__core"),
     )
     merged = merge_intervals(hits, [subject], s, e)
     gap = F.lead(s).over(Window.partitionBy(subject).orderBy(s)) - F.col(e) - 1
     runs = merged.withColumn("gap", gap).groupBy(subject).agg(F.sum(size).alias("covered"), F.count("gap").alias("n_gaps"), F.coalesce(F.max("gap"), F.lit(0)).alias("max_gap"))
-    return stats.join(runs, subject).withColumn("coverage", F.col("covered") / F.col(length)).drop("covered")
+    out = stats.join(runs, subject).select(
+        *keys, "n_hits", (F.col("covered") / F.col(length)).alias("coverage"), (F.col("covered") / F.col("__core")).alias("core_coverage"), (F.col("__core") / F.col(length)).alias("core_fraction"), (F.col(length) - F.col("__core")).alias("flank"),
+        "mean_identity", "sd_identity", *(F.col("__p")[i].alias(n) for i, n in enumerate(("p05", "p50", "p95"))), "n_perfect", (F.col("n_perfect") / F.col("n_hits")).alias("perfect_share"), "n_gaps", "max_gap",
+    )
+    return out.withColumn("hit_ratio", F.col("n_hits") * F.col(unit) / F.col(length)) if unit else out
 
 
 def coverage_bins(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:

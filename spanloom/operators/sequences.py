@@ -6,9 +6,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.intervals import union_length
+
 BASES, COMPLEMENTS = "ACGTRYSWKMBDHVN", "TGCAYRSWMKVHDBN"  # fixed values: the IUPAC codes and their complements
 SSR_LIMITS = ((1, 20), (2, 9), (3, 6), *((n, 5) for n in range(4, 15)))  # fixed values: motif length, least repeats
 
@@ -33,8 +35,6 @@ def kmer_counts(df: DataFrame, seq: str, k: int, by: tuple[str, ...] = (), skip_
 
 def kmer_gaps(df: DataFrame, seq_id: str, seq: str, k: int, max_gap: int) -> DataFrame:
     """(seq_id, gap, n): histogram of the distances between neighbouring occurrences of equal k-mers, up to ``max_gap``."""
-    from pyspark.sql import Window
-
     at = df.select(seq_id, F.posexplode(kmers(F.col(seq), k)).alias("pos", "kmer"))
     gap = F.col("pos") - F.lag("pos").over(Window.partitionBy(seq_id, "kmer").orderBy("pos"))
     return at.withColumn("gap", gap).where(F.col("gap") <= max_gap).groupBy(seq_id, "gap").agg(F.count("*").alias("n"))
@@ -52,25 +52,27 @@ def canonical_motif(motif: Column) -> Column:
 
 def unique_motifs(motifs: Column) -> Column:
     """Motifs that are no whole repetition of a shorter one in the list; shortest first, order kept among equals."""
-    shorter = lambda m, x: (F.length(x) < F.length(m)) & (F.length(m) % F.length(x) == 0) & (F.expr("1") == 1)
+    shorter = lambda m, x: (F.length(x) < F.length(m)) & (F.length(m) % F.length(x) == 0)
     kept = F.filter(motifs, lambda m: ~F.exists(motifs, lambda x: shorter(m, x) & (F.replace(m, x, F.lit("")) == "")))
     return F.transform(F.array_sort(F.transform(kept, lambda m, i: F.struct(F.length(m).alias("n"), i.alias("i"), m.alias("m")))), lambda s: s["m"])
 
 
 def find_ssrs(seq: str | None) -> list[dict]:
-    """Short tandem repeats of one sequence: motif, repeats, start and end (0-based, half-open); the first found at a start stays.
+    """Short tandem repeats of one sequence: motif, repeats, start and end (1-based, inclusive); the first found at a start stays.
 
-    One-letter repeats under longer motifs are skipped.
+    Repeats of one letter, under whatever motif length, count only where the sequence has no other; then all runs of 20 or more stand.
     """
     text = (seq or "").lower()
     found: dict[int, dict] = {}
+    runs = []
     for size, least in SSR_LIMITS:
         for m in re.finditer(rf"(([gatc]{{{size}}})\2{{{least - 1},}})", text):
-            motif = m[2]
-            if size > 1 and len(set(motif)) == 1:
-                continue
-            found.setdefault(m.start(), {"motif": motif, "repeats": len(m[1]) // size, "start": m.start(), "end": m.end()})
-    return [found[k] for k in sorted(found)]
+            row = {"motif": m[2], "repeats": len(m[1]) // size, "start": m.start() + 1, "end": m.end()}
+            if len(set(m[2])) > 1:
+                found.setdefault(m.start(), row)
+            elif size == 1:
+                runs.append(row)
+    return [found[k] for k in sorted(found)] or runs
 
 
 def ssr_scan(df: DataFrame, seq_id: str, seq: str) -> DataFrame:
@@ -87,10 +89,50 @@ def ssr_scan(df: DataFrame, seq_id: str, seq: str) -> DataFrame:
 
 def ssr_summary(ssrs: DataFrame, lengths: DataFrame, seq_id: str, length: str) -> DataFrame:
     """(seq_id, motif, percent): share of the sequence in repeats of each canonical motif."""
-    total = ssrs.withColumn("motif", canonical_motif(F.col("motif"))).groupBy(seq_id, "motif").agg(F.sum(F.col("end") - F.col("start")).alias("bp"))
+    total = ssrs.withColumn("motif", canonical_motif(F.col("motif"))).groupBy(seq_id, "motif").agg(F.sum(F.col("repeats") * F.length("motif")).alias("bp"))
     return total.join(lengths.select(seq_id, length), seq_id).select(seq_id, "motif", (100 * F.col("bp") / F.col(length)).alias("percent"))
 
 
+def describe_ssrs(summary: DataFrame, sequences: DataFrame, seq_id: str, digits: int = 2) -> DataFrame:
+    """(seq_id, description): 'MOTIF (12.34%25), ...' by share, largest first, ties by motif; empty where there are no repeats."""
+    listed = summary.groupBy(seq_id).agg(F.array_sort(F.collect_list(F.struct((-F.col("percent")).alias("o"), F.col("motif").alias("m")))).alias("x"))
+    text = F.array_join(F.transform("x", lambda x: F.concat(x["m"], F.lit(" ("), F.format_string(f"%.{digits}f", -x["o"]), F.lit("%25)"))), ", ")
+    return sequences.select(seq_id).join(listed, seq_id, "left").select(seq_id, F.coalesce(text, F.lit("")).alias("description"))
+
+
+def ssr_coverage(ssrs: DataFrame, lengths: DataFrame, seq_id: str, length: str) -> DataFrame:
+    """(seq_id, covered): the share of each sequence under the union of its repeats; 0 without any."""
+    union = union_length(ssrs.select(seq_id, F.col("start").cast("long").alias("s"), F.col("end").cast("long").alias("e")), [seq_id]).withColumnRenamed("length", "__bp")
+    return lengths.select(seq_id, length).join(union, seq_id, "left").select(seq_id, (F.coalesce("__bp", F.lit(0)) / F.nullif(F.col(length), F.lit(0))).alias("covered"))
+
+
+def is_homopolymer(seq: Column, n: int) -> Column:
+    """Whether a sequence holds one letter ``n`` times in a row or more."""
+    return F.rlike(F.lower(seq), F.lit(rf"([gatc])\1{{{n - 1},}}"))
+
+
+def motif_length(attributes: Column) -> Column:
+    """Letters of the motif behind ``ssr=`` in an attribute text; null without one."""
+    return F.nullif(F.length(F.regexp_extract(attributes, r"ssr=\s*([A-Za-z]+)", 1)), F.lit(0))
+
+
+def parse_ssr_list(text: Column, least: float = 10.0, times: int = 200) -> Column:
+    """(motif, percent, seq) of the items of 'MOTIF (p%), ...' above ``least``, each motif repeated ``times`` times."""
+    items = F.transform(F.split(text, ", "), lambda x: F.struct(F.regexp_extract(x, r"^([A-Za-z]+)", 1).alias("motif"), F.regexp_extract(x, r"\(([0-9.]+)%", 1).try_cast("double").alias("percent")))
+    return F.transform(F.filter(items, lambda x: x["percent"] > least), lambda x: F.struct(x["motif"], x["percent"], F.repeat(x["motif"], F.lit(times)).alias("seq")))
+
+
+def tiled(seq: Column, least: int = 4000) -> Column:
+    """A library sequence repeated whole until one more repetition would pass ``least`` letters; longer ones stay as they are."""
+    return F.when(F.length(seq).between(1, least - 1), F.repeat(seq, F.floor(least / F.length(seq)).cast("int"))).otherwise(seq)
+
+
+def subsequences(features: DataFrame, seqs: DataFrame, seq_id: str = "seqid", seq: str = "seq", s: str = "s", e: str = "e") -> DataFrame:
+    """(id, seq) of features on sequences, 1-based and inclusive; the id is seqid_start_end."""
+    joined = features.select(seq_id, s, e).join(seqs.select(seq_id, seq), seq_id)
+    return joined.select(F.concat_ws("_", F.col(seq_id).cast("string"), F.col(s).cast("string"), F.col(e).cast("string")).alias("id"), F.substring(F.col(seq), F.col(s).cast("int"), (F.col(e) - F.col(s) + 1).cast("int")).alias("seq"))
+
+
 def multimer(seq: Column, size: int = 10_000) -> Column:
     """A sequence repeated beyond ``size`` and cut to it."""
     times = F.bround(1 + size / F.length(seq)).cast("int")
@@ -129,9 +171,16 @@ def dust_score(df: DataFrame, seq_id: str, seq: str, window: int = 64) -> DataFr
 
 
 def orientation(df: DataFrame, group: str, seq_id: str, seq: str, k: int = 8) -> DataFrame:
-    """(group, seq_id, forward): whether a sequence shares more distinct k-mers with the group's longest one as it is than reversed; ties count as reversed."""
-    size = F.length(seq)
-    reference = df.groupBy(group).agg(F.max(F.struct(size.alias("n"), (-F.col(seq_id)).alias("o"), F.col(seq).alias("s"))).alias("r")).select(group, F.explode(F.array_distinct(kmers(F.col("r.s"), k))).alias("kmer"))
-    both = df.select(group, seq_id, F.explode(F.array(F.struct(F.lit(1).alias("d"), F.col(seq).alias("s")), F.struct(F.lit(0).alias("d"), reverse_complement(F.col(seq)).alias("s")))).alias("x"))
-    found = both.select(group, seq_id, "x.d", F.explode(F.array_distinct(kmers(F.col("x.s"), k))).alias("kmer")).join(reference, [group, "kmer"]).groupBy(group, seq_id).agg(F.sum("d").alias("f"), F.sum(1 - F.col("d")).alias("r"))
+    """(group, seq_id, forward): whether the commoner half of a sequence's k-mers meets more of its group's longest sequence than the commoner half of its reverse complement's does.
+
+    Half of the distinct k-mers, rounded down, the most frequent first and of equal ones the first met. Ties between directions count as
+    reversed; of the longest sequences the one with the smallest id is the reference.
+    """
+    upper = df.select(group, seq_id, F.upper(F.col(seq)).alias("s"))
+    reference = upper.groupBy(group).agg(F.min_by("s", F.struct(-F.length("s"), seq_id)).alias("r")).select(group, F.explode(F.array_distinct(kmers(F.col("r"), k))).alias("kmer"))
+    both = upper.select(group, seq_id, F.explode(F.array(F.struct(F.lit(1).alias("d"), "s"), F.struct(F.lit(0).alias("d"), reverse_complement(F.col("s")).alias("s")))).alias("x"))
+    counts = both.select(group, seq_id, "x.d", F.posexplode(kmers(F.col("x.s"), k)).alias("pos", "kmer")).groupBy(group, seq_id, "d", "kmer").agg(F.count("*").alias("c"), F.min("pos").alias("first"))
+    one = Window.partitionBy(group, seq_id, "d")
+    top = counts.withColumn("at", F.row_number().over(one.orderBy(F.col("c").desc(), "first"))).withColumn("n", F.count("*").over(one)).where(F.col("at") <= F.floor(F.col("n") / 2))
+    found = top.join(reference, [group, "kmer"]).groupBy(group, seq_id).agg(F.sum("d").alias("f"), F.sum(1 - F.col("d")).alias("r"))
     return df.select(group, seq_id).join(found, [group, seq_id], "left").select(group, seq_id, (F.coalesce("f", F.lit(0)) > F.coalesce("r", F.lit(0))).alias("forward"))

@@ -9,7 +9,7 @@ from spanloom.operators import cascade as C
 from spanloom.operators import graph as G
 from spanloom.operators import rollup as R
 from spanloom.plans.adapters import table
-from spanloom.plans.rollup_queries import HITS, hits, rounded
+from spanloom.plans.rollup_queries import rounded, super_hits
 from spanloom.sinks.formats import ragged_lines, report_document
 from spanloom.sources.formats import attribute_map, parse_key_values, parse_record_id
 from spanloom.streaming.merge import window_counts
@@ -45,8 +45,9 @@ QUERIES = {
 
 
 def _communities(sp, d):
-    edges = G.simplify(hits(sp, d).where("pident >= 99.5 and qcov >= 0.9"), "q", "s", "qcov")
-    return C.communities(edges, G.connected_components(edges))
+    """Parts and suppliers of all hits that the comparative gate passes by the lesser coverage."""
+    passed = super_hits(sp, d).where(G.comparative_gate(by_longer=False))
+    return G.communities(G.simplify(passed, "q", "s", "qcov"))
 
 
 ORACLE_SQL = {
@@ -62,5 +63,6 @@ ORACLE_SQL = {
     "systematic_sample": "SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) x WHERE n <= 5 OR k IN (1, round_even(1 + 1 * (n - 1) / 4, 0), round_even(1 + 2 * (n - 1) / 4, 0), round_even(1 + 3 * (n - 1) / 4, 0), n)",
     "replace_groups": "SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 5) UNION ALL SELECT c_custkey, 0 FROM customer WHERE c_nationkey < 5",
     "percent_list": "SELECT p_partkey, CASE WHEN p_size + 0.5 >= 10 THEN 'AT, ' ELSE '' END || p_brand AS motifs FROM part",
+    "report_doc": "SELECT r_regionkey, CAST(to_json({'r_regionkey': r_regionkey, 'r_name': any_value(r_name), 'arrays': list({'n_nationkey': n_nationkey, 'n_name': n_name} ORDER BY n_nationkey)}) AS VARCHAR) AS document FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey",
     "window_counts": "SELECT event_type, CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS start_s, count(*) AS n FROM events GROUP BY 1, 2",
 }

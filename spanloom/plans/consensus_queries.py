@@ -9,7 +9,7 @@ from spanloom.operators import consensus as K
 from spanloom.operators import sequences as S
 from spanloom.operators import subrepeats as N
 from spanloom.plans.adapters import dna_docs, table
-from spanloom.plans.rollup_queries import DNA, KMER, PRIORITIES, hits, rounded
+from spanloom.plans.rollup_queries import DNA, KMER, PRIORITIES, links, rounded
 
 PERIOD = 12
 
@@ -43,11 +43,7 @@ def event_kmers(sp, d):
 
 def graph_nodes(sp, d):
     part, supplier = table(sp, d, "part"), table(sp, d, "supplier")
-    return part.select(F.col("p_partkey").alias("node"), F.col("p_size").alias("size")).unionByName(supplier.select((-F.col("s_suppkey")).alias("node"), F.lit(25).alias("size")))
-
-
-def graph_edges(sp, d):
-    return hits(sp, d).where("pident >= 99.5 and qcov >= 0.9").select(F.col("q").alias("src"), (-F.col("s")).alias("dst"))
+    return part.select(F.col("p_partkey").alias("node"), F.col("p_size").alias("size")).unionByName(supplier.select((-F.col("s_suppkey") - 1).alias("node"), F.lit(25).alias("size")))
 
 
 def order_patterns(sp, d):
@@ -88,7 +84,11 @@ QUERIES = {
     "rotated_consensus": lambda sp, d: rounded(S.consensus(K.rotated_tally(tally(sp, d), K.window_shifts(tally(sp, d), "doc_id", PERIOD), "doc_id", PERIOD), "doc_id")),
     "harmonics": lambda sp, d: rounded(K.harmonics(S.base_tally(dna_docs(sp, d), "doc_id", "seq", PERIOD), "doc_id", PERIOD)),
     "monomer_cycles": lambda sp, d: K.monomer_cycles(event_kmers(sp, d), "user_id", least_nodes=3),
-    "greedy_clusters": lambda sp, d: K.greedy_clusters(graph_nodes(sp, d), graph_edges(sp, d), -F.col("size")),
+    "greedy_clusters": lambda sp, d: K.greedy_clusters(graph_nodes(sp, d), links(sp, d), -F.col("size")),
+    "single_fragments": lambda sp, d: K.chosen_fragments(fragments(sp, d).withColumn("seq", F.concat_ws("-", "l_orderkey", "l_linenumber")), "l_orderkey", "len", "cn", "seq"),
+    "variant_columns": lambda sp, d: K.variants(S.base_tally(dna_docs(sp, d), "doc_id", "seq", PERIOD), "doc_id"),
+    "weighted_variants": lambda sp, d: K.variants(K.weighted_tally(copies(sp, d).withColumn("w", (F.col("copy_no") % 3 + 1).cast("long")), "doc_id", "copy", "w"), "doc_id"),
+    "plain_consensus": lambda sp, d: rounded(K.plain_consensus(dna_docs(sp, d), "doc_id", "seq", 4, 10)),
     "pattern_pivot": lambda sp, d: K.pattern_pivot(order_patterns(sp, d), "o_orderstatus", "o_orderpriority", "o_orderkey", "o_custkey", PRIORITIES),
     "subrepeat_tier": lambda sp, d: tier_peaks(sp, d).select("l_orderkey", "l_linenumber", N.peak_tier(F.col("founder")).alias("tier")),
     "candidate_parse": lambda sp, d: rounded(cells(sp, d).select("l_orderkey", F.posexplode(N.parse_candidates(F.col("cell"))).alias("k", "c")).select("l_orderkey", "k", "c.*")),
@@ -113,9 +113,25 @@ NESTED = f"""WITH c AS (SELECT *, kind <> 'founder' AND abs(period - 48) > 12 AS
  g AS (SELECT l_orderkey, period, row_number() OVER (PARTITION BY l_orderkey ORDER BY density DESC, k) AS r FROM c WHERE other AND NOT edge AND label = 'localized' AND density >= CAST(0.1 AS DOUBLE) AND period < 48)
  SELECT o.l_orderkey, a.period AS first_period, b.period AS second_period, o.edge, CAST(o.edge_copies AS INTEGER) AS edge_copies FROM (SELECT l_orderkey, bool_or(other AND edge) AS edge, arg_min(round_even(48 / period, 0), k) FILTER (other AND edge) AS edge_copies FROM c GROUP BY 1) o LEFT JOIN g a ON a.l_orderkey = o.l_orderkey AND a.r = 1 LEFT JOIN g b ON b.l_orderkey = o.l_orderkey AND b.r = 2"""
 
+HARMONICS = f"""WITH t AS (SELECT doc_id, pos % {PERIOD} AS pos, kmer AS base, count(*) AS n FROM {KMER(1, 'doc_id,')} k0 GROUP BY 1, 2, 3),
+ g AS (SELECT doc_id, pos, base FROM (SELECT DISTINCT doc_id FROM t) d, (SELECT unnest(range({PERIOD})) AS pos) p, (SELECT unnest(['A', 'C', 'G', 'T']) AS base) b),
+ s AS (SELECT g.doc_id, g.pos, g.base, (coalesce(n, 0) + 0.5) / sum(coalesce(n, 0) + 0.5) OVER (PARTITION BY g.doc_id, g.pos) AS share FROM g LEFT JOIN t ON t.doc_id = g.doc_id AND t.pos = g.pos AND t.base = g.base),
+ f AS (SELECT doc_id, base, k, sqrt(pow(sum(share * cos(2 * pi() * k * pos / {PERIOD})), 2) + pow(sum(share * sin(2 * pi() * k * pos / {PERIOD})), 2)) AS size FROM s, (SELECT unnest(range(1, {PERIOD // 2 + 1})) AS k) ks GROUP BY 1, 2, 3),
+ h AS (SELECT *, sum(size) OVER (PARTITION BY doc_id, base) AS total FROM f)
+ SELECT doc_id, CAST(k AS INTEGER) AS k, round(max(CASE WHEN total > CAST('1e-12' AS DOUBLE) THEN size / total ELSE 0 END), 6) AS strength FROM h WHERE k BETWEEN 2 AND 5 GROUP BY 1, 2"""
+
+TOP4 = f"(SELECT doc_id, kmer FROM (SELECT doc_id, kmer, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, kmer) AS k FROM {KMER(4, 'doc_id,')} t GROUP BY 1, 2) r WHERE k = 1)"
+WINDOWS = f"(SELECT t.doc_id, substr(seq, pos + 1, 10) AS copy FROM {KMER(4, 'doc_id,')} t JOIN {TOP4} a ON a.doc_id = t.doc_id AND a.kmer = t.kmer JOIN {DNA} s ON s.doc_id = t.doc_id WHERE pos + 10 <= length(seq))"
+PLAIN = "SELECT doc_id, string_agg(CASE WHEN top / n < CAST(0.4 AS DOUBLE) THEN 'N' WHEN a = top THEN 'A' WHEN c = top THEN 'C' WHEN g = top THEN 'G' ELSE 'T' END, '' ORDER BY i) AS consensus, count(*) AS n_kept, CAST(0 AS BIGINT) AS n_dropped, count(*) FILTER (top / n < CAST(0.4 AS DOUBLE)) AS n_n, round(avg(" + ENTROPY + "), 6) AS mean_entropy FROM (SELECT *, a + c + g + t AS n, greatest(a, c, g, t) AS top FROM (SELECT doc_id, i, " + ", ".join(f"sum(CASE WHEN substr(copy, i, 1) = '{b}' THEN 1 ELSE 0 END) AS {b.lower()}" for b in "ACGT") + f" FROM (SELECT *, unnest(range(1, 11)) AS i FROM {WINDOWS} c0) c1 GROUP BY 1, 2) s0) s GROUP BY doc_id"
+
 ORACLE_SQL = {
+    "harmonics": HARMONICS,
     "monomer_cut": f"SELECT doc_id, copy_no, copy FROM {COPIES} c",
     "stack_consensus": f"SELECT doc_id, string_agg(CASE WHEN top / n < CAST(0.4 AS DOUBLE) THEN 'N' WHEN a = top THEN 'A' WHEN c = top THEN 'C' WHEN g = top THEN 'G' ELSE 'T' END, '' ORDER BY i) AS consensus, count(*) AS n_kept, CAST(0 AS BIGINT) AS n_dropped, count(*) FILTER (top / n < CAST(0.4 AS DOUBLE)) AS n_n, round(avg({ENTROPY}), 6) AS mean_entropy FROM (SELECT *, a + c + g + t AS n, greatest(a, c, g, t) AS top FROM {STACK} s0) s GROUP BY doc_id",
+    "single_fragments": "SELECT l_orderkey, any_value(l_orderkey || '-' || l_linenumber) AS seq, 'single' AS method FROM (SELECT l.l_orderkey, l_linenumber FROM lineitem l JOIN (SELECT l_orderkey, quantile_cont(l_quantity, 0.5) AS m FROM lineitem GROUP BY 1) q ON q.l_orderkey = l.l_orderkey WHERE l_linenumber >= 2 AND l_quantity >= m / 2) t GROUP BY 1 HAVING count(*) = 1",
+    "variant_columns": f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(string_agg(base, '' ORDER BY n DESC, base) FILTER (n / total > CAST(0.2 AS DOUBLE)), '') AS bases, count(*) AS n_bases FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, pos) AS total FROM (SELECT doc_id, pos % {PERIOD} AS pos, kmer AS base, count(*) AS n FROM {KMER(1, 'doc_id,')} k GROUP BY 1, 2, 3) t) u GROUP BY 1, 2",
+    "weighted_variants": f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, coalesce(string_agg(base, '' ORDER BY n DESC, base) FILTER (n / total > CAST(0.2 AS DOUBLE)), '') AS bases, count(*) AS n_bases FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, i) AS total FROM (SELECT doc_id, i, substr(copy, i, 1) AS base, sum(copy_no % 3 + 1) AS n FROM (SELECT *, unnest(range(1, {PERIOD + 1})) AS i FROM {COPIES} c0) c1 GROUP BY 1, 2, 3) t) u GROUP BY 1, 2",
+    "plain_consensus": PLAIN,
     "fragment_filter": "SELECT l_orderkey, l_linenumber, l.l_suppkey, l_quantity AS len, l_linenumber AS cn FROM lineitem l JOIN (SELECT l_suppkey, quantile_cont(l_quantity, 0.5) AS m FROM lineitem GROUP BY 1) q ON q.l_suppkey = l.l_suppkey WHERE l_linenumber >= 2 AND l_quantity >= m / 2",
     "flattest_window": "WITH c AS (SELECT l_orderkey, l_linenumber AS i, sum(CAST(round_even(l_discount * 100, 0) AS INTEGER)) AS gap FROM lineitem GROUP BY 1, 2), w AS (SELECT l_orderkey, i, sum(gap) OVER v AS gaps, count(*) OVER v AS n, last_value(i) OVER v AS e FROM c WINDOW v AS (PARTITION BY l_orderkey ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (n < 3), CASE WHEN n = 3 THEN gaps END NULLS FIRST, i) AS k FROM w) SELECT l_orderkey, i AS start, e AS \"end\" FROM r WHERE k = 1",
     "window_tally": f"SELECT doc_id, CAST(least(pos // 600, greatest(len // 600 - 1, 0)) AS BIGINT) AS window_no, CAST(pos % {PERIOD} AS INTEGER) AS pos, base, count(*) AS n FROM (SELECT doc_id, length(seq) AS len, i - 1 AS pos, substr(seq, i, 1) AS base FROM (SELECT doc_id, seq, unnest(range(1, length(seq) + 1)) AS i FROM {DNA} d0) d1) t GROUP BY 1, 2, 3, 4",

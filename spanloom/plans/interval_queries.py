@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spanloom.operators import intervals as I
+from spanloom.operators import report as R
 from spanloom.plans.adapters import SQL, dna_docs, iv_events, iv_lineitem, table
 
 K = ["seqid", "name"]
@@ -15,8 +17,8 @@ def _sizes(spark, d):
 
 
 def _spans(spark, d):
-    """Longer spans of every fourth event, to hold others."""
-    return iv_events(spark, d).where("event_id % 4 = 0").withColumn("s", F.col("s") - 86400).withColumn("e", F.col("e") + 86400)
+    """A span of each event, from an hour after its start to ten days after its end, to hold later events of its user."""
+    return iv_events(spark, d).withColumn("s", F.col("s") + 3600).withColumn("e", F.col("e") + 864000)
 
 
 QUERIES = {
@@ -36,12 +38,26 @@ QUERIES = {
     "iv_long": lambda sp, d: I.split_by_length(iv_events(sp, d), 1000)[0],
     "iv_short": lambda sp, d: I.split_by_length(iv_events(sp, d), 1000)[1],
     "iv_chunk_map": lambda sp, d: I.chunk_map(table(sp, d, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 500, 50),
-    "iv_chunk_remap": lambda sp, d: I.from_chunks(I.to_chunks(_marks(sp, d), _chunks(sp, d), "doc_id"), _chunks(sp, d), "doc_id"),
+    "iv_chunk_remap": lambda sp, d: I.from_chunks(I.to_chunks(_marks(sp, d), _chunks(sp, d), "doc_id", width=512), _chunks(sp, d), "doc_id"),
     "mask_n": lambda sp, d: I.mask_sequences(dna_docs(sp, d), _marks(sp, d), "doc_id", "seq"),
+    "iv_split_strand": lambda sp, d: I.split_segments(iv_lineitem(sp, d).withColumn("strand", F.when(F.substring("name", 2, 1) == "O", "+").otherwise("-")), ["seqid"], strand="strand"),
+    "iv_merge_tables": lambda sp, d: R.merge_annotations([iv_lineitem(sp, d).select("seqid", "name", "s", "e"), iv_events(sp, d).select("seqid", "name", "s", "e")]),
+    "iv_round_union": lambda sp, d: R.union_rounds([iv_lineitem(sp, d).where(F.col("e") - F.col("s") <= 20).select("seqid", "name", "s", "e"), iv_lineitem(sp, d).where(F.col("e") - F.col("s") > 20).select("seqid", "name", "s", "e")], "name"),
+    "iv_drop_adjacent": lambda sp, d: R.drop_adjacent(iv_events(sp, d).select("event_id", "seqid", F.floor(F.col("s") / 1_000_000).alias("s"), F.floor(F.col("e") / 1_000_000).alias("e")), "seqid", "s", "e", ["event_id"], "event_id"),
+    "iv_relations": lambda sp, d: _relations(sp, d),
     "reannotate_pipeline": lambda sp, d: I.reannotate(iv_events(sp, d), _sizes(sp, d).withColumn("size", F.floor(F.col("size") / 20))),
 }
 
 
+def _relations(sp, d):
+    """For each user how many neighbouring events overlap, and how many lie within the one before."""
+    events = iv_events(sp, d)
+    by = Window.partitionBy("seqid").orderBy("s", "event_id")
+    pairs = events.withColumns({"ps": F.lag("s").over(by), "pe": F.lag("e").over(by)}).where("ps is not null")
+    met, held = (f(F.col("s"), F.col("e"), F.col("ps"), F.col("pe")) for f in (R.overlapping, R.lying_within))
+    return pairs.groupBy("seqid").agg(F.count_if(met).alias("met"), F.count_if(held).alias("held"))
+
+
 def _chunks(sp, d):
     return I.chunk_map(table(sp, d, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 500, 50)
 
@@ -52,7 +68,7 @@ def _marks(sp, d):
 
 
 EV, LI = f"({SQL['iv_events']})", f"({SQL['iv_lineitem']})"
-SPANS = f"(SELECT event_id, seqid, name, s - 86400 AS s, e + 86400 AS e FROM {EV} WHERE event_id % 4 = 0)"
+SPANS = f"(SELECT event_id, seqid, name, s + 3600 AS s, e + 864000 AS e FROM {EV})"
 SIZES = "(SELECT event_type AS name, CAST(max(floor(value * 60)) AS BIGINT) AS size FROM events GROUP BY 1)"
 CHUNKS = "(SELECT doc_id, k AS chunk_no, k * (n_chars // n) AS start0, CASE WHEN k = n - 1 THEN n_chars ELSE least(n_chars, (k + 1) * (n_chars // n) + 50) END AS end0 FROM (SELECT doc_id, n_chars, n, unnest(range(0, n)) AS k FROM (SELECT doc_id, n_chars, CASE WHEN n_chars > 1000 THEN n_chars // 500 ELSE 1 END AS n FROM documents)))"
 MARKS = "(SELECT doc_id, doc_id % 97 + 1 AS s, doc_id % 97 + 30 AS e FROM documents UNION ALL SELECT doc_id, n_chars // 2, n_chars // 2 + 20 FROM documents)"
@@ -99,5 +115,10 @@ ORACLE_SQL = {
     "iv_chunk_map": f"SELECT * FROM {CHUNKS} t",
     "iv_chunk_remap": f"SELECT m.doc_id, c.chunk_no, m.s, m.e FROM {MARKS} m JOIN {CHUNKS} c ON m.doc_id = c.doc_id AND c.start0 <= m.s AND m.e < c.end0",
     "mask_n": f"WITH p AS (SELECT doc_id, unnest(range(1, length(seq) + 1)) AS i, seq FROM ({SQL['dna_docs']}) q), c AS (SELECT p.doc_id, p.i, CASE WHEN EXISTS (SELECT 1 FROM {MARKS} m WHERE m.doc_id = p.doc_id AND m.s <= p.i AND p.i <= m.e) THEN 'N' ELSE substr(seq, p.i, 1) END AS ch FROM p) SELECT doc_id, string_agg(ch, '' ORDER BY i) AS seq FROM c GROUP BY doc_id",
+    "iv_split_strand": f"WITH p AS (SELECT *, CASE WHEN name LIKE '%O' THEN '+' ELSE '-' END AS strand FROM {LI} q) SELECT seqid, a AS s, b - 1 AS e, string_agg(DISTINCT name, '|' ORDER BY name) AS names, CASE WHEN min(strand) = max(strand) THEN min(strand) ELSE '.' END AS strand FROM {cover_sql('p')} c GROUP BY seqid, a, b",
+    "iv_merge_tables": f"SELECT seqid, name, s, e FROM {merge_sql(f'(SELECT seqid, name, s, e FROM {LI} l0 UNION ALL SELECT seqid, name, s, e FROM {EV} e0)', 'seqid, name')} t",
+    "iv_round_union": f"SELECT seqid, name || CASE WHEN e - s <= 20 THEN '_rnd0' ELSE '_rnd1' END AS name, s, e FROM {LI} t",
+    "iv_drop_adjacent": f"SELECT event_id, seqid, s, e FROM (SELECT *, lead(s) OVER w AS ns, lead(e) OVER w AS ne FROM (SELECT event_id, seqid, s // 1000000 AS s, e // 1000000 AS e FROM {EV} t) x WINDOW w AS (PARTITION BY seqid ORDER BY s, event_id)) q WHERE NOT coalesce(ns = s AND ne = e, false)",
+    "iv_relations": f"SELECT seqid, count(*) FILTER (s <= pe AND ps <= e) AS met, count(*) FILTER (s >= ps AND e <= pe) AS held FROM (SELECT seqid, s, e, lag(s) OVER w AS ps, lag(e) OVER w AS pe FROM {EV} t WINDOW w AS (PARTITION BY seqid ORDER BY s, event_id)) q WHERE ps IS NOT NULL GROUP BY 1",
     "reannotate_pipeline": REANN,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spanloom-checkpoint-"))
 
 
@@ -39,6 +42,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table below the checkpoint folder: smaller than a checkpoint, with statistics, and without the constraints that a checkpoint carries on from round to round."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, for sessions started elsewhere."""
     root = str(Path(__file__).resolve().parents[1])

@@ -11,25 +11,50 @@ PAIRS = "q string, s string, pident double, qcov double, tcov double"
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(seq_id, seq, length); the id ends at the first white space. Spark opens ``.gz`` files by their name. Repeated ids all stay."""
-    records = spark.read.text(path, lineSep=">").where(F.trim("value") != "")
-    head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
-    body = F.regexp_replace(F.expr("substring(value, length(regexp_extract(value, '^([^\\\\r\\\\n]*)', 1)) + 1)"), r"\s", "")
-    return records.select(F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), body.alias("seq")).withColumn("length", F.length("seq").cast("long"))
+    """(seq_id, seq, length, rec_no); the id ends at the first white space. Spark opens ``.gz`` files by their name.
+
+    Repeated ids all stay; ``rec_no`` orders the records of a file as they stand in it. Text before a file's first header is an error.
+    """
+    records = spark.read.text(path, lineSep=">").select("value", F.struct("_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("rec_no"))
+    first_line = F.substring_index("value", "\n", 1)
+    body = F.regexp_replace(F.substring("value", F.length(first_line) + 1, F.length("value")), r"\s", "")
+    rows = records.where(F.trim(F.regexp_replace("value", r"\s", "")) != "").select(F.regexp_extract(first_line, r"^(\S*)", 1).alias("seq_id"), body.alias("seq"), "rec_no")
+    return rows.withColumn("length", F.length("seq").cast("long")).select("seq_id", "seq", "length", "rec_no")
+
+
+def checked_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """``read_fasta``, but a file that doesn't begin with a header fails the query."""
+    firsts = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("r")).alias("at")).where(F.trim("value") != "")
+    heads = firsts.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    bad = heads.where(~F.startswith("head", F.lit(">"))).agg(F.min("file").alias("bad"))
+    checked = F.when(F.col("bad").isNotNull(), F.raise_error(F.concat(F.lit("no header at the start of "), F.col("bad"))).cast("boolean")).otherwise(True)
+    return read_fasta(spark, path).crossJoin(F.broadcast(bad)).where(checked).drop("bad")  # one row
+
+
+def last_of_each(records: DataFrame) -> DataFrame:
+    """(seq_id, seq, length): of records that repeat an id the last stays."""
+    return records.groupBy("seq_id").agg(F.max_by(F.struct("seq", "length"), "rec_no").alias("r")).select("seq_id", "r.*")
+
+
+def only_ids(records: DataFrame, ids: DataFrame, seq_id: str = "seq_id") -> DataFrame:
+    """Records whose id is listed."""
+    return records.join(ids.select(seq_id), seq_id, "left_semi")
 
 
-def attribute_map(text: Column) -> Column:
-    """``k=v;k=v`` as a map; items without '=' are skipped, a repeated key keeps its last value."""
-    items = F.filter(F.split(text, ";"), lambda x: F.contains(x, F.lit("=")))
-    pairs = F.transform(items, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.expr("1").cast("string").alias("n"), F.split(x, "=", 2)[1].alias("v")))
+def attribute_map(text: Column, strict: bool = False) -> Column:
+    """``k=v;k=v`` as a map; items without '=' are skipped, or are an error where ``strict``; a repeated key keeps its last value."""
+    parts = F.filter(F.split(text, ";"), lambda x: F.trim(x) != "")
+    fails = lambda x: F.raise_error(F.concat(F.lit("no key and value: "), x)).cast("boolean")
+    items = F.filter(parts, lambda x: F.when(F.contains(x, F.lit("=")), True).otherwise(fails(x) if strict else F.lit(False)))
+    pairs = F.transform(items, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.split(x, "=", 2)[1].alias("v")))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
     return F.map_from_arrays(F.transform(last, lambda p: p["k"]), F.transform(last, lambda p: p["v"]))
 
 
-def read_gff3(spark: SparkSession, path: str) -> DataFrame:
-    """Features with their attributes as a map; comments and short lines are left out."""
+def read_gff3(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Features with their attributes as a map; comments and short lines are left out. ``strict`` makes an attribute without '=' an error."""
     rows = spark.read.csv(path, sep="\t", comment="#", schema=GFF, quote="").where(F.col("attributes").isNotNull())
-    return rows.withColumn("attributes", attribute_map(F.col("attributes")))
+    return rows.withColumn("attributes", attribute_map(F.col("attributes"), strict))
 
 
 def read_repeat_hits(spark: SparkSession, path: str) -> DataFrame:
