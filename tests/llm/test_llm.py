@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, near_copies, pii, quality_gam, queries, sharding, simhash, token_counts
+from spanloom.llm import chat_format, decontaminate, html_extract, labelled_pages, line_crf, mixing, near_copies, pii, quality_gam, queries, sharding, simhash, token_counts
 
 DATA = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor sit amet " * 20_000
@@ -49,6 +49,30 @@ def test_chat_round_trip_and_masks(spark):
     assert chat_format.digest(chat_format.prefix_target_examples(df.where("false"))).count() == 0
 
 
+def test_chat_blocks_give_the_same_examples(spark):
+    rng = np.random.default_rng(9)
+    roles = ["user", "assistant", "tool", None]
+    rows = [(c, int(t), roles[rng.integers(4)], f"<{c}\\{t}>" * int(rng.integers(0, 3))) for c in (1, 2, None) for t in rng.integers(0, 40, 40)]
+    rows += [(4, 0, "user", "alone"), (5, 0, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("b", F.lit("clash"))
+    key = lambda r: tuple(map(str, r))
+    short = sorted(chat_format.prefix_target_examples(df).collect(), key=key)
+    for limit, block in ((0, 3), (0, 64), (2000, 7)):
+        assert sorted(chat_format.prefix_target_examples(df, limit=limit, block=block).collect(), key=key) == short
+
+
+def test_chat_of_20_000_turns(spark):
+    """The examples of one conversation are 2.2 GB; a task holds one of them at a time."""
+    n = 20_000
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    r = chat_format.digest(chat_format.prefix_target_examples(turns)).first()
+    said = "".join(f"{'assistant' if t % 2 else 'user'}\nt{t}\n" for t in range(n))
+    loss = "".join(f"t{t}" for t in range(1, n, 2))
+    assert (r.n_turns, r.turns_sha256, r.loss_sha256) == (n, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(loss.encode()).hexdigest())
+    marks = [len(f"<turn:{'assistant' if t % 2 else 'user'}>\nt{t}</turn>\n") for t in range(n)]
+    assert r.formatted_chars == sum(m * ((n - t + t % 2) // 2) for t, m in enumerate(marks))
+
+
 # ------------------------------------------------------------------ 2
 
 
@@ -177,13 +201,9 @@ def test_banded_distance_is_the_edit_distance():
 
 
 def test_html(spark):
-    weights = dict(html_extract.learned_weights())
-    for page in html_extract.LABELLED:
-        region = page.split("[[")[1].split("]]")[0]
-        words = re.sub(r"<[^>]*>", " ", re.sub(r"</?[bi]>", "", region)).split()
-        assert html_extract.main_text(page.replace("[[", "").replace("]]", ""), weights).split() == words
+    model = html_extract.learned_model()
     for odd in (None, "", "<", "<p", "<p a='", "<!--", "<script>x", "a < b", "<p>" * 3000 + "deep", "</div></div>x"):
-        html_extract.main_text(odd, weights)
+        html_extract.main_text(odd, model)
     rows = html_extract.extract_main_text(spark.read.parquet(f"{DATA}/pages.parquet")).collect()
     for r, page in zip(sorted(rows), sorted(spark.read.parquet(f"{DATA}/pages.parquet").collect()), strict=True):
         article = re.search(r"<article>(.*?)</article>", page.html, re.S)[1]
@@ -191,9 +211,58 @@ def test_html(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+def test_html_of_labelled_pages_not_learned_from():
+    """Pages drawn with another seed: nearly all regions are found whole, and the run is what finds many of them."""
+    model = html_extract.learned_model()
+    right = changed = 0
+    pages = list(labelled_pages.labelled_pages(270, seed=12))
+    for marked in pages:
+        page = re.sub(r"\[\[|\]\]|\{\{|\}\}", "", marked)
+        region = re.sub(r"\{\{.*?\}\}", " ", marked.split("[[")[1].split("]]")[0])
+        words = __import__("html").unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", region))).split()
+        got = html_extract.main_text(page, model)
+        right += got.split() == words
+        changed += got != html_extract.main_text(page, model, whole=True)
+    assert right >= 0.95 * len(pages) and changed >= 0.3 * len(pages)
+
+
+def test_html_without_names_or_elements_needs_the_run():
+    model = html_extract.learned_model()
+    page = '<body><div><a href="/">Home</a> <a href="/n">News</a></div><div><h1>Head</h1><p>A first paragraph of some words here.</p><p>And so on it goes.</p></div><div>Copyright 2020 all rights reserved</div></body>'
+    assert html_extract.main_text(page, model) == "Head\nA first paragraph of some words here.\nAnd so on it goes."
+    assert html_extract.main_text(page, model, whole=True) == "Home News\nHead\nA first paragraph of some words here.\nAnd so on it goes.\nCopyright 2020 all rights reserved"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h1>Title</h1><p>A lead.</p><aside>" + "w " * 40 + "</aside><p>A body of just eight words in all.</p></article>", "Title\nA lead.\nA body of just eight words in all."),
+        ("<article><p>Press the <button>big</button> red one</p></article>", "Press the red one"),
+        ('<article><h1>Shares</h1><p>One text.</p><div class="share-price">Up by 4 per cent</div><p>More.</p></article>', "Shares\nOne text.\nUp by 4 per cent\nMore."),
+        ('<body><nav><ul><li><a href="/">Home</a><li><a href="/n">News</a><article><h1>Title</h1><p>Body text is here.</p></article></body>', "Title\nBody text is here."),
+        ('<body><article><h1>Title</h1><p>Body text is here.</p><form><input><button>Send</button></form><p>End.</p></article><div id="comments"><p>Great post, this is a long comment which goes on.</p></div></body>', "Title\nBody text is here.\nEnd."),
+        ('<body><div id="header">Site name</div><div id="main"><h2>Bread</h2><p>Mix it.</p><div class="advert">Buy</div><p>Bake it.</p></div><div id="footer">Contact</div></body>', "Bread\nMix it.\nBake it."),
+        ("<body><p>Just one paragraph.</p></body>", "Just one paragraph."),
+        ("plain text &amp; only", "plain text & only"),
+    ],
+)
+def test_html_cases(page, text):
+    assert html_extract.main_text(page, html_extract.learned_model()) == text
+
+
+def test_html_awkward_rows(spark):
+    """Null, empty, repeated and very long pages, columns that clash, and an empty table."""
+    long = "<article>" + "<p>one two three</p>" * 30_000 + "</article>"
+    rows = [(1, "u", None), (1, "u", None), (2, None, ""), (3, "v", long), (None, "w", "<p>No id here at all.</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("clash"), "n_chars": F.lit("clash")})
+    got = html_extract.extract_main_text(df).collect()
+    assert sorted((str(r.page_id), r.url or "", r.n_chars) for r in got) == [("1", "u", 0), ("1", "u", 0), ("2", "", 0), ("3", "v", 14 * 30_000 - 1), ("None", "w", 18)]
+    assert html_extract.extract_main_text(df.where("false")).count() == 0
+
+
 @pytest.mark.parametrize("open_, close", [("<article>", "</article>"), ('<main><div class="text">', "</div></main>"), ('<div class="content">', "</div>"), ("", "")])
 def test_html_with_boilerplate_between_paragraphs(open_, close):
-    weights = dict(html_extract.learned_weights())
+    model = html_extract.learned_model()
     long = "buy two of these now and get one more for free " * 20
     top, tail = '<html><body><nav><a href="/">Home page</a></nav>', "<footer>all rights reserved</footer></body></html>"
     share, advert = f"<div class='share'><a href='/s'>{long}</a></div>", f"<div class='ad'><p>{long}</p><p>{long}</div>"
@@ -204,7 +273,7 @@ def test_html_with_boilerplate_between_paragraphs(open_, close):
         f"<h1>T</h1><table><tr><td>One<td class='ad'>{long}<td>Two<tr><td>Three</table>": "T\nOne\nTwo\nThree",
     }
     for body, text in pages.items():
-        assert html_extract.main_text(f"{top}{open_}{body}{close}{tail}", weights) == text
+        assert html_extract.main_text(f"{top}{open_}{body}{close}{tail}", model) == text
 
 
 # ------------------------------------------------------------------ 6
