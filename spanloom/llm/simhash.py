@@ -35,6 +35,7 @@ SEED = 42
 MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
+BROADCAST_ROWS = 500_000
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the (23, 12, 7) code
 
 
@@ -49,17 +50,24 @@ def word_shingles(text: str | None, shingle: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)))
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit majority fingerprint of the word shingles of a text; 0 for a text without words, or null."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each word shingle of a text, in order, repeats included."""
     grams = word_shingles(text, shingle)
-    if not grams:
-        return 0
+    return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=len(grams))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes; 0 for none."""
     votes = np.zeros(64, np.int64)
-    for at in range(0, len(grams), 1 << 16):
-        part = grams[at : at + (1 << 16)]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in part), dtype=">u8", count=len(part))
-        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(grams)).tobytes(), "big")
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)].astype(">u8")
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """64-bit majority fingerprint of the word shingles of a text; 0 for a text without words, or null."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
@@ -216,13 +224,36 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, block: int = 2
     if not 0 <= max_bits <= 4:
         raise ValueError("the segments guarantee a shared key for 0 to 4 differing bits")
     keyed = fps.select("fp").mapInArrow(_keyed, "key long, fp long")
-    hot = keyed.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    dealt = keyed.join(hot, "key", "left").withColumn("c", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("fp"), "blocks").cast("long")).otherwise(F.lit(0)))
+    hot = cut(keyed.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
+    # hot keys are marked before anything is shuffled by key
+    dealt = keyed.join(F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot, "key", "left")
+    dealt = dealt.withColumn("c", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("fp"), "blocks").cast("long")).otherwise(F.lit(0)))
     others = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))
     rows = dealt.withColumn("other", F.explode(others)).select("key", F.least("c", "other").alias("lo"), F.greatest("c", "other").alias("hi"), "fp")
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_links(max_bits), "a long, b long")
 
 
+def with_values(df: DataFrame, values: DataFrame, key: str, n: str = "n", hot: int = 1024) -> DataFrame:
+    """``df`` joined with ``values``, one row a key and its number ``n`` of rows in ``df``: keys of more than ``hot`` rows by broadcast.
+
+    There are at most rows / ``hot`` such keys; where they are over ``BROADCAST_ROWS`` all the same, the join is a plain one. Keys are
+    not null. Both tables are read twice, so they should be checkpointed.
+    """
+    many = values.where(F.col(n) > hot).drop(n)
+    count = many.count()
+    if not 0 < count <= BROADCAST_ROWS:
+        return df.join(values.drop(n), key)
+    rest = df.join(F.broadcast(many.select(key)), key, "left_anti").join(values.where(F.col(n) <= hot).drop(n), key)
+    return rest.unionByName(df.join(F.broadcast(many), key).select(*rest.columns))
+
+
+def component_names(members: DataFrame, first: str = "first") -> DataFrame:
+    """``members`` (component, ..., first) with the least ``first`` of each component as component_id; large components are no hot keys."""
+    members = cut(members)
+    names = cut(members.groupBy("component").agg(F.min(first).alias("component_id"), F.count("*").alias("n")))
+    return with_values(members, names, "component")
+
+
 def near_duplicate_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = MAX_BITS, block: int = 2048
 ) -> DataFrame:
@@ -234,12 +265,12 @@ def near_duplicate_classes(
     Columns of ``docs`` beyond the two named are not read, so their names may clash with anything.
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")))
     edges = cut(linked_fingerprints(distinct, max_bits, block))
     roots = connected_components(edges, "a", "b").withColumnRenamed("node", "fp")
     classed = distinct.join(roots, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = classed.join(classed.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = cut(component_names(classed).select("fp", "component_id", "n"))
+    return with_values(prints, named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -251,11 +282,29 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_named(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``keep_one_of_each`` for classes given as (doc_id, component_id)."""
-    keep = classes.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    ids = keep.select(F.col(id_col).alias("__kept")).distinct()
+    """``keep_one_of_each`` for classes given as (doc_id, component_id).
+
+    What stays is decided on ids and row hashes. Texts move only where rows are dropped beyond ``BROADCAST_ROWS``, or repeat as a whole.
+    """
+    ids = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__kept")).distinct()
     hashed = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
-    left = docs.join(ids, docs[id_col].eqNullSafe(ids["__kept"]), "left_semi")
     lost = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))  # rows without an id are told apart by their texts
-    one = left.groupBy(F.col(id_col).alias("__id"), lost.alias("__lost")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row"))
-    return one.select("row.*")
+    keyed = docs.withColumns({"__id": F.col(id_col), "__lost": lost, "__h": F.xxhash64(*hashed)})
+    groups = cut(keyed.groupBy("__id", "__lost", "__h").agg(F.count("*").alias("__n")))
+    named = groups.join(ids, groups["__id"].eqNullSafe(ids["__kept"]), "left_semi")
+    chosen = cut(named.groupBy("__id", "__lost").agg(F.min(F.struct("__h", "__n")).alias("m")).select("__id", "__lost", "m.*"))
+    gone = cut(_rows_of(groups, chosen, "left_anti").select("__id", "__lost", "__h"))
+    few = gone.count() <= BROADCAST_ROWS
+    left = _rows_of(keyed, F.broadcast(gone), "left_anti") if few else _rows_of(keyed, chosen, "left_semi")
+    repeated = chosen.where("__n > 1")
+    count = repeated.count()
+    if count:
+        repeated = F.broadcast(repeated) if count <= BROADCAST_ROWS else repeated
+        one = _rows_of(left, repeated, "left_semi").groupBy("__id", "__lost").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
+        return _rows_of(left, repeated, "left_anti").select(*docs.columns).unionByName(one)
+    return left.select(*docs.columns)
+
+
+def _rows_of(df: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+    other = groups.select(F.col("__id").alias("__i"), F.col("__lost").alias("__l"), F.col("__h").alias("__k"))
+    return df.join(other, df["__id"].eqNullSafe(F.col("__i")) & df["__lost"].eqNullSafe(F.col("__l")) & (df["__h"] == F.col("__k")), how)
