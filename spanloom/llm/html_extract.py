@@ -1,10 +1,15 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
-A page is a sequence of words and tags. Ordinary words score positive; tags, and words inside boilerplate
-containers, score negative; boilerplate within the content (in an article, or after headings and paragraphs of
-the element it stands in) scores nothing, so that it never parts what comes before from what follows. One linear scan finds the contiguous run of the greatest sum, which is the content region; the
-boilerplate inside it is left out. Weights come from the labelled pages below: log odds of standing in content to
-begin with, then corrected by a structured perceptron until the best run of each page is its labelled region.
+A page is a sequence of words and tags. A word scores by a linear model of where it stands: the elements around it, their class, id and
+role words, whether it is linked, and the shape of its block. Tags score negative. One linear scan finds the contiguous run of the
+greatest sum, which is the content region.
+
+All weights come from labelled pages. The word model is a logistic regression, so ordinary words of content score positive and
+words of menus, adverts or legal lines negative. An element whose own features alone make words negative is a boilerplate
+container: the scan passes it as a single tag, at one price within the content (in an article, or after prose of the element it
+stands in) and at another elsewhere, and what it holds is left out of the text. So boilerplate in mid-article does not part the
+region, whatever its length. The prices of tags are negative by construction, -exp(t), and t is fitted by a structured
+perceptron until the best run of the labelled pages is their region.
 """
 
 from __future__ import annotations
@@ -16,20 +21,16 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.labelled_pages import labelled_pages
+
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-AWAY = {"nav", "header", "footer", "aside", "form", "head", "menu", "dialog", "select", "button", "fieldset", "label"}
-AWAY_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side-bar|footer|header|masthead|"
-    r"comment|comments|disqus|reply|replies|cookie|cookies|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|related|recommended|share|sharing|social|widget|pagination|pager|skip)(?:$|[\s_-]|\d)",
-    re.I,
-)
-AWAY_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "button", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "input", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "select", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 CONTENT = {"article", "main"}
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 PARTS = {"ul", "ol", "li", "dl", "dd", "dt", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "blockquote", "section", "figure", "details"}  # of an element that holds prose
@@ -44,16 +45,9 @@ CLOSES = (
 ITEMS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"})}
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>")
-STRIPPED = {"word:away", "word:inner"}
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-
-#: Labelled pages: the content region stands between the marks [[ and ]].
-LABELLED = (
-    '<html><head><title>A day</title></head><body><nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>[[<article><h1>A day out</h1><p>We went to the sea and it was a fine day for all of us.</p><p>Then it rained.</p><p>No.</p></article>]]<footer>&copy; site, all rights reserved</footer></body></html>',
-    '<body><div class="menu"><a href="/a">One</a> <a href="/b">Two</a></div><div class="ad">Buy two of these now and get one more for free today only here</div>[[<div class="content"><h2>Bread</h2><p>Mix flour and water.<br>Wait.</p><ul><li>Flour</li><li>Water</li></ul><p>Bake it <b>long</b> and <i>slow</i>.</p></div>]]<div id="comments"><p>Great post, I made this twice and my whole family liked it a lot</p></div><div class="footer"><p>Contact us</p></div></body>',
-    '<body><header><h1>The Paper</h1><p>News since long ago</p></header>[[<main><article><h1>Roads</h1><p><b>The town mends its roads.<br><p>Work starts soon on the long road by the river, the council said.<p>It ends in May.</article></main>]]<aside><h3>Most read</h3><ul><li><a href="/x">Rivers and lakes of the whole world</a></li></ul></aside><form><label>Mail</label><input><button>Sign up</button></form><footer><p>About</p></footer></body>',
-    '<div class="cookie-notice">We use cookies to make this site work. Read more in the long policy that nobody reads.</div><table><tr><td>[[<h1>Notes</h1><p>First note of many that follow here in this text.</p><blockquote>So he said it.</blockquote><pre>a b c</pre>]]</td><td><div class="sidebar"><a href="/1">Link one</a><a href="/2">Link two</a></div></td></tr></table><div class="share">Share this with friends</div>',
-)
+NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+LEGAL = re.compile(r"©|&copy;|copyright|rights reserved", re.I)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -87,39 +81,53 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = tag + 1
 
 
-def _away(name: str, attributes: str, in_content: bool) -> bool:
-    """Whether an element is a boilerplate container; a header inside an article is part of it."""
+@lru_cache(maxsize=8192)
+def element_features(name: str, attributes: str, inside: bool) -> tuple[str, ...]:
+    """What an element tells of the words in it: its tag (told apart within articles for headers), and the words of its class, id and role."""
     if name in ("html", "body"):
-        return False
-    if name in AWAY:
-        return not (name == "header" and in_content)
-    if name in CONTENT:
-        return False
+        return ()
+    found = [] if name in INLINE and name not in ("button", "label", "select") else [f"t:{name}@in" if inside and name in ("header", "footer") else f"t:{name}"]
     for m in NAMED.finditer(attributes) if attributes else ():
         value = m[2] or m[3] or m[4] or ""
-        if (value.lower() in AWAY_ROLE) if m[1].lower() == "role" else AWAY_NAME.search(value):
-            return True
-    return False
+        if m[1].lower() == "role":
+            found.append(f"r:{value.lower()}")
+        else:
+            found += [f"n:{part.lower()}" for part in NAME_PART.findall(value)]
+    return tuple(dict.fromkeys(found))
+
+
+class Part:
+    """A run of words, or a tag: ``text``; ``breaks`` is the tag if it ends a block; ``tag`` names its price; ``active`` are the features around it."""
+
+    __slots__ = ("active", "breaks", "hidden", "linked", "tag", "text")
 
+    def __init__(self, text: str, breaks: str, tag: str, active: frozenset, linked: bool, hidden: bool) -> None:
+        self.text, self.breaks, self.tag, self.active, self.linked, self.hidden = text, breaks, tag, active, linked, hidden
 
-def scored_parts(page: str) -> list[tuple[str, str, str]]:
-    """(feature, text, block break: "" or the tag) for each run of words and each tag, in page order."""
-    parts: list[tuple[str, str, str]] = []
-    stack: list[list] = []  # name, whether it is a boilerplate container, whether prose has stood directly in it
-    root = ["", False, False]
+
+Model = tuple[dict[str, float], dict[str, float]]  # weights of word features, prices of tags
+
+
+def page_parts(page: str, words: dict[str, float] | None = None) -> list[Part]:
+    """The runs of words and the tags of a page, in order. With the word model, what boilerplate containers hold is hidden."""
+    parts: list[Part] = []
+    stack: list[list] = []  # name, whether it is a boilerplate container, whether prose has stood directly in it, features it adds
+    root = ["", False, False, ()]
     away = content = links = 0
-    inner = False  # whether the boilerplate stands within the content
     names: Counter = Counter()
+    counts: Counter = Counter()
+    active: frozenset = frozenset()
 
-    def pop(depth: int) -> bool:
-        """Close the elements from a depth on; whether one was a boilerplate container."""
-        nonlocal away, content, links
+    def pop(depth: int) -> None:
+        nonlocal away, content, links, active
         closed = stack[depth:]
-        for name, was, _ in closed:
+        for name, was, _, features in closed:
             away, content, links = away - was, content - (name in CONTENT), links - (name == "a")
             names[name] -= 1
+            counts.subtract(features)
         del stack[depth:]
-        return any(was for _, was, _ in closed)
+        if any(features for *_, features in closed):
+            active = frozenset(f for f, n in counts.items() if n > 0)
 
     def close_open(which: set[str], barrier: set[str]) -> None:
         if not any(names[name] for name in which):
@@ -134,110 +142,208 @@ def scored_parts(page: str) -> list[tuple[str, str, str]]:
             pop(found)
 
     for kind, value, attributes in tokens(page):
-        gone_as = "inner" if inner else "away"
         if kind == "text":
-            if value.isspace() and not away:
-                parts.append(("space", value, ""))
-            elif not value.isspace():
-                parts.append((f"word:{gone_as}" if away else "word:link" if links else "word", value, ""))
+            parts.append(Part(value, "", "", active, links > 0, away > 0))
             continue
+        breaks = "" if value in INLINE - {"br"} else value
         if kind == "open":
             for rules in (ITEMS, CLOSES):
                 if value in rules:
                     close_open(*rules[value])
+            if value in CONTENT:
+                close_open({"nav", "menu"}, {"aside", "footer"})  # these hold no articles, so one left open ends here
             parent = next((e for e in reversed(stack) if e[0] not in INLINE), root)
-            gone = _away(value, attributes, content > 0)
+            features = element_features(value, attributes, content > 0)
+            gone = words is not None and bool(features) and value not in CONTENT and words["bias"] + sum(words.get(f, 0.0) for f in features) < 0
+            tag = ("" if away else "away@in" if content or parent[2] else "away") if away or gone else value
+            parts.append(Part("", breaks, tag, active, False, away > 0 or gone))
             if not away:
-                inner = gone and (content > 0 or parent[2])
                 parent[2] |= value in PROSE and not gone
-            gone_as = "inner" if inner else "away"
-            parts.append((f"tag:{gone_as if gone or away else value}", "", "" if value in INLINE - {"br"} else value))
             if value not in VOID and not attributes.endswith("/"):
-                stack.append([value, gone, parent[2] and value in PARTS])
+                stack.append([value, gone, parent[2] and value in PARTS, features])
                 away, content, links = away + gone, content + (value in CONTENT), links + (value == "a")
                 names[value] += 1
+                if features:
+                    counts.update(features)
+                    active = active.union(features)
         else:
+            hidden = away > 0
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == value:
-                    gone = pop(depth)
+                    pop(depth)
                     break
-            else:
-                gone = value in AWAY
-            parts.append((f"tag:{gone_as if gone or away else '/' + value}", "", "" if value in INLINE else value))
-        if not away:
-            inner = False
+            parts.append(Part("", "" if value in INLINE else value, "" if hidden else f"/{value}", active, False, hidden))
     return parts
 
 
-def best_run(parts: list[tuple[str, str, str]], weights: dict[str, float]) -> tuple[int, int]:
+def _shapes(parts: list[Part]) -> Iterator[tuple[Part, tuple[str, ...]]]:
+    """Each run of words with the shape of its block: number of words, whether it ends like a sentence, is linked throughout, or legal."""
+    block: list[Part] = []
+
+    def out() -> Iterator[tuple[Part, tuple[str, ...]]]:
+        text = " ".join(p.text for p in block)
+        n, linked = len(text.split()), sum(len(p.text.split()) for p in block if p.linked)
+        shape = [f"s:{1 if n < 2 else 4 if n < 5 else 12 if n < 13 else 13}"]
+        legal = "s:legal@in" if block[0].active & {"t:article", "t:main"} else "s:legal"  # what an article says of rights is its own
+        shape += [f for f, holds in (("s:end", text.rstrip()[-1:] in tuple(".!?:;…\"'»”")), ("s:links", 2 * linked > n), (legal, n < 40 and LEGAL.search(text) is not None)) if holds]
+        for p in block:
+            yield p, (*shape, "s:linked") if p.linked else tuple(shape)
+        block.clear()
+
+    for p in parts:
+        if p.text:
+            if not p.hidden and not p.text.isspace():
+                block.append(p)
+        elif p.breaks and block:
+            yield from out()
+    if block:
+        yield from out()
+
+
+def scores(parts: list[Part], model: Model) -> list[float]:
+    words, prices = model
+    shaped = {id(p): shape for p, shape in _shapes(parts)}
+    around: dict[frozenset, float] = {}
+    out = []
+    for p in parts:
+        if p.text:
+            shape = shaped.get(id(p))
+            if shape is None:
+                out.append(0.0)
+                continue
+            base = around.get(p.active)
+            if base is None:
+                base = around[p.active] = words["bias"] + sum(words.get(f, 0.0) for f in p.active)
+            out.append(len(p.text.split()) * (base + sum(words.get(f, 0.0) for f in shape)))
+        else:
+            out.append(-prices.get(p.tag, prices["other"]) if p.tag else 0.0)
+    return out
+
+
+def best_run(values: list[float]) -> tuple[int, int]:
     """The contiguous run [i, j) of the greatest sum; the first and longest such. (0, 0) if none is positive."""
     best, at, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (feature, text, _) in enumerate(parts):
+    for k, value in enumerate(values):
         if total < 0:
             total, start = 0.0, k
-        total += weight(feature, text, weights)
+        total += value
         if total > 0 and total >= best:
             best, at = total, (start, k + 1)
     return at
 
 
-def weight(feature: str, text: str, weights: dict[str, float]) -> float:
-    if feature == "space" or feature.endswith(":inner"):
-        return 0.0
-    own = weights.get(feature, weights["tag:other"])
-    return own * len(text.split()) if text else own
+def _marked(page: str) -> tuple[str, list[bool], list[bool]]:
+    """A labelled page without its marks, and for each of its characters whether it is in the region, and whether it is content."""
+    plain, region, content = [], [], []
+    inside, out = False, 0
+    k = 0
+    while k < len(page):
+        mark = page[k : k + 2]
+        if mark in ("[[", "]]", "{{", "}}"):
+            inside, out = (mark == "[[", out) if mark in ("[[", "]]") else (inside, out + (1 if mark == "{{" else -1))
+            k += 2
+            continue
+        plain.append(page[k])
+        region.append(inside)
+        content.append(inside and not out)
+        k += 1
+    return "".join(plain), region, content
 
 
-@lru_cache(maxsize=1)
-def learned_weights() -> tuple[tuple[str, float], ...]:
-    pages = []
-    inside: Counter = Counter()
-    outside: Counter = Counter()
-    for marked in LABELLED:
-        before, rest = marked.split("[[")
-        content, after = rest.split("]]")
-        low, high = len(scored_parts(before)), len(scored_parts(before + content))
-        parts = scored_parts(before + content + after)
-        pages.append((parts, low, high))
-        for k, (feature, text, _) in enumerate(parts):
-            (inside if low <= k < high else outside)[feature] += max(1, len(text.split()))
-    every = {f for f in inside | outside if f != "space" and not f.endswith(":inner")}
-    weights = {f: math.log((inside[f] + 1) / (outside[f] + 1)) for f in every} | {"tag:other": -0.1}
-
-    def held(f: str, w: float) -> float:  # words score positive, tags and boilerplate words negative
-        return max(w, 0.5) if f == "word" else min(max(w, 0.05), 0.3) if f == "word:link" else min(w, -1.0) if f.endswith("away") else max(min(w, -0.02), -0.2)
-
-    weights = {f: held(f, w) for f, w in weights.items()}
-    for _ in range(100):
+def _places(page: str) -> list[int]:
+    """Where each part of a page begins."""
+    places, at = [], 0
+    for kind, value, attributes in tokens(page):
+        at = page.index(value, at) if kind == "text" else at
+        if kind == "text":
+            places.append(at)
+            at += len(value)
+        else:
+            at = page.index("<", at)
+            places.append(at)
+            at = page.index(">", at + len(value) + len(attributes)) + 1
+    return places
+
+
+def fit_words(pages: list[tuple[str, list[bool], list[bool]]], prior: float = 2.0, shrink: float = 0.03, shape_shrink: float = 1.0, rounds: int = 25) -> dict[str, float]:
+    """Logistic regression, by Newton's method, of whether words are content on the features around them; a run of words counts by its root.
+
+    Words of no features are content with log odds ``prior``, so what is learned is what speaks against that. Shapes of blocks are shrunk
+    more than elements and names, which tell more where both would do.
+    """
+    rows, labels, weight = [], [], []
+    for page, _, content in pages:
+        parts = page_parts(page)
+        at = {id(p): place for p, place in zip(parts, _places(page), strict=True)}
+        for p, shape in _shapes(parts):
+            first = at[id(p)] + len(p.text) - len(p.text.lstrip())
+            rows.append([*p.active, *shape])
+            labels.append(content[first])
+            weight.append(math.sqrt(len(p.text.split())))
+    names = sorted({f for row in rows for f in row})
+    number = {f: i for i, f in enumerate(names)}
+    x = np.zeros((len(rows), len(names)))
+    for k, row in enumerate(rows):
+        x[k, [number[f] for f in row]] = 1
+    y, w, theta = np.array(labels, float), np.array(weight), np.zeros(len(names))
+    held = np.array([shape_shrink if f.startswith("s:") else shrink for f in names])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(prior + x @ theta, -30, 30)))
+        slope = x.T @ (w * (y - p)) - held * theta
+        curve = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag(held)
+        theta += np.linalg.solve(curve, slope)
+    return {"bias": prior} | {f: float(theta[i]) for f, i in number.items()}
+
+
+def fit_prices(pages: list[tuple[str, list[bool], list[bool]]], words: dict[str, float], start: float = 0.2, rate: float = 0.05, rounds: int = 40) -> dict[str, float]:
+    """Prices of tags, all ``start`` at first, then corrected wherever the best run is not the region: up for tags it took wrongly, down for tags it missed."""
+    known = []
+    t: dict[str, float] = {"other": math.log(start)}
+    for page, region, content in pages:
+        parts = page_parts(page, words)
+        places = _places(page)
+        shown = [bool(p.text) and not p.hidden and not p.text.isspace() for p in parts]
+        want = {k for k, p in enumerate(parts) if shown[k] and content[places[k] + len(p.text) - len(p.text.lstrip())]}
+        fixed = scores(parts, (words, {"other": 0.0}))
+        known.append((fixed, [p.tag for p in parts], shown, want, [region[place] for place in places]))
+        t |= {p.tag: math.log(start) for p in parts if p.tag}
+    for _ in range(rounds):
         wrong = False
-        for parts, low, high in pages:
-            i, j = best_run(parts, weights)
-            words = lambda a, b: {k for k in range(a, b) if parts[k][0].startswith("word") and parts[k][0] not in STRIPPED}
-            if words(i, j) != words(low, high):
-                wrong = True
-                for k in range(low, high):
-                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) + 0.05) if parts[k][0] != "space" and not parts[k][0].endswith(":inner") else 0
-                for k in range(i, j):
-                    weights[parts[k][0]] = held(parts[k][0], weights.get(parts[k][0], 0) - 0.05) if parts[k][0] != "space" and not parts[k][0].endswith(":inner") else 0
+        price = {tag: math.exp(v) for tag, v in t.items()}
+        for fixed, tags, shown, want, region in known:
+            i, j = best_run([v - price[tag] if tag else v for v, tag in zip(fixed, tags, strict=True)])
+            if {k for k in range(i, j) if shown[k]} == want:
+                continue
+            wrong = True
+            for k, tag in enumerate(tags):
+                if tag and (i <= k < j) != region[k]:
+                    t[tag] += rate if i <= k < j else -rate
+                    price[tag] = math.exp(t[tag])
         if not wrong:
             break
-    weights.pop("space", None)
-    return tuple(sorted(weights.items()))
+    return {tag: math.exp(v) for tag, v in t.items()}
+
+
+@lru_cache(maxsize=1)
+def learned_model() -> Model:
+    pages = [_marked(p) for p in labelled_pages()]
+    words = fit_words(pages)
+    return words, fit_prices(pages, words)
 
 
-def main_text(page: str | None, weights: dict[str, float]) -> str:
-    """Blocks of the content region, each with white space made one space, joined by newlines."""
-    parts = scored_parts(page or "")
-    i, j = best_run(parts, weights)
+def main_text(page: str | None, model: Model, whole: bool = False) -> str:
+    """Blocks of the content region, each with white space made one space, joined by newlines; ``whole`` takes the page for its region."""
+    parts = page_parts(page or "", model[0])
+    i, j = (0, len(parts)) if whole else best_run(scores(parts, model))
     blocks: list[str] = []
     current: list[str] = []
-    for feature, text, tag in parts[i:j]:
-        if text:
-            if feature not in STRIPPED:
-                current.append(text)
-        elif tag == "br":
+    for p in parts[i:j]:
+        if p.text:
+            if not p.hidden:
+                current.append(p.text)
+        elif p.breaks == "br":
             current.append(" ")
-        elif tag:
+        elif p.breaks:
             blocks.append("".join(current))
             current = []
     blocks.append("".join(current))
@@ -250,11 +356,11 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     A null or empty page has an empty text. Pages are read whole; unclosed tags, quotes and elements end with the page.
     Only the named columns are read.
     """
-    weights = dict(learned_weights())
+    model = learned_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p, weights) for p in batch.column(2).to_pylist()]
+            texts = [main_text(p, model) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, url_col, "text", "n_chars"])
 
     kind = pages.schema[id_col].dataType.simpleString()
