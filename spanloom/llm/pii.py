@@ -25,15 +25,20 @@ CARD = r"[0-9](?<![0-9][0-9])(?<![0-9][ -][0-9])(?:[ -]?+[0-9]){11,18}+(?![ -]?[
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 TERM = r"(?<![\p{L}\p{N}])\p{L}++(?!\p{N})"
 LIKELY = r"@|\+[0-9]|[0-9]\.[0-9]|[0-9][ -]?[0-9][ -]?[0-9]"  # a text without it can't match a pattern; reads much faster than they do
+SPANS = "array<struct<start:int,end:int,found:string>>"
 THRESHOLD, Z = 0.8, 1.6448536  # Z: 95 % one-sided
 BROADCAST_ROWS = 500_000
 
 
-def located(text: Column, pattern: Column) -> Column:
-    """Array of (start, end, found) of a pattern's matches, in code points, end exclusive; empty where there are none."""
+def located(text: Column, pattern: Column, block: int = 128) -> Column:
+    """Array of (start, end, found) of a pattern's matches, in code points, end exclusive; empty where there are none.
+
+    Positions are running sums of the gaps between matches. They are summed in blocks first and the blocks' totals after, since a fold
+    copies the array that it grows.
+    """
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    empty = F.array().cast(SPANS)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + pair["gap"]
@@ -41,7 +46,12 @@ def located(text: Column, pattern: Column) -> Column:
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["found"].alias("found")))).alias("spans"))
 
     pairs = F.transform(F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap")), lambda p: F.struct(p["found"].alias("found"), p["gap"].alias("gap")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
+    within = lambda some: F.aggregate(some, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step)
+    # one struct, so that each array is worked out once a row
+    parts = F.transform(F.array(pairs), lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / block).cast("int")), lambda b: within(F.slice(p, b * block + 1, block))))
+    totals = lambda ps: F.aggregate(ps, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), lambda t, p: F.struct((t["at"] + p["at"]).alias("at"), F.concat(t["starts"], F.array(t["at"])).alias("starts")), lambda t: t["starts"])
+    moved = lambda p, by: F.transform(p["spans"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["found"].alias("found")))
+    spans = F.transform(parts, lambda ps: F.flatten(F.transform(F.arrays_zip(ps.alias("p"), totals(ps).alias("t")), lambda z: moved(z["p"], z["t"]))))[0]
     return F.when(F.regexp_like(text, pattern), spans).otherwise(empty)
 
 
@@ -63,10 +73,10 @@ def base_spans(text: Column) -> dict[str, Column]:
     """For each kind, the array of (start, end, found) that the rules accept. ``text`` isn't null."""
     octets = lambda s: F.forall(F.split(s["found"], r"\."), lambda p: (F.length(F.regexp_replace(p, "^0+", "")) <= 3) & (F.coalesce(F.substring(F.regexp_replace(p, "^0+", ""), 1, 3).cast("int"), F.lit(0)) <= 255))
     return {
-        "email": F.when(F.contains(text, F.lit("@")), located(text, F.lit(EMAIL))).otherwise(F.array().cast("array<struct<start:int,end:int,found:string>>")),
+        "email": F.when(F.contains(text, F.lit("@")), located(text, F.lit(EMAIL))).otherwise(F.array().cast(SPANS)),
         "ip": F.filter(located(text, F.lit(IP)), octets),
         "card": F.filter(located(text, F.lit(CARD)), lambda s: _luhn(s["found"])),
-        "phone": F.filter(F.when(F.contains(text, F.lit("+")), located(text, F.lit(PHONE))).otherwise(F.array().cast("array<struct<start:int,end:int,found:string>>")), lambda s: F.length(_digits(s["found"])).between(9, 15)),
+        "phone": F.filter(F.when(F.contains(text, F.lit("+")), located(text, F.lit(PHONE))).otherwise(F.array().cast(SPANS)), lambda s: F.length(_digits(s["found"])).between(9, 15)),
     }
 
 
@@ -159,9 +169,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     if terms.isEmpty():
         return based.withColumn("terms", empty)
     keyed = based.withColumn("__entities", F.array_distinct(F.transform("base", lambda s: F.lower(s["found"])))).withColumn("__key", F.struct(F.xxhash64("text"), F.crc32("text")))
-    listed = terms.groupBy("entity").agg(F.collect_list(F.struct("term", "share")).alias("told"))
-    texts = keyed.where(F.size("__entities") > 0).select("__key", F.explode("__entities").alias("entity")).distinct()
-    revealed = texts.join(listed, "entity").select("__key", F.explode("told").alias("t")).groupBy("__key", "t.term").agg(F.max("t.share").alias("share"))
+    # terms go to the texts with their entity, and only those that a text holds are gathered by text
+    texts = keyed.where(F.size("__entities") > 0).select("__key", F.lower("text").alias("__lower"), F.explode("__entities").alias("entity"))
+    met = texts.join(F.broadcast(terms) if terms.count() <= BROADCAST_ROWS else terms, "entity").where(F.contains("__lower", "term"))
+    revealed = met.groupBy("__key", "term").agg(F.max("share").alias("share"))
     per_text = revealed.groupBy("__key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "share")))).alias("__shares"))
     # rows without an entity don't take part in the join
     plain = keyed.where(F.size("__entities") == 0).withColumn("terms", empty)
