@@ -1,0 +1 @@
+"""Column functions that belong to no operator."""

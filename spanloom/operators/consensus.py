@@ -96,9 +96,10 @@ def stack_consensus(rows: DataFrame, key: str, seq: str, max_gap: float = 0.5, l
     Columns with gaps (or no letter) in over ``max_gap`` of the rows go, and so do those without A, C, G or T. The commonest base stands,
     ties in the order A, C, G, T; N where it has less than ``least`` of the bases.
     """
-    depth = rows.where(F.col(seq).isNotNull()).groupBy(key).agg(F.count("*").alias("__depth"))
-    letters = rows.select(key, F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("col", "base")).where(F.length("base") > 0)
-    counts = letters.groupBy(key, "col").agg(F.count_if(~F.col("base").isin(*GAPS)).alias("filled"), *(F.count_if(F.col("base") == b).alias(b) for b in LETTERS)).join(depth, key)
+    # an empty row has one empty letter, so the entries of the first column are the rows
+    letters = rows.select(key, F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("col", "base"))
+    tally = letters.groupBy(key, "col").agg(F.count("*").alias("__rows"), F.count_if((F.length("base") > 0) & ~F.col("base").isin(*GAPS)).alias("filled"), *(F.count_if(F.col("base") == b).alias(b) for b in LETTERS), F.max(F.length("base")).alias("__any"))
+    counts = tally.withColumn("__depth", F.max(F.when(F.col("col") == 0, F.col("__rows"))).over(Window.partitionBy(key))).where("__any > 0")
     bases = F.nullif(sum((F.col(b) for b in LETTERS[1:]), F.col("A")), F.lit(0))
     top = F.greatest(*LETTERS)
     first = F.when(F.col("A") == top, "A").when(F.col("C") == top, "C").when(F.col("G") == top, "G").otherwise("T")

@@ -56,6 +56,11 @@ def union_length(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e",
     return merge_intervals(df, keys, s, e).groupBy(*keys).agg(F.sum(F.col(e) - F.col(s) + (1 if inclusive else 0)).alias("length"))
 
 
+def total_span(df: DataFrame, name: str, s: str = "s", e: str = "e") -> DataFrame:
+    """(name, size): the sum of end - start over all rows of a name, overlaps counted again."""
+    return df.groupBy(name).agg(F.sum(F.col(e) - F.col(s)).alias("size"))
+
+
 def rank_families(df: DataFrame, name: str, inner_keys: Sequence[str], s: str = "s", e: str = "e", prefix: str = "FAM_") -> DataFrame:
     """Families ranked by merged size (sum of end - start), largest first, ties by name: (name, size, rank, family)."""
     sizes = union_length(df, [name, *inner_keys], s, e, inclusive=False).groupBy(name).agg(F.sum("length").alias("size"))

@@ -170,6 +170,12 @@ def dust_score(df: DataFrame, seq_id: str, seq: str, window: int = 64) -> DataFr
     return triplets.groupBy(seq_id, "window_no").agg((F.sum(F.col("c") * (F.col("c") - 1) / 2) / F.greatest(F.sum("c") - 1, F.lit(1))).alias("score"))
 
 
+def masked_share(scores: DataFrame, sequences: DataFrame, seq_id: str, level: float = 2.0) -> DataFrame:
+    """(seq_id, share): the share of a sequence's windows whose triplet repetition is above ``level``; 0 for sequences without a window."""
+    over = scores.groupBy(seq_id).agg(F.avg((F.col("score") > level).cast("int")).alias("share"))
+    return sequences.select(seq_id).join(over, seq_id, "left").select(seq_id, F.coalesce("share", F.lit(0.0)).alias("share"))
+
+
 def orientation(df: DataFrame, group: str, seq_id: str, seq: str, k: int = 8) -> DataFrame:
     """(group, seq_id, forward): whether the commoner half of a sequence's k-mers meets more of its group's longest sequence than the commoner half of its reverse complement's does.
 

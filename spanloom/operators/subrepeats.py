@@ -47,7 +47,7 @@ def parse_candidates(cell: Column) -> Column:
     """
     def entry(text: Column) -> Column:
         parts = F.split(text, ":")
-        fields = F.slice(parts, 2, 1000)
+        fields = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
         other = F.filter(fields, lambda f: ~(f.startswith("d=") | f.startswith("sc=") | f.startswith("pc=")))
         head = F.split(parts[0], "/", 2)
         last = lambda name: F.try_element_at(F.transform(F.filter(fields, lambda f: f.startswith(name)), lambda f: F.regexp_replace(f, "^[a-z]+=", "").try_cast("double")), F.lit(-1))

@@ -10,6 +10,7 @@ from spanloom.operators import sequences as S
 from spanloom.operators import subrepeats as N
 from spanloom.plans.adapters import dna_docs, table
 from spanloom.plans.rollup_queries import DNA, KMER, PRIORITIES, links, rounded
+from spanloom.session import written
 
 PERIOD = 12
 
@@ -33,6 +34,11 @@ def tally(sp, d):
     return K.window_tally(dna_docs(sp, d), "doc_id", "seq", PERIOD, 600)
 
 
+def rotated(counts):
+    """The consensus of windows that are turned by their shifts; ``counts`` is read for both."""
+    return rounded(S.consensus(K.rotated_tally(counts, K.window_shifts(counts, "doc_id", PERIOD), "doc_id", PERIOD), "doc_id"))
+
+
 def event_kmers(sp, d):
     """Counts of three event types in a row, a letter each, per user."""
     by = Window.partitionBy("user_id").orderBy("ts", "event_id")
@@ -81,7 +87,7 @@ QUERIES = {
     "flattest_window": lambda sp, d: K.flattest_window(gap_columns(sp, d), "l_orderkey", "l_linenumber", "gap", 3),
     "window_tally": tally,
     "window_shifts": lambda sp, d: K.window_shifts(tally(sp, d), "doc_id", PERIOD),
-    "rotated_consensus": lambda sp, d: rounded(S.consensus(K.rotated_tally(tally(sp, d), K.window_shifts(tally(sp, d), "doc_id", PERIOD), "doc_id", PERIOD), "doc_id")),
+    "rotated_consensus": lambda sp, d: rotated(written(tally(sp, d))),
     "harmonics": lambda sp, d: rounded(K.harmonics(S.base_tally(dna_docs(sp, d), "doc_id", "seq", PERIOD), "doc_id", PERIOD)),
     "monomer_cycles": lambda sp, d: K.monomer_cycles(event_kmers(sp, d), "user_id", least_nodes=3),
     "greedy_clusters": lambda sp, d: K.greedy_clusters(graph_nodes(sp, d), links(sp, d), -F.col("size")),

@@ -44,6 +44,7 @@ QUERIES = {
     "iv_merge_tables": lambda sp, d: R.merge_annotations([iv_lineitem(sp, d).select("seqid", "name", "s", "e"), iv_events(sp, d).select("seqid", "name", "s", "e")]),
     "iv_round_union": lambda sp, d: R.union_rounds([iv_lineitem(sp, d).where(F.col("e") - F.col("s") <= 20).select("seqid", "name", "s", "e"), iv_lineitem(sp, d).where(F.col("e") - F.col("s") > 20).select("seqid", "name", "s", "e")], "name"),
     "iv_drop_adjacent": lambda sp, d: R.drop_adjacent(iv_events(sp, d).select("event_id", "seqid", F.floor(F.col("s") / 1_000_000).alias("s"), F.floor(F.col("e") / 1_000_000).alias("e")), "seqid", "s", "e", ["event_id"], "event_id"),
+    "iv_total_span": lambda sp, d: I.total_span(iv_lineitem(sp, d), "name"),
     "iv_relations": lambda sp, d: _relations(sp, d),
     "reannotate_pipeline": lambda sp, d: I.reannotate(iv_events(sp, d), _sizes(sp, d).withColumn("size", F.floor(F.col("size") / 20))),
 }
@@ -119,6 +120,7 @@ ORACLE_SQL = {
     "iv_merge_tables": f"SELECT seqid, name, s, e FROM {merge_sql(f'(SELECT seqid, name, s, e FROM {LI} l0 UNION ALL SELECT seqid, name, s, e FROM {EV} e0)', 'seqid, name')} t",
     "iv_round_union": f"SELECT seqid, name || CASE WHEN e - s <= 20 THEN '_rnd0' ELSE '_rnd1' END AS name, s, e FROM {LI} t",
     "iv_drop_adjacent": f"SELECT event_id, seqid, s, e FROM (SELECT *, lead(s) OVER w AS ns, lead(e) OVER w AS ne FROM (SELECT event_id, seqid, s // 1000000 AS s, e // 1000000 AS e FROM {EV} t) x WINDOW w AS (PARTITION BY seqid ORDER BY s, event_id)) q WHERE NOT coalesce(ns = s AND ne = e, false)",
+    "iv_total_span": f"SELECT name, CAST(sum(e - s) AS BIGINT) AS size FROM {LI} t GROUP BY 1",
     "iv_relations": f"SELECT seqid, count(*) FILTER (s <= pe AND ps <= e) AS met, count(*) FILTER (s >= ps AND e <= pe) AS held FROM (SELECT seqid, s, e, lag(s) OVER w AS ps, lag(e) OVER w AS pe FROM {EV} t WINDOW w AS (PARTITION BY seqid ORDER BY s, event_id)) q WHERE ps IS NOT NULL GROUP BY 1",
     "reannotate_pipeline": REANN,
 }

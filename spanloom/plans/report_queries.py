@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spanloom.functions import display
 from spanloom.operators import report as R
 from spanloom.plans.adapters import table
 from spanloom.plans.rollup_queries import PRIORITIES, rounded
@@ -132,7 +133,7 @@ QUERIES = {
     "overview_points": lambda sp, d: rounded(R.overview_points(with_calls(sp, d))),
     "annotation_counts": lambda sp, d: R.annotation_counts(table(sp, d, "part").select(F.when(F.col("p_size") > 40, F.concat_ws(", ", "p_brand", "p_type")).when(F.col("p_size") > 10, F.concat_ws("-", "p_brand", F.substring("p_type", 1, 6))).alias("prevalent_annot"))),
     "visible_contigs": lambda sp, d: R.visible_contigs(arrays(sp, d).groupBy(F.col("family").alias("seqid")).agg(F.sum("length").alias("length")), 500_000, 25),
-    "bp_text": lambda sp, d: table(sp, d, "orders").select("o_orderkey", R.bp_text(F.floor(F.col("o_totalprice") * F.element_at(F.array(F.lit(0.001), F.lit(1.0), F.lit(100.0)), (F.col("o_orderkey") % 3 + 1).cast("int")))).alias("size"), R.number_text(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") / 8), 2).alias("share")),
+    "bp_text": lambda sp, d: table(sp, d, "orders").select("o_orderkey", display.bp_text(F.floor(F.col("o_totalprice") * F.element_at(F.array(F.lit(0.001), F.lit(1.0), F.lit(100.0)), (F.col("o_orderkey") % 3 + 1).cast("int")))).alias("size"), display.number_text(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") / 8), 2).alias("share")),
     "unlist": lambda sp, d: R.unlist(table(sp, d, "part").select("p_partkey", F.when(F.col("p_size") > 5, F.concat_ws(", ", "p_brand", "p_type")).otherwise("").alias("labels")), "labels", "label"),
     "longest_entries": lambda sp, d: R.longest_entries(table(sp, d, "part").select(F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_size") > 3, F.lit("#")).otherwise(""), F.col("p_type")).alias("name"), F.col("p_name").alias("seq"))),
     "family_kinds": lambda sp, d: R.family_kinds(arrays(sp, d).where("repeat_type is not null"), "family", "repeat_type", ["start"]),

@@ -190,6 +190,7 @@ QUERIES = {
     "pfm_consensus": lambda sp, d: rounded(S.consensus(S.base_tally(dna_docs(sp, d), "doc_id", "seq", 12), "doc_id")),
     "anchor_kmer": lambda sp, d: rounded(S.anchor_kmer(dna_docs(sp, d), "doc_id", "seq", 5, 12, 3)),
     "dust_score": lambda sp, d: rounded(S.dust_score(dna_docs(sp, d), "doc_id", "seq")),
+    "masked_share": lambda sp, d: rounded(S.masked_share(S.dust_score(dna_docs(sp, d), "doc_id", "seq"), dna_docs(sp, d), "doc_id", 1.0)),
     "orient_vote": lambda sp, d: S.orientation(dna_docs(sp, d).withColumn("grp", F.col("doc_id") % 50), "grp", "doc_id", "seq"),
 }
 
@@ -251,6 +252,7 @@ ORACLE_SQL = {
     "multimer": f"SELECT doc_id, substr(repeat(seq, CAST(round_even(1 + 1000 / length(seq), 0) AS BIGINT)), 1, 1000) AS seq FROM {DNA} d WHERE length(seq) > 0",
     "pfm_tally": f"SELECT doc_id, CAST(pos % 12 AS INTEGER) AS pos, kmer AS base, count(*) AS n FROM {KMER(1, 'doc_id,')} t GROUP BY 1, 2, 3",
     "dust_score": f"SELECT doc_id, window_no, round(sum(c * (c - 1) / 2) / greatest(sum(c) - 1, 1), 6) AS score FROM (SELECT doc_id, pos // 64 AS window_no, kmer, count(*) AS c FROM {KMER(3, 'doc_id,')} t GROUP BY 1, 2, 3) u GROUP BY 1, 2",
+    "masked_share": f"SELECT d.doc_id, round(coalesce(share, 0.0), 6) AS share FROM documents d LEFT JOIN (SELECT doc_id, avg(CASE WHEN score > 1 THEN 1 ELSE 0 END) AS share FROM (SELECT doc_id, window_no, sum(c * (c - 1) / 2) / greatest(sum(c) - 1, 1) AS score FROM (SELECT doc_id, pos // 64 AS window_no, kmer, count(*) AS c FROM {KMER(3, 'doc_id,')} t GROUP BY 1, 2, 3) u GROUP BY 1, 2) v GROUP BY 1) w ON w.doc_id = d.doc_id",
     "pfm_consensus": f"WITH t AS (SELECT doc_id, pos % 12 AS pos, count(*) + 2 AS n, (sum(CASE WHEN kmer = 'A' THEN 1 ELSE 0 END) + 0.5) AS a, (sum(CASE WHEN kmer = 'C' THEN 1 ELSE 0 END) + 0.5) AS c, (sum(CASE WHEN kmer = 'G' THEN 1 ELSE 0 END) + 0.5) AS g, (sum(CASE WHEN kmer = 'T' THEN 1 ELSE 0 END) + 0.5) AS t FROM {KMER(1, 'doc_id,')} k GROUP BY 1, 2), p AS (SELECT doc_id, pos, CAST(a AS DOUBLE) / n AS a, CAST(c AS DOUBLE) / n AS c, CAST(g AS DOUBLE) / n AS g, CAST(t AS DOUBLE) / n AS t FROM t) SELECT doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN a = greatest(a, c, g, t) THEN 'A' WHEN c = greatest(a, c, g, t) THEN 'C' WHEN g = greatest(a, c, g, t) THEN 'G' ELSE 'T' END AS base, round(greatest(a, c, g, t), 6) AS share, round(-(a * log2(a) + c * log2(c) + g * log2(g) + t * log2(t)), 6) AS entropy FROM p",
     "anchor_kmer": f"WITH x AS (SELECT doc_id, kmer, pos % 12 AS phase, count(*) AS c FROM {KMER(5, 'doc_id,')} t GROUP BY 1, 2, 3), e AS (SELECT doc_id, kmer, sum(c) AS n, max(c) AS top FROM x GROUP BY 1, 2 HAVING sum(c) >= 3) SELECT doc_id, kmer, round(top / n, 6) AS phase_share, CAST(n AS BIGINT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY top / n DESC, n DESC, kmer) AS k FROM e) z WHERE k = 1",
     "ann_describe": f"SELECT n_nationkey AS s_nationkey, coalesce(string_agg(name || ' (' || CAST(round_even(round_even(coverage, 3) * 100, 1) AS VARCHAR) || '%25)', ', ' ORDER BY coverage DESC, name), 'NA') AS annotation FROM nation LEFT JOIN {COVERAGE} c ON s_nationkey = n_nationkey GROUP BY 1",

@@ -33,7 +33,7 @@ def write_gff3_by_name(df: DataFrame, path: str, keys: list[str], name: str = "N
 def _write_lines(lines: DataFrame, path: str, *by: str) -> None:
     """Lines of one column, whose name heads each file; nothing is quoted or escaped."""
     writer = lines.write.mode("overwrite").partitionBy(*by) if by else lines.write.mode("overwrite")
-    writer.csv(path, header=True, sep="\u0001", quote="", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="")
+    writer.option("comment", "\u0002").csv(path, header=True, sep="\u0001", quote="", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="")
 
 
 def with_attributes(features: DataFrame, values: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -120,14 +120,15 @@ def test_greedy_clusters_against_the_sequential_rule(spark):
     size = {i: rng.randint(1, 5) for i in range(60)}
     edges = [(rng.randrange(60), rng.randrange(50)) for _ in range(90)] + [(3, 3)]
     near = {i: {b if a == i else a for a, b in edges if i in (a, b) and a != b} for i in size}
-    order, chosen = sorted(size, key=lambda i: (-size[i], i)), {}
+    nodes = spark.createDataFrame(list(size.items()), "node long, size int")
+    tie = {r.node: r.h for r in nodes.select("node", F.xxhash64("node").alias("h")).collect()}
+    order, chosen = sorted(size, key=lambda i: (-size[i], tie[i])), {}
     for i in order:
         if not any(chosen.get(j) == j for j in near[i]):
             chosen[i] = i
     for i in order:
         if i not in chosen:
             chosen[i] = next(j for j in order if j in near[i] and chosen.get(j) == j)
-    nodes = spark.createDataFrame(list(size.items()), "node long, size int")
     got = K.greedy_clusters(nodes, spark.createDataFrame(edges, "src long, dst long"), -F.col("size"))
     assert dict(map(tuple, got.collect())) == chosen and got.count() == 60
     none = spark.createDataFrame([], "src long, dst long")
@@ -135,6 +136,16 @@ def test_greedy_clusters_against_the_sequential_rule(spark):
     assert K.greedy_clusters(nodes.where("size > 9"), none, -F.col("size")).isEmpty()
 
 
+def test_greedy_clusters_of_repeated_nodes_and_long_chains(spark):
+    rows = [(i, 1) for i in range(400)] + [(0, 25), (7, 25), (None, 3)]
+    nodes = spark.createDataFrame(rows, "node long, size int")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(399)] + [(5, 9999)], "src long, dst long")
+    got = dict(map(tuple, K.greedy_clusters(nodes, chain, -F.col("size"), max_rounds=30).collect()))
+    assert set(got) == set(range(400)) and got[0] == 0 and got[7] == 7 and got[1] == 0
+    assert all(got[got[i]] == got[i] and abs(i - got[i]) <= 1 for i in got)
+    assert all(got[i] != i or got[i + 1] != i + 1 for i in range(399))
+
+
 def test_tiers_of_null_peaks(spark):
     kinds = "period double, founder double, phantom boolean, occupancy double, identity double, coverage double, intervals int, phase double, auto double, nested boolean"
     blank = (None,) * 8

@@ -41,23 +41,27 @@ def test_motifs_and_repeats(spark):
     df = spark.createDataFrame([("tta",), ("GAT",)], "m string")
     assert [r[0] for r in df.select(S.canonical_motif(F.col("m"))).collect()] == ["AAT", "ATC"]
     found = S.find_ssrs("gg" + "at" * 10 + "cc")
-    assert [(x["motif"], x["repeats"], x["start"]) for x in found] == [("at", 10, 2)]
-    assert S.find_ssrs(None) == [] and [x["motif"] for x in S.find_ssrs("a" * 40)] == ["a"]
+    assert [(x["motif"], x["repeats"], x["start"]) for x in found] == [("at", 10, 3)]
+    assert S.find_ssrs(None) == [] and [(x["motif"], x["repeats"], x["start"], x["end"]) for x in S.find_ssrs("c" + "a" * 40)] == [("a", 40, 2, 41)]
+    assert [x["motif"] for x in S.find_ssrs("a" * 40 + "gc" * 9)] == ["gc"]  # one letter counts only where there is nothing else
     motifs = spark.createDataFrame([(["ATAT", "AT", "GC", "ATC"],)], "m array<string>")
     assert motifs.select(S.unique_motifs(F.col("m"))).first()[0] == ["AT", "GC", "ATC"]
 
 
 def test_sources_and_sinks_round_trip(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">s1 first\nACGT\nAC\n>s2\nTT\n")
-    fasta = X.read_fasta(spark, str(tmp_path / "a.fa"))
+    fasta = X.read_fasta(spark, str(tmp_path / "a.fa")).drop("rec_no")
     assert sorted(map(tuple, fasta.collect())) == [("s1", "ACGTAC", 6), ("s2", "TT", 2)]
     K.write_fasta(fasta, str(tmp_path / "out"))
-    assert sorted(map(tuple, X.read_fasta(spark, str(tmp_path / "out")).collect())) == sorted(map(tuple, fasta.collect()))
+    assert sorted(map(tuple, X.read_fasta(spark, str(tmp_path / "out")).drop("rec_no").collect())) == sorted(map(tuple, fasta.collect()))
     (tmp_path / "a.gff3").write_text("##gff-version 3\nchr1\tx\ttandem\t5\t9\t1\t.\t.\tName=F_1;ssr=AT (9%25)\n")
     gff = X.read_gff3(spark, str(tmp_path / "a.gff3"))
     assert gff.first().attributes == {"Name": "F_1", "ssr": "AT (9%25)"}
     K.write_gff3(gff, str(tmp_path / "gff"), ["Name", "ssr"])
     assert X.read_gff3(spark, str(tmp_path / "gff")).collect() == gff.collect()
+    assert all(p.read_text().startswith("##gff-version 3\n") for p in (tmp_path / "gff").glob("part-*"))
+    K.write_gff3_by_name(gff, str(tmp_path / "named"), ["Name", "ssr"])
+    assert [p.read_text().splitlines()[0] for p in (tmp_path / "named" / "Name=F_1").glob("part-*")] == ["##gff-version 3"]
     (tmp_path / "empty.tsv").write_text("")
     assert X.read_hits(spark, str(tmp_path / "empty.tsv")).count() == 0
     (tmp_path / "a.out").write_text("h\n\nh\n 12 1 2 3 chr1 7 90 (5) C Fam#x Cls 1 2\nbad\n")
