@@ -19,10 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.session import cut
+
 Q = 12
 PASSAGE = 120
 EDIT_RATE = 0.05
 BLOCK_CHARS = 2_000_000
+BROADCAST_ROWS = 500_000
 WORDS = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,6 +157,8 @@ def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[
         band = np.floor_divide(diagonal, step)
         # a band is two steps wide, and a q-gram of the passage counts once a band
         keys.append(np.unique(np.concatenate([np.stack([d, passage, b, offset], axis=1) for b in (band, band - 1)]), axis=0))
+        if sum(map(len, keys)) > 2_000_000:  # what repeats in several slices is held once
+            keys = [np.unique(np.concatenate(keys), axis=0)]
     found = np.unique(np.concatenate(keys), axis=0)
     change = np.flatnonzero(np.r_[True, (found[1:, :3] != found[:-1, :3]).any(axis=1)])
     shared = np.diff(np.r_[change, len(found)])
@@ -171,31 +176,31 @@ def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[
             yield base + d, item, int(index.starts[passage]), max(0, end - len(index.codes[passage])), end, edits
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, **how) -> Iterator[Passages]:
-    """The benchmark, read as a stream, in blocks of bounded size; one block is what a task holds at a time."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, **how) -> Iterator[tuple[Passages, bool]]:
+    """The benchmark, read as a stream, in blocks of bounded size, and whether a block is the only one."""
     block: list[tuple[int, str | None]] = []
-    size = 0
+    size, number = 0, 0
     for row in benchmark.select(item_col, text_col).toLocalIterator():
+        if size >= block_chars:
+            yield index_passages(block, **how), False
+            block, size, number = [], 0, number + 1
         block.append((row[0], row[1]))
         size += len(row[1] or "")
-        if size >= block_chars:
-            yield index_passages(block, **how)
-            block, size = [], 0
-    yield index_passages(block, **how)
+    yield index_passages(block, **how), number == 0
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = BLOCK_CHARS, **how) -> DataFrame:
     """(doc_id, item_id, passage_start, start, end, edits): one row for each document row and benchmark item found in it.
 
-    The benchmark goes to the tasks in blocks of ``block_chars`` characters; beyond one block the documents are read once
-    a block. Null and empty texts match nothing, nor do null items; repeated documents repeat their rows. Only the named
-    columns are read.
+    The benchmark goes to the tasks in blocks of ``block_chars`` characters. Of a larger benchmark one block is held at a time, by the driver
+    and by the tasks: the documents are read once a block, and its finds are checkpointed before the next block is sent. Null and empty
+    texts match nothing, nor do null items; repeated documents repeat their rows. Only the named columns are read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, {item_col} long, passage_start int, start int, end int, edits int"
     source = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
     found = None
-    for index in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
+    for index, only in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -206,22 +211,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "passage_start", "start", "end", "edits"])
 
         part = source.mapInArrow(run, schema)
+        if not only:
+            part = cut(part)
+            sent.destroy()
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_chars: int = BLOCK_CHARS, **how) -> DataFrame:
-    """The rows of ``docs`` in whose text no benchmark passage is found; all their columns stay as they are."""
-    kept = docs
-    for index in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
+    """The rows of ``docs`` in whose text no benchmark passage is found; all their columns stay as they are.
+
+    Against one block rows are dropped as they are read. Against several, the hashes of texts with a find are gathered block by block,
+    and their rows dropped by those.
+    """
+    key = F.struct(F.xxhash64(text_col).alias("x"), F.crc32(F.col(text_col).cast("binary")).alias("c"))
+    gone = None
+    for index, only in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, keep: bool = only) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-                clean = np.ones(batch.num_rows, bool)
-                clean[[r[0] for r in find_passages(texts, sent.value)]] = False
-                yield batch.filter(pa.array(clean))
-
-        kept = kept.mapInArrow(run, docs.schema)
-    return kept
+                marked = np.full(batch.num_rows, keep)
+                marked[[r[0] for r in find_passages(texts, sent.value)]] = not keep
+                yield batch.filter(pa.array(marked))
+
+        if only:
+            return docs.mapInArrow(run, docs.schema)
+        texts = docs.select(text_col)
+        part = cut(texts.mapInArrow(run, texts.schema).select(key.alias("__gone")).distinct())
+        sent.destroy()
+        gone = part if gone is None else gone.unionByName(part)
+    gone = cut(gone.distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return docs.withColumn("__key", key).join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti").drop("__key")
