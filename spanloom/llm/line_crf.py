@@ -22,7 +22,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 LEGAL = re.compile(r"licen[sc]e|copyright|©|all rights reserved|https?:|www\.|cookie|subscribe|click here|terms of (?:use|service)", re.I)
 FEATURES = ("bias", "one_or_two_words", "few_words", "many_words", "symbol_words", "some_symbols", "capitals", "pipes", "exclamations", "seen_before", "one_word_repeats", "low_variety", "digits", "legal", "ends_sentence", "long_words")
-MAX_TRAINING_DOCS = 600
+MAX_TRAINING_DOCS, MAX_TRAINING_LINES = 600, 200_000
+HELD_OUT = 5
 SEQUENCE_LINES = 80
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_CONTENT_SHARE = 50, 50, 0.5
 
@@ -120,14 +121,16 @@ def train_field(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 15
     return Crf(theta[: 2 * m].reshape(2, m), theta[2 * m :].reshape(2, 2))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> Crf:
-    """Fit on all lines of at most ``max_docs`` labelled documents of each label, the first in the order of a hash.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS, max_lines: int = MAX_TRAINING_LINES) -> Crf:
+    """Fit on lines of at most ``max_docs`` labelled documents of each label, the first in the order of a hash.
 
-    The bound is for fitting only, and on documents: their texts are read whole, in the tasks, and a line comes to the driver
-    as one number that holds its features. Long texts are cut into sequences of ``SEQUENCE_LINES`` lines, none of which is left out.
-    Without documents of both labels it is ``prior_field``.
+    Documents whose crc32 of the id as text is divisible by ``HELD_OUT`` are never fitted on. The bounds are for fitting only: texts are read
+    whole, in the tasks, and a line comes to the driver as one number that holds its features; sequences are fitted on until
+    they have ``max_lines`` lines. Long texts are cut into sequences of ``SEQUENCE_LINES`` lines. Without documents of both labels
+    it is ``prior_field``.
     """
-    usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.min(label_col).alias("__y"), F.max(label_col).alias("__z")).where("__y = __z")
+    fitted = F.crc32(F.col(id_col).cast("string").cast("binary")) % HELD_OUT != 0
+    usable = labels.where(F.col(id_col).isNotNull() & fitted & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.min(label_col).alias("__y"), F.max(label_col).alias("__z")).where("__y = __z")
     each = [usable.where(F.col("__y") == y).select(F.col(id_col).alias("__id"), "__y").orderBy(F.xxhash64("__id"), "__id").limit(max_docs) for y in (0, 1)]
     sample = F.broadcast(each[0].unionByName(each[1]))
     joined = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")).join(sample, F.col("__doc") == F.col("__id")).select(F.col("__doc").cast("string"), F.col("__y").cast("int"), "__text")
@@ -142,11 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     by_label = [[(np.array(r[2], np.int64)[:, None] & place > 0).astype(np.float64) for r in rows if r[1] == y] for y in (0, 1)]
     if not all(by_label):
         return prior_field()
-    sequences = []
+    sequences, lines = [], 0
     for k in range(max(map(len, by_label))):  # good, bad and good again, in turns
         good, bad = (by_label[y][k % len(by_label[y])] for y in (1, 0))
         parts = ((good, 1), (bad, 0)) if k % 2 else ((bad, 0), (good, 1))
         x, y = np.concatenate([x for x, _ in parts]), np.concatenate([np.full(len(x), y) for x, y in parts])
+        x, y = x[: max_lines - lines], y[: max_lines - lines]
+        lines += len(x)
         sequences += [(x[i : i + SEQUENCE_LINES], y[i : i + SEQUENCE_LINES]) for i in range(0, len(x), SEQUENCE_LINES)]
     return train_field(sequences)
 
