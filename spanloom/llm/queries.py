@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, pii, quality_gam, sharding, simhash, token_counts
 
+#: A public vocabulary file outside the repository.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,7 +51,7 @@ def op8_line_crf_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:

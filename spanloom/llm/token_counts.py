@@ -5,8 +5,8 @@ segmentation into vocabulary pieces, by the sum of their unigram scores. Distinc
 hold the forward score and token count of the best segmentation of their prefix: a prefix that many
 pre-tokens share is scored once, and the count at a pre-token's last node is its own.
 
-The vocabulary file gives pieces in order of use but no probabilities, so a piece at rank r scores
--ln(r + 1), Zipf's law. A character in no piece falls back to its UTF-8 bytes, a token each, at ``FALLBACK`` each.
+The vocabulary file gives pieces in order of use but no probabilities, and a tokenizer is never trained here, so a piece
+at rank r scores -ln(r + 1), Zipf's law: the counts are those of this unigram model and of no published tokenizer. A character in no piece falls back to its UTF-8 bytes, a token each, at ``FALLBACK`` each.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ MAX_NODES = 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def load_pieces(path: str = "/opt/tokenizers/piece_bpe_32k.model") -> dict[str, float]:
+def load_pieces(path: str) -> dict[str, float]:
     """Scores of the ordinary pieces of a SentencePiece vocabulary file."""
     import sentencepiece
 
@@ -106,7 +106,7 @@ class _Known(dict):
 _tries: dict[int, Trie] = {}  # a worker's trie goes on from task to task
 
 
-def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model", max_nodes: int = MAX_NODES) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", max_nodes: int = MAX_NODES) -> DataFrame:
     """(doc_id, n_words, n_tokens), one row for each row of ``docs``; null and wordless texts have none of either.
 
     The vocabulary is read on the driver from ``vocabulary`` and sent to the tasks. A worker keeps one trie over its

@@ -354,7 +354,7 @@ def test_line_rules(spark):
 
 
 def test_token_counts(spark):
-    pieces = token_counts.load_pieces()
+    pieces = token_counts.load_pieces(queries.VOCABULARY)
     trie = token_counts.Trie(pieces, max_nodes=50)
 
     def plain(word):
@@ -374,9 +374,9 @@ def test_token_counts(spark):
     words = ["the", "there", "then", "é😀", "internationalisation", "x" * 70, "the"]
     for w in words:
         assert trie.total([w]) == plain(w)
-    got = token_counts.token_counts(frame(spark)).collect()
+    got = token_counts.token_counts(frame(spark), queries.VOCABULARY).collect()
     assert len(got) == len(AWKWARD) and {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {0}
-    assert token_counts.token_counts(empty(spark)).count() == 0
+    assert token_counts.token_counts(empty(spark), queries.VOCABULARY).count() == 0
 
 
 # ------------------------------------------------------------------ 10
