@@ -133,7 +133,7 @@ QUERIES = {
     "overview_points": lambda sp, d: rounded(R.overview_points(with_calls(sp, d))),
     "annotation_counts": lambda sp, d: R.annotation_counts(table(sp, d, "part").select(F.when(F.col("p_size") > 40, F.concat_ws(", ", "p_brand", "p_type")).when(F.col("p_size") > 10, F.concat_ws("-", "p_brand", F.substring("p_type", 1, 6))).alias("prevalent_annot"))),
     "visible_contigs": lambda sp, d: R.visible_contigs(arrays(sp, d).groupBy(F.col("family").alias("seqid")).agg(F.sum("length").alias("length")), 500_000, 25),
-    "bp_text": lambda sp, d: table(sp, d, "orders").select("o_orderkey", display.bp_text(F.floor(F.col("o_totalprice") * F.element_at(F.array(F.lit(0.001), F.lit(1.0), F.lit(100.0)), (F.col("o_orderkey") % 3 + 1).cast("int")))).alias("size"), display.number_text(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") / 8), 2).alias("share")),
+    "bp_text": lambda sp, d: table(sp, d, "orders").select("o_orderkey", display.bp_text(F.floor(F.col("o_totalprice") * F.element_at(F.array(F.lit(0.0), F.lit(0.01), F.lit(1.0)), (F.col("o_orderkey") % 3 + 1).cast("int"))) * 100 + 7).alias("size"), display.number_text(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") / 8), 2).alias("share")),
     "unlist": lambda sp, d: R.unlist(table(sp, d, "part").select("p_partkey", F.when(F.col("p_size") > 5, F.concat_ws(", ", "p_brand", "p_type")).otherwise("").alias("labels")), "labels", "label"),
     "longest_entries": lambda sp, d: R.longest_entries(table(sp, d, "part").select(F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_size") > 3, F.lit("#")).otherwise(""), F.col("p_type")).alias("name"), F.col("p_name").alias("seq"))),
     "family_kinds": lambda sp, d: R.family_kinds(arrays(sp, d).where("repeat_type is not null"), "family", "repeat_type", ["start"]),
@@ -172,7 +172,7 @@ ORACLE_SQL = {
     "overview_points": f"SELECT family, round(quantile_cont(founder, 0.5), 6) AS x, round(sum(length) / 1e6, 6) AS y, count(*) AS n FROM {CALLED} c GROUP BY 1 HAVING count(founder) > 0",
     "annotation_counts": "WITH p AS (SELECT CASE WHEN p_size > 40 THEN p_brand || ', ' || p_type WHEN p_size > 10 THEN p_brand || '-' || substr(p_type, 1, 6) ELSE '' END AS a FROM part), g AS (SELECT a, count(*) AS n FROM p WHERE a <> '' GROUP BY 1) SELECT count(*) FILTER (a = '') AS without, count(*) FILTER (a <> '' AND a NOT LIKE '%, %') AS single, count(*) FILTER (a LIKE '%, %') AS conflicting, count(*) AS total, (SELECT count(*) FROM g WHERE n = 1) AS one_to_one, (SELECT count(*) FROM g WHERE n > 1) AS one_to_many FROM p",
     "visible_contigs": f"SELECT family AS seqid, CAST(sum(length) AS BIGINT) AS length FROM {ARRAYS} a GROUP BY 1 HAVING sum(length) >= 500000 ORDER BY sum(length) DESC, family LIMIT 25",
-    "bp_text": "SELECT o_orderkey, CASE WHEN n >= 1e6 THEN printf('%.2f Mbp', n / 1e6) WHEN n >= 1e3 THEN printf('%.1f kbp', n / 1e3) ELSE printf('%d bp', CAST(n AS BIGINT)) END AS size, CASE WHEN o_orderkey % 5 <> 0 THEN printf('%.2f', o_orderkey / 8) ELSE '' END AS share FROM (SELECT o_orderkey, floor(o_totalprice * CAST([0.001, 1.0, 100.0][o_orderkey % 3 + 1] AS DOUBLE)) AS n FROM orders) t",
+    "bp_text": "SELECT o_orderkey, CASE WHEN n >= 1e6 THEN printf('%.2f Mbp', n / 1e6) WHEN n >= 1e3 THEN printf('%.1f kbp', n / 1e3) ELSE printf('%d bp', CAST(n AS BIGINT)) END AS size, CASE WHEN o_orderkey % 5 <> 0 THEN printf('%.2f', o_orderkey / 8) ELSE '' END AS share FROM (SELECT o_orderkey, floor(o_totalprice * CAST([0.0, 0.01, 1.0][o_orderkey % 3 + 1] AS DOUBLE)) * 100 + 7 AS n FROM orders) t",
     "unlist": "SELECT p_partkey, unnest([p_brand, p_type]) AS label FROM part WHERE p_size > 5",
     "longest_entries": "SELECT p_type AS name, max(length(p_name)) AS size FROM part WHERE p_size > 3 GROUP BY 1",
     "family_kinds": f"SELECT family, arg_max(repeat_type, start) AS kind FROM {ARRAYS} a WHERE repeat_type IS NOT NULL GROUP BY 1",
