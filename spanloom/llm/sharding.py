@@ -7,6 +7,10 @@ descending from the root to the child with the least draw visits regions, racks
 to their weights. A draw depends on the document's id and the shard alone. So when a shard is added or its
 weight changes, only draws of its own rack and region change, and documents move only into the
 subtree that gained weight (or only out of the one that lost).
+
+With draws coupled like this the descent ends where the least draw of all leaves is: the tree equals a flat weighted hash over its
+shards, at a draw a shard. Draws of their own for regions and racks would save those, but a region that gains weight would then
+pull documents into its old shards too.
 """
 
 from __future__ import annotations
