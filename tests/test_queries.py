@@ -31,7 +31,7 @@ def test_every_sql_has_its_query():
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"communities"}))  # tests/test_report.py has planted groups for that
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
