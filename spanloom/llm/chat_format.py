@@ -14,6 +14,7 @@ from spanloom.session import cut
 
 OPEN, OPENED, CLOSE = "<turn:", ">\n", "</turn>\n"
 LIMIT, BLOCK = 1 << 25, 64
+BROADCAST_ROWS = 500_000
 
 
 def escape(text: Column) -> Column:
@@ -49,8 +50,10 @@ def prefix_target_examples(
     turns = conversations.select(F.col(conv).alias("conv_id"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).alias("t"))
     size = F.sum(F.length("t.text") + F.length("t.role") + len(OPEN + OPENED + CLOSE))
     long = cut(turns.groupBy("conv_id").agg((size * F.count_if(F.col("t.role") == target_role)).alias("work")).where(F.col("work") > limit).select(F.col("conv_id").alias("__long")))
-    if long.isEmpty():
+    number = long.count()
+    if not number:
         return _short_examples(turns, target_role)
+    long = F.broadcast(long) if number <= BROADCAST_ROWS else long
     here = turns["conv_id"].eqNullSafe(long["__long"])
     return _short_examples(turns.join(long, here, "left_anti"), target_role).unionByName(_long_examples(turns.join(long, here, "left_semi"), target_role, block))
 
