@@ -45,11 +45,11 @@ def test_strict_attributes(spark):
 
 
 def test_manifest(spark, tmp_path):
-    (tmp_path / "m.tsv").write_text(f"input_dir\tsample_code\ttidecluster_prefix\n{tmp_path}\tA\tp\n{tmp_path}/none\tB\tp\n")
+    (tmp_path / "m.tsv").write_text(f"input_dir\tsample_code\trun_prefix\n{tmp_path}\tA\tp\n{tmp_path}/none\tB\tp\n")
     with pytest.warns(UserWarning, match="none"):
         assert T.read_manifest(spark, str(tmp_path / "m.tsv")).count() == 2
     (tmp_path / "bad.tsv").write_text("input_dir\tsample_code\nx\tA\n")
-    with pytest.raises(ValueError, match="tidecluster_prefix"):
+    with pytest.raises(ValueError, match="_prefix"):
         T.read_manifest(spark, str(tmp_path / "bad.tsv"))
 
 
