@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, pii, quality_gam, sharding, simhash, token_counts
+from spanloom.llm import chat_format, decontaminate, html_extract, line_crf, mixing, pii, quality_gam, sharding, simhash, spelling, token_counts, toxicity, vector_codes
 
 #: A public vocabulary file outside the repository.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -58,9 +58,21 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
+def op11_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_chat_prefix_targets, op2_simhash_golay, op3_hash_tree_shards, op4_decontaminate_qgrams, op5_html_max_run, op6_water_fill_mix, op7_quality_gam, op8_line_crf_rules, op9_trie_token_counts, op10_pii_disclosure)
+    for f in (op1_chat_prefix_targets, op2_simhash_golay, op3_hash_tree_shards, op4_decontaminate_qgrams, op5_html_max_run, op6_water_fill_mix, op7_quality_gam, op8_line_crf_rules, op9_trie_token_counts, op10_pii_disclosure, op11_kneser_ney_toxicity, op12_spelling_dictionaries, op13_vector_codes)
 }
 
 ORACLE_SQL = {
@@ -110,4 +122,41 @@ WITH d AS (
 )
 SELECT c.doc_id, c.size, q.source_size, q.target, q.whole * c.size + greatest(0, least(c.size, q.rest - c.before)) AS taken
 FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source""",
+    "op13_vector_codes": r"""
+WITH kept AS (
+  SELECT vec_id, label, embedding, len(embedding) // 16 AS width FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), flat AS (
+  SELECT vec_id, width, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM kept
+), parts AS MATERIALIZED (
+  SELECT vec_id, i // width AS part, i % width AS pos, CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT) AS x FROM flat
+), book0 AS (
+  SELECT e.part, dense_rank() OVER (ORDER BY e.vec_id) - 1 AS entry, e.pos, e.x FROM parts e WHERE e.vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+), far0 AS MATERIALIZED (
+  SELECT p.vec_id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS apart FROM parts p JOIN book0 b ON p.part = b.part AND p.pos = b.pos GROUP BY ALL
+), near0 AS MATERIALIZED (
+  SELECT vec_id, part, min(apart) AS apart, arg_min(entry, apart * 64 + entry) AS entry FROM far0 GROUP BY ALL
+), mean0 AS (
+  SELECT p.part, n.entry, p.pos, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM parts p JOIN near0 n ON p.vec_id = n.vec_id AND p.part = n.part GROUP BY ALL
+), book1 AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM book0 b LEFT JOIN mean0 m ON b.part = m.part AND b.entry = m.entry AND b.pos = m.pos
+), far1 AS MATERIALIZED (
+  SELECT p.vec_id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS apart FROM parts p JOIN book1 b ON p.part = b.part AND p.pos = b.pos GROUP BY ALL
+), near1 AS MATERIALIZED (
+  SELECT vec_id, part, min(apart) AS apart, arg_min(entry, apart * 64 + entry) AS entry FROM far1 GROUP BY ALL
+), mean1 AS (
+  SELECT p.part, n.entry, p.pos, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM parts p JOIN near1 n ON p.vec_id = n.vec_id AND p.part = n.part GROUP BY ALL
+), book2 AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x FROM book1 b LEFT JOIN mean1 m ON b.part = m.part AND b.entry = m.entry AND b.pos = m.pos
+), far2 AS MATERIALIZED (
+  SELECT p.vec_id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS apart FROM parts p JOIN book2 b ON p.part = b.part AND p.pos = b.pos GROUP BY ALL
+), near2 AS MATERIALIZED (
+  SELECT vec_id, part, min(apart) AS apart, arg_min(entry, apart * 64 + entry) AS entry FROM far2 GROUP BY ALL
+), coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(apart) AS BIGINT) AS error FROM near2 GROUP BY vec_id
+), summed AS (
+  SELECT k.label, CAST(sum(c.error) AS BIGINT) AS label_error FROM coded c JOIN kept k USING (vec_id) GROUP BY k.label
+)
+SELECT c.vec_id, c.code, c.error, s.label_error, (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book2) AS codebooks_sha256
+FROM coded c JOIN kept k USING (vec_id) JOIN summed s ON s.label IS NOT DISTINCT FROM k.label""",
 }
