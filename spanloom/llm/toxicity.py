@@ -8,7 +8,7 @@ boundary. A model predicts each symbol from the three before it. Counts come fro
   has not seen so falls back on what both classes have, and a rare spelling of an expression is judged by the pieces it shares.
 
 A document's log-likelihoods are compared by their difference a symbol: over the whole text, and over its most toxic stretch of
-``WINDOW`` symbols, so that a long text does not hide a passage. Two weights and a constant turn these into a probability; they are
+``WINDOW`` symbols (a few words), so that a long text does not hide an expression. Two weights and a constant turn these into a probability; they are
 fitted on documents of one half of the labels scored by the models of the other half.
 
 An n-gram is one of ``SYMBOLS ** ORDER`` cells (2.56 million), whatever the corpus: this bounds what is sent to the driver and what is
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 SYMBOLS, ORDER = 40, 4
 CELLS = SYMBOLS**ORDER
 DIGIT, OTHERS = 27, 12
-WINDOW = 256
+WINDOW = 32
 THRESHOLD = 0.3
 MAX_CALIBRATION = 20_000
 BROADCAST_ROWS = 500_000
