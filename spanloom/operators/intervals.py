@@ -1,7 +1,8 @@
 """Interval algebra on closed integer intervals [start, end], as DataFrame operators.
 
 Inputs have a start and an end column of type long and any key columns. Range joins get an equality key from coordinate bins,
-so they run as hash or sort-merge joins with a residual and never as nested loops; ``width`` is the bin's size.
+so they run as hash or sort-merge joins with a residual and never as nested loops; ``width`` is the bin's size. By default it is
+taken from the rows (``fit_width``, one aggregate over keys, starts and ends): no bins where keys are small, else as many rows a bin.
 """
 
 from __future__ import annotations
@@ -11,7 +12,26 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.session import cut
+
 WIDTH = 1 << 16
+AUTO = 0  # a width taken from the rows
+BIN_ROWS, JOIN_ROWS = 1 << 16, 256  # rows that a bin holds on average: of those that are sorted, and of those that meet in a join
+
+
+def fit_width(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", rows: int = BIN_ROWS) -> int | None:
+    """The size of bins that hold about ``rows`` rows where keys have more than that, and are no narrower than intervals are on average; None where no key has.
+
+    It runs a job: a row a key is aggregated, and one comes to the driver.
+    """
+    each = df.groupBy(*keys).agg(F.count(s).alias("n"), F.min(s).alias("low"), F.max(s).alias("high"), F.sum((F.col(e) - F.col(s) + 1).cast("double")).alias("long")).where(F.col("n") > rows)
+    found = each.agg(F.sum("n").alias("n"), F.sum((F.col("high") - F.col("low") + 1).cast("double")).alias("extent"), F.sum("long").alias("long")).first()
+    return max(1, int(found["extent"] / found["n"] * rows), int(found["long"] / found["n"])) if found["n"] else None
+
+
+def _join_width(width: int, df: DataFrame, keys: Sequence[str], s: str, e: str) -> int:
+    """A given width, or one that suits a join; a key with few rows is one bin."""
+    return width or fit_width(df, keys, s, e, JOIN_ROWS) or 1 << 40
 
 
 def _islands(df: DataFrame, keys: Sequence[str], s: str, e: str, touch: int) -> DataFrame:
@@ -28,13 +48,15 @@ def _carried(bins: DataFrame, keys: Sequence[str], value: str, into: str, how: C
     return bins.select(*keys, "__bin", how(value).over(before).alias(into))
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", touch: int = 1, width: int | None = WIDTH) -> DataFrame:
+def merge_intervals(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", touch: int = 1, width: int | None = AUTO) -> DataFrame:
     """(keys, s, e, n): maximal runs of intervals that overlap or lie within ``touch`` of each other, and how many made each.
 
     Intervals are merged within coordinate bins of ``width`` first; an island belongs to the bin of its start. Islands that the greatest end
     of earlier bins reaches continue a run and are added up by bin, and only the last island that starts a run in its bin can be
-    continued. So a key's final pass orders at most two rows a bin. Other columns are dropped; rows with a null end are left out.
+    continued. So a key's final pass orders at most two rows a bin. Without a width a key's rows are ordered as they are. Other columns
+    are dropped; rows with a null end are left out.
     """
+    width = fit_width(df, keys, s, e) if width == AUTO else width
     rows = df.select(*keys, s, e).where(F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn("__n", F.lit(1).cast("long"))
     if not width:
         return _islands(rows, keys, s, e, touch).withColumnRenamed("__n", "n")
@@ -51,9 +73,9 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "
     return done.unionByName(runs).withColumnRenamed("__n", "n")
 
 
-def union_length(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", inclusive: bool = True) -> DataFrame:
+def union_length(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", inclusive: bool = True, width: int | None = AUTO) -> DataFrame:
     """(keys, length): positions covered by the union; ``inclusive=False`` counts end - start of each merged run."""
-    return merge_intervals(df, keys, s, e).groupBy(*keys).agg(F.sum(F.col(e) - F.col(s) + (1 if inclusive else 0)).alias("length"))
+    return merge_intervals(df, keys, s, e, width=width).groupBy(*keys).agg(F.sum(F.col(e) - F.col(s) + (1 if inclusive else 0)).alias("length"))
 
 
 def total_span(df: DataFrame, name: str, s: str = "s", e: str = "e") -> DataFrame:
@@ -82,19 +104,21 @@ def _with_next(points: DataFrame, keys: Sequence[str], at: str, into: str, width
     return binned.withColumn(into, inside).join(after, by).withColumn(into, F.coalesce(into, "__after")).drop("__after")
 
 
-def segments(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def segments(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """(keys, a, b): the half-open pieces between neighbouring breakpoints (starts, and ends + 1) of each key."""
+    width = width or fit_width(df, keys, s, e) or 1 << 40
     points = df.select(*keys, F.explode(F.array(F.col(s), F.col(e) + 1)).alias("a")).distinct()
     return _with_next(points, keys, "a", "b", width).where(F.col("b").isNotNull()).drop("__bin")
 
 
-def covering(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def covering(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """Each piece of ``segments`` with every interval that covers it."""
+    width = _join_width(width, df, keys, s, e)
     pieces = segments(df, keys, s, e, width).withColumn("__bin", F.floor(F.col("a") / width))
     return _in_bins(df, F.col(s), F.col(e), width).join(pieces, [*keys, "__bin"]).where((F.col(s) <= F.col("a")) & (F.col(e) + 1 >= F.col("b"))).drop("__bin")
 
 
-def split_segments(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = WIDTH, strand: str | None = None) -> DataFrame:
+def split_segments(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = AUTO, strand: str | None = None) -> DataFrame:
     """(keys, s, e, names): disjoint pieces and the sorted, '|'-joined set of the names over each.
 
     With ``strand`` a piece also has that column: the strand that all intervals over it share, else '.'.
@@ -110,11 +134,12 @@ def drop_ambiguous(pieces: DataFrame, names: str = "names") -> DataFrame:
     return pieces.where(~F.contains(names, F.lit("|")))
 
 
-def contained(df: DataFrame, outer: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def contained(df: DataFrame, outer: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """Rows of ``df`` that lie within some interval of ``outer`` with equal keys.
 
     The greatest outer end among earlier starts decides it, within coordinate bins and carried from bin to bin: no pairs are formed.
     """
+    width = width or fit_width(df, keys, s, e) or 1 << 40
     by = [*keys, "__bin"]
     data = df.withColumn("__outer", F.lit(1))
     other = outer.select(*keys, s, e).withColumn("__outer", F.lit(0))
@@ -126,8 +151,9 @@ def contained(df: DataFrame, outer: DataFrame, keys: Sequence[str], s: str = "s"
     return held.where(F.greatest("__reach", "__before") >= F.col(e)).select(*df.columns)
 
 
-def best_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str, s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def best_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str, s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """(left_id, right_id, overlap): for each left row the right row it shares most positions with; ties go to the smaller right id."""
+    width = _join_width(width, right, keys, s, e)
     a = _in_bins(left.select(*keys, left_id, F.col(s).alias("ls"), F.col(e).alias("le")), F.col("ls"), F.col("le"), width)
     b = _in_bins(right.select(*keys, right_id, F.col(s).alias("rs"), F.col(e).alias("re")), F.col("rs"), F.col("re"), width)
     met = a.join(b, [*keys, "__bin"]).where((F.col("ls") <= F.col("re")) & (F.col("rs") <= F.col("le")) & (F.col("__bin") == F.floor(F.greatest("ls", "rs") / width)))
@@ -136,15 +162,17 @@ def best_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id
     return best.select(left_id, F.col("best.r").alias(right_id), (-F.col("best.w")).alias("overlap"))
 
 
-def resolve_overlaps(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def resolve_overlaps(df: DataFrame, keys: Sequence[str], name: str = "name", s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """(keys, name, s, e): contested positions go to the name of the greatest total length, then the greatest name.
 
     Total length is the sum of end - start over all rows of a name. Neighbouring pieces of one name are joined again.
     """
+    final = width or fit_width(df, [*keys, name], s, e)
+    width = _join_width(width, df, keys, s, e)
     totals = df.groupBy(name).agg(F.sum(F.col(e) - F.col(s)).alias("__total"))
     owned = covering(df.join(totals, name), keys, s, e, width).groupBy(*keys, "a", "b").agg(F.max(F.struct("__total", name)).alias("w"))
     pieces = owned.select(*keys, F.col(f"w.{name}").alias(name), F.col("a").alias(s), (F.col("b") - 1).alias(e))
-    return merge_intervals(pieces, [*keys, name], s, e).drop("n")
+    return merge_intervals(pieces, [*keys, name], s, e, width=final).drop("n")
 
 
 def absorbed_names(df: DataFrame, resolved: DataFrame, name: str = "name") -> DataFrame:
@@ -164,11 +192,12 @@ def gaps(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e") -> Data
     return merge_intervals(df, keys, s, e).withColumn("gap", after).groupBy(*keys).agg(F.count("gap").alias("n_gaps"), F.coalesce(F.max("gap"), F.lit(0)).alias("max_gap"), F.coalesce(F.sum("gap"), F.lit(0)).alias("gap_total"))
 
 
-def depth(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = WIDTH) -> DataFrame:
+def depth(df: DataFrame, keys: Sequence[str], s: str = "s", e: str = "e", width: int = AUTO) -> DataFrame:
     """(keys, s, e, depth): pieces of constant, positive coverage depth, from counted entries and exits.
 
     The running sum is taken within coordinate bins, on top of the sum of the bins before.
     """
+    width = width or fit_width(df, keys, s, e) or 1 << 40
     steps = df.select(*keys, F.explode(F.array(F.struct(F.col(s).alias("p"), F.lit(1).alias("d")), F.struct((F.col(e) + 1).alias("p"), F.lit(-1).alias("d")))).alias("x"))
     summed = steps.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d"))
     by = [*keys, "__bin"]
@@ -240,9 +269,12 @@ def mask_sequences(seqs: DataFrame, regions: DataFrame, seq_id: str = "seq_id",
 def reannotate(hits: DataFrame, lengths: DataFrame, seq: str = "seqid", name: str = "name", fraction: float = 0.05) -> DataFrame:
     """Library hits to clean, unambiguous spans: merge, extend, merge, drop the short, keep what extended spans contain, split, drop the ambiguous.
 
-    ``lengths`` has (name, size), the longest library entry of each name.
+    ``lengths`` has (name, size), the longest library entry of each name. What is read several times, the merged and the
+    contained spans, is checkpointed; the width of bins is taken from the hits once.
     """
-    merged = merge_intervals(hits, [seq, name]).drop("n")
-    widened = merge_intervals(extend(merged, lengths, name, "size", fraction), [seq, name]).drop("n")
+    width = fit_width(hits, [seq, name])
+    merged = cut(merge_intervals(hits, [seq, name], width=width).drop("n"))
+    widened = merge_intervals(extend(merged, lengths, name, "size", fraction), [seq, name], width=width).drop("n")
     long_enough = widened.join(lengths, name).where(F.col("e") - F.col("s") >= F.col("size")).drop("size")
-    return drop_ambiguous(split_segments(contained(merged, long_enough, [seq, name]), [seq], name))
+    held = cut(contained(merged, long_enough, [seq, name], width=width or 1 << 40))
+    return drop_ambiguous(split_segments(held, [seq], name))

@@ -38,15 +38,18 @@ def must_match(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 
 def annotation_coverage(hits: DataFrame, members: DataFrame, group: str, member: str, length: str, label: str, s: str = "s", e: str = "e") -> DataFrame:
-    """(group, label, coverage): covered share of each member, summed by label, over the count of all members, hit or not."""
-    covered = union_length(hits, [member, label], s, e).join(members, member).withColumn("share", F.col("length") / F.col(length))
+    """(group, label, coverage): covered share of each member, summed by label, over the count of all members, hit or not.
+
+    Shares are summed as decimals, to 15 places, so the order of the rows doesn't show; coverages are given to 12 places.
+    """
+    covered = union_length(hits, [member, label], s, e).join(members, member).withColumn("share", (F.col("length") / F.col(length)).cast("decimal(30,15)"))
     totals = members.groupBy(group).agg(F.count("*").alias("members"))
-    return covered.groupBy(group, label).agg(F.sum("share").alias("sum")).join(totals, group).select(group, label, (F.col("sum") / F.col("members")).alias("coverage"))
+    return covered.groupBy(group, label).agg(F.sum("share").alias("sum")).join(totals, group).select(group, label, F.round(F.col("sum").cast("double") / F.col("members"), 12).alias("coverage"))
 
 
 def describe_annotations(coverage: DataFrame, groups: DataFrame, group: str, label: str) -> DataFrame:
     """(group, annotation): 'label (12.3%25)' by coverage, largest first, ties by label; 'NA' without any."""
-    rounded = half_even(half_even(F.col("coverage"), 3) * 100, 1)
+    rounded = half_even(half_even(F.round("coverage", 12), 3) * 100, 1)
     listed = coverage.groupBy(group).agg(F.array_sort(F.collect_list(F.struct((-F.col("coverage")).alias("o"), F.col(label).alias("l"), rounded.alias("p")))).alias("x"))
     text = F.array_join(F.transform("x", lambda x: F.concat(x["l"], F.lit(" ("), x["p"].cast("string"), F.lit("%25)"))), ", ")
     return groups.join(listed, group, "left").select(group, F.coalesce(text, F.lit("NA")).alias("annotation"))
@@ -64,7 +67,7 @@ def call_type(best: DataFrame, members: DataFrame, group: str, subject: str, kin
     """(group, kind, coverage): the type of greatest coverage over a group's members, where it reaches ``threshold``."""
     top = best.join(members, subject).groupBy(group, kind).agg(F.max("coverage").alias("coverage"))
     call = top.groupBy(group).agg(F.min(F.struct((-F.col("coverage")).alias("o"), kind)).alias("b"))
-    return call.where(-F.col("b.o") >= threshold).select(group, F.col(f"b.{kind}").alias(kind), half_even(-F.col("b.o"), 3).alias("coverage"))
+    return call.where(-F.col("b.o") >= threshold).select(group, F.col(f"b.{kind}").alias(kind), half_even(F.round(-F.col("b.o"), 12), 3).alias("coverage"))
 
 
 def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:

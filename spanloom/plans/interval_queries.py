@@ -24,6 +24,8 @@ def _spans(spark, d):
 QUERIES = {
     "iv_merge": lambda sp, d: I.merge_intervals(iv_events(sp, d), K),
     "iv_merge_dense": lambda sp, d: I.merge_intervals(iv_lineitem(sp, d), K),
+    "iv_merge_binned": lambda sp, d: I.merge_intervals(iv_events(sp, d), ["name"], width=I.fit_width(iv_events(sp, d), ["name"], rows=64)),
+    "iv_depth_binned": lambda sp, d: I.depth(iv_events(sp, d), ["name"], width=I.fit_width(iv_events(sp, d), ["name"], rows=64)),
     "iv_union_length": lambda sp, d: I.union_length(iv_lineitem(sp, d), K),
     "family_rank": lambda sp, d: I.rank_families(iv_events(sp, d), "name", ["seqid"]),
     "iv_split_segments": lambda sp, d: I.split_segments(iv_events(sp, d), ["seqid"]),
@@ -109,6 +111,8 @@ ORACLE_SQL = {
     "iv_resolve_overlaps": f"WITH ev AS {EV}, owned AS (SELECT seqid, a, b, name FROM (SELECT c.seqid, c.a, c.b, c.name, row_number() OVER (PARTITION BY c.seqid, c.a ORDER BY t.total DESC, c.name DESC) AS k FROM {cover_sql('ev')} c JOIN (SELECT name, sum(e - s) AS total FROM ev GROUP BY 1) t ON c.name = t.name) q WHERE k = 1), p AS (SELECT seqid, name, a AS s, b - 1 AS e FROM owned) SELECT seqid, name, s, e FROM {merge_sql('p', 'seqid, name')} t",
     "iv_extend": f"SELECT v.name, event_id, seqid, greatest(1, s - CAST(trunc(least(CAST(size AS DOUBLE), (e - s) * 2 * 0.05)) AS BIGINT)) AS s, e + CAST(trunc(least(CAST(size AS DOUBLE), (e - s) * 2 * 0.05)) AS BIGINT) AS e FROM {EV} v JOIN {SIZES} z ON v.name = z.name",
     "iv_gaps": f"SELECT seqid, count(gap) AS n_gaps, coalesce(max(gap), 0) AS max_gap, CAST(coalesce(sum(gap), 0) AS BIGINT) AS gap_total FROM (SELECT seqid, lead(s) OVER (PARTITION BY seqid ORDER BY s) - e - 1 AS gap FROM {merge_sql(LI, 'seqid')} t) g GROUP BY seqid",
+    "iv_merge_binned": f"SELECT * FROM {merge_sql(EV, 'name')} t",
+    "iv_depth_binned": f"SELECT name, p AS s, nxt - 1 AS e, depth FROM (SELECT name, p, CAST(sum(d) OVER (PARTITION BY name ORDER BY p ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth, lead(p) OVER (PARTITION BY name ORDER BY p) AS nxt FROM (SELECT name, p, sum(d) AS d FROM (SELECT name, s AS p, 1 AS d FROM {EV} a UNION ALL SELECT name, e + 1, -1 FROM {EV} b) u GROUP BY 1, 2) v) w WHERE depth > 0",
     "iv_depth": f"SELECT seqid, p AS s, nxt - 1 AS e, depth FROM (SELECT seqid, p, CAST(sum(d) OVER (PARTITION BY seqid ORDER BY p ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth, lead(p) OVER (PARTITION BY seqid ORDER BY p) AS nxt FROM (SELECT seqid, p, sum(d) AS d FROM (SELECT seqid, s AS p, 1 AS d FROM {LI} a UNION ALL SELECT seqid, e + 1, -1 FROM {LI} b) u GROUP BY 1, 2) v) w WHERE depth > 0",
     "iv_dedup": f"SELECT seqid, s, e, ord, name FROM (SELECT *, l_orderkey * 10 + l_linenumber AS ord, row_number() OVER (PARTITION BY seqid, s, e ORDER BY l_orderkey * 10 + l_linenumber DESC) AS k FROM {LI} t) q WHERE k = 1",
     "iv_long": f"SELECT * FROM {EV} t WHERE e - s > 1000",

@@ -68,7 +68,7 @@ def _merge(source: str, keys: str) -> str:
     return merge_sql(source, keys)
 
 
-COVERAGE = f"(SELECT s_nationkey, name, sum(share) / any_value(members) AS coverage FROM (SELECT m.seqid, m.name, sum(m.e - m.s + 1) / 3000 AS share FROM {_merge(LI, 'seqid, name')} m GROUP BY 1, 2) u JOIN supplier ON s_suppkey = seqid JOIN (SELECT s_nationkey AS nk, count(*) AS members FROM supplier GROUP BY 1) n ON nk = s_nationkey GROUP BY s_nationkey, name)"
+COVERAGE = f"(SELECT s_nationkey, name, round(CAST(sum(share) AS DOUBLE) / any_value(members), 12) AS coverage FROM (SELECT m.seqid, m.name, CAST(sum(m.e - m.s + 1) / 3000 AS DECIMAL(30,15)) AS share FROM {_merge(LI, 'seqid, name')} m GROUP BY 1, 2) u JOIN supplier ON s_suppkey = seqid JOIN (SELECT s_nationkey AS nk, count(*) AS members FROM supplier GROUP BY 1) n ON nk = s_nationkey GROUP BY s_nationkey, name)"
 
 
 def orders_samples(sp, d):
@@ -255,7 +255,14 @@ ORACLE_SQL = {
     "masked_share": f"SELECT d.doc_id, round(coalesce(share, 0.0), 6) AS share FROM documents d LEFT JOIN (SELECT doc_id, avg(CASE WHEN score > 1 THEN 1 ELSE 0 END) AS share FROM (SELECT doc_id, window_no, sum(c * (c - 1) / 2) / greatest(sum(c) - 1, 1) AS score FROM (SELECT doc_id, pos // 64 AS window_no, kmer, count(*) AS c FROM {KMER(3, 'doc_id,')} t GROUP BY 1, 2, 3) u GROUP BY 1, 2) v GROUP BY 1) w ON w.doc_id = d.doc_id",
     "pfm_consensus": f"WITH t AS (SELECT doc_id, pos % 12 AS pos, count(*) + 2 AS n, (sum(CASE WHEN kmer = 'A' THEN 1 ELSE 0 END) + 0.5) AS a, (sum(CASE WHEN kmer = 'C' THEN 1 ELSE 0 END) + 0.5) AS c, (sum(CASE WHEN kmer = 'G' THEN 1 ELSE 0 END) + 0.5) AS g, (sum(CASE WHEN kmer = 'T' THEN 1 ELSE 0 END) + 0.5) AS t FROM {KMER(1, 'doc_id,')} k GROUP BY 1, 2), p AS (SELECT doc_id, pos, CAST(a AS DOUBLE) / n AS a, CAST(c AS DOUBLE) / n AS c, CAST(g AS DOUBLE) / n AS g, CAST(t AS DOUBLE) / n AS t FROM t) SELECT doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN a = greatest(a, c, g, t) THEN 'A' WHEN c = greatest(a, c, g, t) THEN 'C' WHEN g = greatest(a, c, g, t) THEN 'G' ELSE 'T' END AS base, round(greatest(a, c, g, t), 6) AS share, round(-(a * log2(a) + c * log2(c) + g * log2(g) + t * log2(t)), 6) AS entropy FROM p",
     "anchor_kmer": f"WITH x AS (SELECT doc_id, kmer, pos % 12 AS phase, count(*) AS c FROM {KMER(5, 'doc_id,')} t GROUP BY 1, 2, 3), e AS (SELECT doc_id, kmer, sum(c) AS n, max(c) AS top FROM x GROUP BY 1, 2 HAVING sum(c) >= 3) SELECT doc_id, kmer, round(top / n, 6) AS phase_share, CAST(n AS BIGINT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY top / n DESC, n DESC, kmer) AS k FROM e) z WHERE k = 1",
-    "ann_describe": f"SELECT n_nationkey AS s_nationkey, coalesce(string_agg(name || ' (' || CAST(round_even(round_even(coverage, 3) * 100, 1) AS VARCHAR) || '%25)', ', ' ORDER BY coverage DESC, name), 'NA') AS annotation FROM nation LEFT JOIN {COVERAGE} c ON s_nationkey = n_nationkey GROUP BY 1",
+    "ann_describe": f"""
+WITH c AS (  -- half-even to three places in whole numbers of 1e-12
+  SELECT s_nationkey, name, coverage, CAST(round(coverage * 1e12) AS HUGEINT) AS whole FROM {COVERAGE} c
+), r AS (
+  SELECT *, whole // 1000000000 AS q, whole % 1000000000 AS rest FROM c
+)
+SELECT n_nationkey AS s_nationkey, coalesce(string_agg(name || ' (' || CAST(CAST(q + CASE WHEN rest > 500000000 OR (rest = 500000000 AND q % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10 AS VARCHAR) || '%25)', ', ' ORDER BY coverage DESC, name), 'NA') AS annotation
+FROM nation LEFT JOIN r ON s_nationkey = n_nationkey GROUP BY 1""",
     "call_type": f"SELECT grp, kind, round_even(coverage, 3) AS coverage FROM (SELECT s_nationkey AS grp, kind, max(round(coverage, 6)) AS coverage, row_number() OVER (PARTITION BY s_nationkey ORDER BY max(round(coverage, 6)) DESC, kind) AS k FROM {BEST_REF} b JOIN supplier ON s_suppkey = subject GROUP BY 1, 2) t WHERE k = 1 AND coverage >= CAST(0.4 AS DOUBLE)",
     "orient_vote": f"""WITH d AS (SELECT doc_id, doc_id % 50 AS grp, seq FROM {DNA} q), x AS (SELECT grp, doc_id, 1 AS dir, seq AS s FROM d UNION ALL SELECT grp, doc_id, 0, {REV.format('seq')} FROM d),
  c AS (SELECT grp, doc_id, dir, kmer, count(*) AS c, min(i) AS f FROM (SELECT grp, doc_id, dir, substr(s, i, 8) AS kmer, i FROM (SELECT *, unnest(range(1, length(s) - 6)) AS i FROM x) t) k GROUP BY 1, 2, 3, 4),

@@ -41,6 +41,17 @@ def test_merge_covers_the_same_positions_and_is_idempotent(spark, seed, n, m, wi
     assert sorted((r.seqid, r.s, r.e, r.name) for r in I.merge_intervals(frame(spark, got), ["seqid", "name"], width=width).collect()) == sorted(got)
 
 
+def test_width_from_the_rows(spark, monkeypatch):
+    data = [("a", 10 * i, 10 * i + 4, "x") for i in range(100)] + [("b", 5, 900, "x")]
+    df = frame(spark, data)
+    assert I.fit_width(df, ["seqid"]) is None and I.fit_width(df.where("false"), ["seqid"]) is None
+    assert I.fit_width(df, ["seqid"], rows=10) == 99 and I.fit_width(df.where("seqid = 'b'"), ["seqid"], rows=0) == 896
+    monkeypatch.setattr(I.fit_width, "__defaults__", ("s", "e", 8))
+    assert I.fit_width(df, ["seqid"]) == 79
+    got = sorted((r.seqid, r.s, r.e, r.n) for r in I.merge_intervals(df, ["seqid"], touch=6).collect())
+    assert got == [("a", 0, 994, 100), ("b", 5, 900, 1)]
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_containment_against_all_pairs(spark, seed):
     data, outer = rows(seed, 40, 60), rows(seed + 50, 15, 60)

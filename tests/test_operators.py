@@ -80,3 +80,15 @@ def test_streaming_merge_matches_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, window_counts(events, ["event_type"], "ts", "1 hour").collect()))
+
+
+def test_annotation_shares_whatever_the_order(spark):
+    members = spark.createDataFrame([(1, m, 2000) for m in range(7)], "grp int, member int, len int")
+    hits = [(m, "A", s, s + 90) for m in range(7) for s in range(1, 2000, 177 + m)] + [(m, "B", 1, 1091) for m in range(7)]
+    seen = set()
+    for parts in (1, 2, 5, 11):
+        df = spark.createDataFrame(hits, "member int, label string, s long, e long").repartition(parts, "s")
+        coverage = R.annotation_coverage(df, members, "grp", "member", "len", "label")
+        text = R.describe_annotations(coverage, members.select("grp").distinct(), "grp", "label")
+        seen.add((tuple(sorted(map(tuple, coverage.collect()))), text.first().annotation))
+    assert len(seen) == 1 and "B (54.6%25)" in seen.pop()[1]
