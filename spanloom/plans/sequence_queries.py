@@ -1,9 +1,14 @@
-"""Searches in sequences over the test tables: texts are read as letters A, C, G, T (``dna_docs``). Alignment has no SQL; tests hold these against plain Python."""
+"""Searches in sequences over the test tables: texts are read as letters A, C, G, T (``dna_docs``).
+
+Alignment and array search have no SQL; tests hold them against plain Python and planted arrays. Periodograms and their peaks have.
+"""
 
 from __future__ import annotations
 
 from spanloom.operators import similarity as Y
+from spanloom.operators import tandem as T
 from spanloom.plans.adapters import dna_docs
+from spanloom.plans.rollup_queries import DNA, KMER
 
 #: Long texts: sparse keys, and pairs that share a quarter of them.
 TEXTS = Y.Search(k=21, window=40, share=0.25, band=32, min_identity=80.0)
@@ -12,6 +17,29 @@ QUERIES = {
     "sequence_hits": lambda sp, d: Y.similarity_hits(dna_docs(sp, d), "doc_id", "seq", TEXTS),
     "sequence_clusters": lambda sp, d: Y.similarity_clusters(dna_docs(sp, d), "doc_id", "seq", TEXTS),
     "sequence_greedy": lambda sp, d: Y.similarity_greedy(dna_docs(sp, d), "doc_id", "seq", TEXTS),
+    "tandem_arrays": lambda sp, d: T.tandem_rounds(dna_docs(sp, d), "doc_id", "seq"),
+    "periodogram": lambda sp, d: T.periodogram(dna_docs(sp, d), "doc_id", "seq", 6, 200),
+    "spectrum_peaks": lambda sp, d: T.spectrum_peaks(T.periodogram(dna_docs(sp, d), "doc_id", "seq", 6, 200), "doc_id", least=0.002),
+    "array_founders": lambda sp, d: T.array_founders(dna_docs(sp, d), "doc_id", "seq"),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+SPECTRUM = f"""(
+  SELECT doc_id, gap, n, round((n - (starts - gap) * q * pow(1 - q, gap - 1)) / (starts - gap), 9) AS score
+  FROM (SELECT doc_id, gap, count(*) AS n FROM (SELECT doc_id, pos - lag(pos) OVER (PARTITION BY doc_id, kmer ORDER BY pos) AS gap FROM {KMER(6, 'doc_id,')} t) g WHERE gap <= 200 GROUP BY 1, 2) h
+  JOIN (SELECT doc_id, length(seq) - 5 AS starts, pow(CAST(list_sum(list_transform(['A', 'C', 'G', 'T'], lambda b: pow(length(seq) - length(replace(seq, b, '')), 2))) AS DOUBLE) / (length(seq) * length(seq)), 6) AS q FROM {DNA} d WHERE length(seq) >= 6) c USING (doc_id))"""
+
+ORACLE_SQL = {
+    "periodogram": f"SELECT * FROM {SPECTRUM} s",
+    "spectrum_peaks": f"""
+WITH m AS (
+  SELECT * FROM (
+    SELECT doc_id, gap, score, max(score) OVER (PARTITION BY doc_id ORDER BY gap RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS near,
+      max(score) OVER (PARTITION BY doc_id ORDER BY gap RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING) AS before
+    FROM {SPECTRUM} s WHERE score > 0) x
+  WHERE score >= near AND score > coalesce(before, -1) AND score >= CAST(0.002 AS DOUBLE)
+)
+SELECT * FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, gap) AS rank, CAST(gap AS INTEGER) AS period, score
+  FROM m WHERE NOT EXISTS (SELECT 1 FROM m f, range(2, 6) k(times) WHERE f.doc_id = m.doc_id AND f.score >= m.score AND abs(m.gap - f.gap * times) <= 2)) r
+WHERE rank <= 20""",
+}
