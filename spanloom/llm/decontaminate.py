@@ -1,7 +1,7 @@
 """Benchmark decontamination by q-gram lemma filtering in diagonal bands, verified by banded alignment.
 
 Texts are lower-cased and reduced to their words, one space apart. Each benchmark item is cut into passages of
-``passage`` characters, half overlapping (a shorter item is one passage). A passage of m characters that lies in
+``passage`` characters, one every ``step`` (a shorter item is one passage). A passage of m characters that lies in
 a document with k edits or fewer keeps at least m - q + 1 - k q of its q-grams there, on diagonals at most k
 apart. So shared q-grams are counted in bands of diagonals that overlap by half, wide enough that one of them holds
 all diagonals of a match; bands that reach the bound are aligned within their diagonals and kept if the distance is
@@ -18,7 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from spanloom.llm.columns import set_apart
 from spanloom.session import cut
 
 Q = 12
@@ -54,7 +57,7 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 class Passages:
     """A block of benchmark passages with their q-gram index; bounded by the characters that went in."""
 
-    items: np.ndarray
+    items: list
     starts: np.ndarray
     codes: list[np.ndarray]
     budget: np.ndarray
@@ -65,17 +68,22 @@ class Passages:
     at: np.ndarray  # passage of each occurrence
     offset: np.ndarray  # its position in the passage
     seen: np.ndarray  # hash prefixes that occur
+    short: dict[int, dict[str, list]]  # by number of words, the items of each text under a q-gram's length
 
 
-def index_passages(items: list[tuple[int, str | None]], q: int = Q, passage: int = PASSAGE, edit_rate: float = EDIT_RATE) -> Passages:
-    """Items shorter than one q-gram can't be told from chance and have no passage."""
+def index_passages(items: list[tuple[object, str | None]], q: int = Q, passage: int = PASSAGE, edit_rate: float = EDIT_RATE, step: int | None = None) -> Passages:
+    """Passages start every ``step`` characters, by default every half passage. Items without words have none."""
     ids, starts, codes = [], [], []
+    short: dict[int, dict[str, list]] = {}
     for item, text in items:
-        whole = _codes(normalise(text))
+        plain = normalise(text)
+        whole = _codes(plain)
         if len(whole) < q:
+            if plain:
+                short.setdefault(plain.count(" ") + 1, {}).setdefault(plain, []).append(item)
             continue
         last = max(0, len(whole) - passage)
-        for start in sorted({*range(0, last, passage // 2), last}):
+        for start in sorted({*range(0, last, step or passage // 2), last}):
             ids.append(item)
             starts.append(start)
             codes.append(whole[start : start + passage])
@@ -89,7 +97,7 @@ def index_passages(items: list[tuple[int, str | None]], q: int = Q, passage: int
     grams, first = np.unique(joined[order], return_index=True)
     seen = np.zeros(1 << 22, bool)
     seen[(grams >> np.uint64(42)).astype(np.int64)] = True
-    return Passages(np.array(ids, np.int64), np.array(starts, np.int64), codes, budget, sizes - q + 1 - budget * q, q, grams, np.r_[first, len(joined)], at, offset, seen)
+    return Passages(ids, np.array(starts, np.int64), codes, budget, sizes - q + 1 - budget * q, q, grams, np.r_[first, len(joined)], at, offset, seen, short)
 
 
 def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int] | None:
@@ -118,6 +126,8 @@ def find_passages(texts: list[str | None], index: Passages) -> Iterator[tuple[in
 
     start and end count characters of the normalised text.
     """
+    if index.short:
+        yield from _find_short(texts, index.short)
     if not len(index.grams):
         return
     at, size = 0, 0
@@ -130,6 +140,21 @@ def find_passages(texts: list[str | None], index: Passages) -> Iterator[tuple[in
             at, size, group = k + 1, 0, []
 
 
+def _find_short(texts: list[str | None], short: dict[int, dict[str, list]]) -> Iterator[tuple]:
+    """The first place of each short item among the whole words of each text."""
+    for row, text in enumerate(texts):
+        words = normalise(text).split(" ")
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)])
+        done = set()
+        for n, known in short.items():
+            for i in range(len(words) - n + 1):
+                found = " ".join(words[i : i + n])
+                for item in known.get(found, ()):
+                    if item not in done:
+                        done.add(item)
+                        yield row, item, 0, int(begins[i]), int(begins[i]) + len(found), 0
+
+
 def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[int, int, int, int, int, int]]:
     gap = np.zeros(1, np.uint32)
     joined = np.concatenate([x for d in docs for x in (d, gap)])
@@ -162,9 +187,9 @@ def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[
     found = np.unique(np.concatenate(keys), axis=0)
     change = np.flatnonzero(np.r_[True, (found[1:, :3] != found[:-1, :3]).any(axis=1)])
     shared = np.diff(np.r_[change, len(found)])
-    done: set[tuple[int, int]] = set()
+    done: set[tuple] = set()
     for (d, passage, b), n in zip(found[change, :3].tolist(), shared.tolist(), strict=True):
-        item = int(index.items[passage])
+        item = index.items[passage]
         if n < index.bound[passage] or (d, item) in done:
             continue
         k = int(index.budget[passage])
@@ -178,7 +203,7 @@ def _find(base: int, docs: list[np.ndarray], index: Passages) -> Iterator[tuple[
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, **how) -> Iterator[tuple[Passages, bool]]:
     """The benchmark, read as a stream, in blocks of bounded size, and whether a block is the only one."""
-    block: list[tuple[int, str | None]] = []
+    block: list[tuple[object, str | None]] = []
     size, number = 0, 0
     for row in benchmark.select(item_col, text_col).toLocalIterator():
         if size >= block_chars:
@@ -196,8 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     and by the tasks: the documents are read once a block, and its finds are checkpointed before the next block is sent. Null and empty
     texts match nothing, nor do null items; repeated documents repeat their rows. Only the named columns are read.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, {item_col} long, passage_start int, start int, end int, edits int"
+    schema = StructType([*docs.select(id_col).schema, StructField(item_col, benchmark.schema[item_col].dataType), *(StructField(c, IntegerType()) for c in ("passage_start", "start", "end", "edits"))])
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     source = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
     found = None
     for index, only in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
@@ -206,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = list(find_passages(batch.column(1).to_pylist(), sent.value))
-                columns = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64())]
+                columns = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], item_type)]
                 columns += [pa.array([r[i] for r in rows], pa.int32()) for i in (2, 3, 4, 5)]
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "passage_start", "start", "end", "edits"])
 
@@ -224,6 +249,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     Against one block rows are dropped as they are read. Against several, the hashes of texts with a find are gathered block by block,
     and their rows dropped by those.
     """
+    rows, back = set_apart(docs, text_col)
     key = F.struct(F.xxhash64(text_col).alias("x"), F.crc32(F.col(text_col).cast("binary")).alias("c"))
     gone = None
     for index, only in _blocks(benchmark, item_col, item_text_col, block_chars, **how):
@@ -237,11 +263,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield batch.filter(pa.array(marked))
 
         if only:
-            return docs.mapInArrow(run, docs.schema)
+            return back(rows.mapInArrow(run, rows.schema))
         texts = docs.select(text_col)
         part = cut(texts.mapInArrow(run, texts.schema).select(key.alias("__gone")).distinct())
         sent.destroy()
         gone = part if gone is None else gone.unionByName(part)
     gone = cut(gone.distinct())
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.withColumn("__key", key).join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti").drop("__key")
+    return back(rows.withColumn("__key", key).join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.llm.columns import set_apart
 from spanloom.session import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -114,6 +115,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     Documents without words carry nothing and stay out. Extra columns go with their row. What a row gives is worked out from its source's
     plan where the row is read, so no text is shuffled; only where equal rows share the last place of a run are those numbered.
     """
+    docs, back = set_apart(docs, id_col, source_col, text_col, chars_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     plan = _plan(_grouped(rows, seed), max_epochs).select(F.col("source").alias("__source"), F.col("whole").alias("__whole"), "t_key", "t_reach", "t_n")
     few = plan.count() <= BROADCAST_ROWS
@@ -134,4 +136,4 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     out = out.withColumn(text_col, F.when(F.col("__take") < F.col("__size"), cut_text).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.when(F.col("__take") < F.col("__size"), F.length(text_col).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col)))
-    return out.select(*docs.columns)
+    return back(out)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.columns import set_apart
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FEATURES = (
     "log_words", "mean_word_chars", "long_word_share", "short_word_share", "symbol_share", "capital_word_share", "title_word_share", "exclamation_share",
@@ -220,4 +222,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **how) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with the columns they came with."""
     model = train(docs, labels, id_col, text_col, **how)
-    return score(docs, model, text_col, "__score").where(F.col("__score") >= threshold).select(*docs.columns)
+    rows, back = set_apart(docs, text_col)
+    return back(score(rows, model, text_col, "__score").where(F.col("__score") >= threshold))

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.columns import set_apart
 from spanloom.operators.graph import connected_components
 from spanloom.session import cut
 
@@ -286,6 +287,7 @@ def keep_named(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text
 
     What stays is decided on ids and row hashes. Texts move only where rows are dropped beyond ``BROADCAST_ROWS``, or repeat as a whole.
     """
+    docs, back = set_apart(docs, id_col, text_col)
     ids = classes.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__kept")).distinct()
     hashed = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
     lost = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))  # rows without an id are told apart by their texts
@@ -301,8 +303,8 @@ def keep_named(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text
     if count:
         repeated = F.broadcast(repeated) if count <= BROADCAST_ROWS else repeated
         one = _rows_of(left, repeated, "left_semi").groupBy("__id", "__lost").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
-        return _rows_of(left, repeated, "left_anti").select(*docs.columns).unionByName(one)
-    return left.select(*docs.columns)
+        return _rows_of(left, repeated, "left_anti").select(*docs.columns).unionByName(one).transform(back)
+    return back(left)
 
 
 def _rows_of(df: DataFrame, groups: DataFrame, how: str) -> DataFrame:

@@ -297,3 +297,53 @@ def test_codes_of_the_query(spark):
     want = con.execute(f"SELECT vec_id, code, error, label_error, codebooks_sha256 FROM ({queries.ORACLE_SQL['op13_vector_codes']})").fetchall()
     got = [tuple(r) for r in queries.QUERIES["op13_vector_codes"](spark, DATA).select("vec_id", "code", "error", "label_error", "codebooks_sha256").collect()]
     assert sorted(got) == sorted(want)
+
+
+# ------------------------------------------------------------------ columns and short items
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named as the stages' own helpers, or with dots and back quotes, come out as they went in."""
+    names = ["__size", "__key", "__score", "__h", "__id", "__n", "__lost", "__gone", "whole", "t_key", "t_n", "a.b", "c`d", "column 1"]
+    rows = [(i, "the same words " * 9 if i % 3 else f"text number {i} of its own " * 9, "ab"[i % 2]) for i in range(12)] + [(None, None, None), (4, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.select("*", *(F.concat(F.lit("mine "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    benchmark = spark.createDataFrame([(1, "nothing of this is in any of the texts at all " * 4), (2, "no such passage " * 9)], "item_id long, text string")
+    classes = docs.select("doc_id", F.col("doc_id").alias("component_id"))
+    from spanloom.llm import decontaminate, mixing, quality_gam, simhash
+
+    stages = {
+        "quality": quality_gam.keep_good(docs, labels, threshold=0.0),
+        "named": simhash.keep_named(docs, classes),
+        "clean": decontaminate.drop_contaminated(docs, benchmark),
+        "clean in blocks": decontaminate.drop_contaminated(docs, benchmark, block_chars=20),
+        "mixed": mixing.mixed_documents(docs, chars_col="none"),
+    }
+    for name, out in stages.items():
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(v == f"mine {'none' if r.doc_id is None else r.doc_id}" for r in got for v in r[3:]), name
+
+
+def test_short_items_and_text_ids(spark):
+    from spanloom.llm import decontaminate
+
+    docs = spark.createDataFrame([(1, "It is 42, he said: Blue-Whale!"), (2, "bluewhale 142"), (3, None), (4, "blue whale blue whale")], "doc_id long, text string")
+    items = spark.createDataFrame([("x", "42"), ("y", "Blue whale"), ("z", ""), (None, None), ("w", "!!")], "item_id string, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end, r.edits) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == [(1, "x", 6, 8, 0), (1, "y", 17, 27, 0), (4, "y", 0, 10, 0)]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).orderBy("doc_id").collect()] == [2, 3]
+
+
+def test_excerpts_are_found_from_a_passage_and_a_step_on(spark):
+    from spanloom.llm import decontaminate
+
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(2, 8)))
+    item = decontaminate.normalise(" ".join(word() for _ in range(300)))
+    for passage, step in ((120, 60), (60, 20)):
+        index = decontaminate.index_passages([(1, item)], passage=passage, step=step)
+        for size in (passage + step, passage + step + 30):
+            texts = [" ".join(word() for _ in range(20)) + " " + item[at : at + size] + " " + word() for at in rng.integers(0, len(item) - size, 40)]
+            assert {r[0] for r in decontaminate.find_passages(texts, index)} == set(range(40))
