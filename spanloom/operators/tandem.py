@@ -27,7 +27,7 @@ MIN_COPIES = 5  # fixed value
 K = 8
 DENSITY = 0.08  # of an array's positions that start a link, at least
 PIECE = 250_000
-SPREAD = 1.04  # periods of one array are within this ratio
+SPREAD, NARROW = 1.08, 50  # periods of one array are within this ratio, and below ``NARROW`` within 4 letters
 
 
 # ---------------------------------------------------------------- arrays
@@ -67,7 +67,7 @@ def dense_runs(at: np.ndarray, apart: np.ndarray, k: int, density: float) -> lis
     if not len(at):
         return found
     for shift in (0.0, 0.5):
-        cell = np.floor(np.log(apart) / np.log(SPREAD) + shift).astype(np.int64)
+        cell = np.floor(np.where(apart < NARROW, apart / 4, NARROW / 4 + np.log(apart / NARROW) / np.log(SPREAD)) + shift).astype(np.int64)
         order = np.lexsort((at, cell))
         a, d, c = at[order], apart[order], cell[order]
         starts = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (a[1:] - a[:-1] > np.maximum(2 * d[:-1], 4 * k))])
@@ -105,10 +105,11 @@ def pieces(seqs: DataFrame, seq_id: str, seq: str, size: int, overlap: int) -> D
 
 
 def _joined(runs: DataFrame, seq_id: str, shift: float, slack: int) -> DataFrame:
-    """Runs of one sequence and like period that lie within a period of each other (or ``slack``) as one; the period is that of most links."""
-    cell = F.floor(F.ln("period") / float(np.log(SPREAD)) + shift)
+    """Runs of one sequence and like period that lie within two periods of each other (or ``slack``) as one; the period is that of most links."""
+    period = F.col("period")
+    cell = F.floor(F.when(period < NARROW, period / 4).otherwise(NARROW / 4 + F.ln(period / NARROW) / float(np.log(SPREAD))) + shift)
     order = Window.partitionBy(seq_id, "cell").orderBy("s", "e", "period")
-    reach = F.max(F.col("e") + F.greatest(F.col("period"), F.lit(slack))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.max(F.col("e") + F.greatest(2 * period, F.lit(slack))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = runs.withColumn("cell", cell).withColumn("new", F.when(F.col("s") <= reach, 0).otherwise(1))
     numbered = marked.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     same = numbered.groupBy(seq_id, "cell", "island", "period").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
