@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spanloom.llm.columns import set_apart
+from spanloom.llm.workers import released
 from spanloom.session import cut
 
 Q = 12
@@ -235,7 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 columns += [pa.array([r[i] for r in rows], pa.int32()) for i in (2, 3, 4, 5)]
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "passage_start", "start", "end", "edits"])
 
-        part = source.mapInArrow(run, schema)
+        part = source.mapInArrow(released(run), schema)
         if not only:
             part = cut(part)
             sent.destroy()
@@ -263,9 +264,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield batch.filter(pa.array(marked))
 
         if only:
-            return back(rows.mapInArrow(run, rows.schema))
+            return back(rows.mapInArrow(released(run), rows.schema))
         texts = docs.select(text_col)
-        part = cut(texts.mapInArrow(run, texts.schema).select(key.alias("__gone")).distinct())
+        part = cut(texts.mapInArrow(released(run), texts.schema).select(key.alias("__gone")).distinct())
         sent.destroy()
         gone = part if gone is None else gone.unionByName(part)
     gone = cut(gone.distinct())

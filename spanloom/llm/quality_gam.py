@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.columns import set_apart
+from spanloom.llm.workers import released
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FEATURES = (
@@ -194,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = feature_matrix(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(2).cast(pa.int32()), *(pa.array(x[:, j]) for j in range(x.shape[1]))], names=["id", "y", *names])
 
-    rows = joined.mapInArrow(run, "id string, y int, " + ", ".join(f"{c} double" for c in names))
+    rows = joined.mapInArrow(released(run), "id string, y int, " + ", ".join(f"{c} double" for c in names))
     # a document that repeats under one id counts once
     table = rows.dropDuplicates(["id"]).toArrow().sort_by("id")
     x = np.stack([table[c].to_numpy() for c in names], axis=1) if table.num_rows else np.zeros((0, len(names)))
@@ -205,10 +206,11 @@ def score(docs: DataFrame, model: Gam, text_col: str = "text", into: str = "scor
     """``docs`` with a score column from whole texts; null and wordless texts score as texts of zero features."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.score(feature_matrix(texts.tolist())))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(sent.value.score(feature_matrix(texts.tolist())))
 
+    of = F.pandas_udf(released(run), "double")
     return docs.withColumn(into, of(F.col(text_col)))
 
 

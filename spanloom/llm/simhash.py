@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.columns import set_apart
 from spanloom.operators.graph import connected_components
+from spanloom.llm.workers import released
 from spanloom.session import cut
 
 SEED = 42
@@ -80,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(released(run), f"id {kind}, fp long")
 
 
 # ---------------------------------------------------------------- Golay keys

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.workers import released
+
 SYMBOLS, ORDER = 40, 4
 CELLS = SYMBOLS**ORDER
 DIGIT, OTHERS = 27, 12
@@ -183,7 +185,7 @@ def gram_counts(rows: DataFrame) -> np.ndarray:
             p, c = part[at : at + (1 << 16)], cell[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(p * CELLS + c), pa.array(held[p, c])], names=["at", "n"])
 
-    sums = rows.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    sums = rows.mapInArrow(released(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(4 * CELLS, np.int64)
     counts[sums["at"].to_numpy()] = sums["n"].to_numpy()
     return counts.reshape(2, 2, CELLS)
@@ -218,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     some = F.broadcast(usable.orderBy(F.xxhash64("__id"), "__id").limit(max_calibration))
     chosen = texts.join(some, F.col("__doc") == F.col("__id")).select("__text", _half("__id").alias("half"), "__y", "__id")
-    table = chosen.mapInArrow(run, "y int, id string, whole double, most double").dropDuplicates(["id"]).toArrow().sort_by("id")
+    table = chosen.mapInArrow(released(run), "y int, id string, whole double, most double").dropDuplicates(["id"]).toArrow().sort_by("id")
     halves.unpersist()
     x, y = np.stack([table["whole"].to_numpy(), table["most"].to_numpy()], axis=1), table["y"].to_numpy()
     return Model(calibrate(x, y) if len(set(y.tolist())) > 1 else np.array([share, 0.0, 1.0]), log_ratios(*counts.sum(axis=0)))
@@ -228,10 +230,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", into: str = "sc
     """``docs`` with a score column (a column of that name is replaced) from whole texts; null texts score as empty ones."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.score(texts.tolist()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(sent.value.score(texts.tolist()))
 
+    of = F.pandas_udf(released(run), "double")
     return docs.withColumn(into, of(F.col(text_col)))
 
 
