@@ -5,15 +5,27 @@ Alignment and array search have no SQL; tests hold them against plain Python and
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from spanloom.operators import library as L
 from spanloom.operators import similarity as Y
 from spanloom.operators import tandem as T
-from spanloom.plans.adapters import dna_docs
+from spanloom.plans.adapters import dna_docs, table
 from spanloom.plans.rollup_queries import DNA, KMER
 
 #: Long texts: sparse keys, and pairs that share a quarter of them.
 TEXTS = Y.Search(k=21, window=40, share=0.25, band=32, min_identity=80.0)
 
+
+def library(sp, d):
+    """Benchmark items as library entries of seven names."""
+    letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    return table(sp, d, "benchmark").select(F.col("item_id").alias("entry"), F.concat(F.lit("name_"), (F.col("item_id") % 7).cast("string")).alias("name"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC").alias("seq"))
+
+
 QUERIES = {
+    "library_chains": lambda sp, d: L.library_hits(dna_docs(sp, d), library(sp, d), "doc_id", k=16),
+    "library_annotation": lambda sp, d: L.annotate_from_library(dna_docs(sp, d), library(sp, d), "doc_id", k=16),
     "sequence_hits": lambda sp, d: Y.similarity_hits(dna_docs(sp, d), "doc_id", "seq", TEXTS),
     "sequence_clusters": lambda sp, d: Y.similarity_clusters(dna_docs(sp, d), "doc_id", "seq", TEXTS),
     "sequence_greedy": lambda sp, d: Y.similarity_greedy(dna_docs(sp, d), "doc_id", "seq", TEXTS),
@@ -28,7 +40,35 @@ SPECTRUM = f"""(
   FROM (SELECT doc_id, gap, count(*) AS n FROM (SELECT doc_id, pos - lag(pos) OVER (PARTITION BY doc_id, kmer ORDER BY pos) AS gap FROM {KMER(6, 'doc_id,')} t) g WHERE gap <= 200 GROUP BY 1, 2) h
   JOIN (SELECT doc_id, length(seq) - 5 AS starts, pow(CAST(list_sum(list_transform(['A', 'C', 'G', 'T'], lambda b: pow(length(seq) - length(replace(seq, b, '')), 2))) AS DOUBLE) / (length(seq) * length(seq)), 6) AS q FROM {DNA} d WHERE length(seq) >= 6) c USING (doc_id))"""
 
+
+def _keys(source: str, key: str, cols: str) -> str:
+    return f"""(SELECT {key}, {cols}, least(kmer, back) AS key, kmer <= back AS ahead FROM (
+    SELECT {key}, i - 1 AS pos, substr(seq, i, 16) AS kmer, reverse(translate(substr(seq, i, 16), 'ACGT', 'TGCA')) AS back FROM (SELECT {key}, seq, unnest(range(1, length(seq) - 14)) AS i FROM {source} d0) d1) d2)"""
+
+
+LIBRARY = "(SELECT item_id AS entry, 'name_' || (item_id % 7) AS name, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM benchmark)"
+
+CHAINS = f"""
+WITH met AS (
+  SELECT doc_id, entry, CASE WHEN d.ahead = l.along THEN '+' ELSE '-' END AS strand, pos, off, CASE WHEN d.ahead = l.along THEN pos - off ELSE pos + off END AS line
+  FROM {_keys(DNA, 'doc_id', 'pos')} d JOIN (SELECT entry, pos AS off, key, ahead AS along FROM {_keys(LIBRARY, 'entry', 'pos')} l0) l USING (key)
+), seeds AS (
+  SELECT *, CAST(floor(line / 32) AS BIGINT) - shift AS cell FROM met, range(2) s(shift)
+), stepped AS (
+  SELECT *, pos - lag(pos) OVER w AS step FROM seeds WINDOW w AS (PARTITION BY doc_id, entry, strand, cell ORDER BY pos, off)
+), numbered AS (
+  SELECT *, CASE WHEN step <= 100 THEN 0 ELSE 1 END AS fresh, sum(CASE WHEN step <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, entry, strand, cell ORDER BY pos, off ROWS UNBOUNDED PRECEDING) AS chain FROM stepped
+), runs AS (
+  SELECT DISTINCT doc_id, entry, strand, s, e, es, ee, covered, seeds FROM (
+    SELECT doc_id, entry, strand, cell, chain, min(pos) + 1 AS s, max(pos) + 16 AS e, min(off) + 1 AS es, max(off) + 16 AS ee, CAST(sum(CASE WHEN fresh = 1 THEN 16 ELSE least(16, step) END) AS BIGINT) AS covered, count(*) AS seeds
+    FROM numbered GROUP BY ALL) x WHERE covered >= 40
+)
+SELECT r.*, name FROM runs r JOIN {LIBRARY} n USING (entry) WHERE NOT EXISTS (
+  SELECT 1 FROM runs y WHERE y.doc_id = r.doc_id AND (y.covered, y.s, y.e, y.entry, y.strand, y.es, y.ee) > (r.covered, r.s, r.e, r.entry, r.strand, r.es, r.ee)
+    AND least(y.e, r.e) - greatest(y.s, r.s) + 1 >= 0.8 * (r.e - r.s + 1))"""
+
 ORACLE_SQL = {
+    "library_chains": CHAINS,
     "periodogram": f"SELECT * FROM {SPECTRUM} s",
     "spectrum_peaks": f"""
 WITH m AS (
