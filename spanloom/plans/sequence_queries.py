@@ -7,10 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spanloom.operators import complexity as C
+from spanloom.operators import intervals as I
 from spanloom.operators import library as L
+from spanloom.operators import packing as P
+from spanloom.operators import sequences as S
 from spanloom.operators import similarity as Y
+from spanloom.operators import star as Z
 from spanloom.operators import tandem as T
 from spanloom.plans.adapters import dna_docs, table
+from spanloom.plans.interval_queries import CHUNKS
 from spanloom.plans.rollup_queries import DNA, KMER
 
 #: Long texts: sparse keys, and pairs that share a quarter of them.
@@ -23,7 +29,26 @@ def library(sp, d):
     return table(sp, d, "benchmark").select(F.col("item_id").alias("entry"), F.concat(F.lit("name_"), (F.col("item_id") % 7).cast("string")).alias("name"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC").alias("seq"))
 
 
+def chunks(sp, d):
+    """Chunks of documents by their number of letters, with their lengths."""
+    return I.chunk_map(table(sp, d, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 500, 50).select("doc_id", "chunk_no", (F.col("end0") - F.col("start0")).alias("size"))
+
+
+def unequal_copies(sp, d):
+    """What stands from one occurrence of a document's anchor to the next."""
+    docs = dna_docs(sp, d)
+    return Z.copies_between(docs, "doc_id", "seq", S.anchor_kmer(docs, "doc_id", "seq", 5, 12, 3))
+
+
 QUERIES = {
+    "chunk_packing": lambda sp, d: P.pack_by_size(chunks(sp, d), "size", 20_000, ["doc_id", "chunk_no"]),
+    "size_round_robin": lambda sp, d: P.round_robin_parts(table(sp, d, "documents").select("doc_id", "n_chars"), "n_chars", 7, "doc_id"),
+    "count_parts": lambda sp, d: P.even_parts(table(sp, d, "orders").select("o_orderkey"), 9, ["o_orderkey"]),
+    "index_names": lambda sp, d: P.index_names(table(sp, d, "customer").select("c_name"), "c_name", ["c_name"]),
+    "restored_names": lambda sp, d: P.restore_names(table(sp, d, "orders").select("o_orderkey", F.concat((F.col("o_custkey") + 1).cast("string"), F.when(F.col("o_orderkey") % 5 == 0, "x").otherwise("")).alias("name")), P.index_names(table(sp, d, "customer").select("c_name"), "c_name", ["c_name"]), "name", "c_name"),
+    "low_complexity": lambda sp, d: C.low_complexity(dna_docs(sp, d), "doc_id", "seq", level=1.5),
+    "gated_ssr": lambda sp, d: C.gated_ssr_coverage(dna_docs(sp, d), "doc_id", "seq", gate=0.1, level=1.5),
+    "star_consensus": lambda sp, d: Z.star_consensus(unequal_copies(sp, d), "doc_id", "copy"),
     "library_chains": lambda sp, d: L.library_hits(dna_docs(sp, d), library(sp, d), "doc_id", k=16),
     "library_annotation": lambda sp, d: L.annotate_from_library(dna_docs(sp, d), library(sp, d), "doc_id", k=16),
     "sequence_hits": lambda sp, d: Y.similarity_hits(dna_docs(sp, d), "doc_id", "seq", TEXTS),
@@ -48,7 +73,9 @@ def _keys(source: str, key: str, cols: str) -> str:
 
 LIBRARY = "(SELECT item_id AS entry, 'name_' || (item_id % 7) AS name, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM benchmark)"
 
-CHAINS = f"""
+INDEX = "(SELECT CAST(row_number() OVER (ORDER BY c_name) AS VARCHAR) AS index, c_name FROM customer)"
+
+SEEDS = f"""
 WITH met AS (
   SELECT doc_id, entry, CASE WHEN d.ahead = l.along THEN '+' ELSE '-' END AS strand, pos, off, CASE WHEN d.ahead = l.along THEN pos - off ELSE pos + off END AS line
   FROM {_keys(DNA, 'doc_id', 'pos')} d JOIN (SELECT entry, pos AS off, key, ahead AS along FROM {_keys(LIBRARY, 'entry', 'pos')} l0) l USING (key)
@@ -68,7 +95,12 @@ SELECT r.*, name FROM runs r JOIN {LIBRARY} n USING (entry) WHERE NOT EXISTS (
     AND least(y.e, r.e) - greatest(y.s, r.s) + 1 >= 0.8 * (r.e - r.s + 1))"""
 
 ORACLE_SQL = {
-    "library_chains": CHAINS,
+    "chunk_packing": f"SELECT doc_id, chunk_no, size, CAST(floor(coalesce(sum(size) OVER (ORDER BY doc_id, chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 20000) AS BIGINT) AS part FROM (SELECT doc_id, chunk_no, end0 - start0 AS size FROM {CHUNKS} c) t",
+    "size_round_robin": "SELECT doc_id, n_chars, CAST((row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1) % 7 AS INTEGER) AS part FROM documents",
+    "count_parts": "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // CAST(ceil(count(*) OVER () / 9) AS BIGINT) AS INTEGER) AS part FROM orders",
+    "index_names": f"SELECT * FROM {INDEX} n",
+    "restored_names": f"SELECT o_orderkey, coalesce(c_name, name) AS name FROM (SELECT o_orderkey, (o_custkey + 1) || CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE '' END AS name FROM orders) o LEFT JOIN {INDEX} n ON n.index = o.name",
+    "library_chains": SEEDS,
     "periodogram": f"SELECT * FROM {SPECTRUM} s",
     "spectrum_peaks": f"""
 WITH m AS (
