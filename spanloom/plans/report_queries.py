@@ -94,7 +94,7 @@ def super_rows(sp, d):
 
 def family_table(sp, d):
     """Nations as families, priorities as samples with members and lengths."""
-    o = table(sp, d, "orders").join(table(sp, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey").where("o_totalprice > 200000")
+    o = table(sp, d, "orders").join(table(sp, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     out = o.groupBy(F.col("c_nationkey").alias("Satellite_family")).pivot("o_orderpriority", list(PRIORITIES)).agg(F.array_join(F.array_sort(F.collect_set(TEXT("o_custkey"))), ", ").alias("m"), F.sum(F.floor("o_totalprice")).alias("length"))
     named = [F.col("Satellite_family"), F.lit("x").alias("prevalent_annot")]
     for p in PRIORITIES:
@@ -183,7 +183,7 @@ ORACLE_SQL = {
     "summary_table": "SELECT 'TRC_' || p_partkey AS family, p_partkey AS position, CAST(p_size AS BIGINT) AS kmer, NULL::DOUBLE AS total_score, upper(p_type) AS consensus, 'plots/' || lower(p_brand) || '.png' AS graph, NULL::VARCHAR AS logo, CASE WHEN p_size > 9 THEN p_name END AS annotation FROM part",
     "superfamily_table": "SELECT p_size AS superfamily, string_agg('TRC_' || p_partkey, ',' ORDER BY p_partkey) AS members, CAST(count(*) FILTER (p_retailprice > 1500) AS INTEGER) AS n_attached FROM part WHERE p_size > 2 GROUP BY 1",
     "sample_sequences": "SELECT 'S1:' || p_size AS seq_id, min(upper(p_type) || upper(p_type)) AS seq FROM part GROUP BY 1",
-    "unpivot_samples": "SELECT c_nationkey AS family, o_orderpriority AS sample, string_agg(DISTINCT CAST(o_custkey AS VARCHAR), ', ' ORDER BY CAST(o_custkey AS VARCHAR)) AS members, CAST(sum(floor(o_totalprice)) AS DOUBLE) AS length FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 200000 GROUP BY 1, 2",
+    "unpivot_samples": "SELECT c_nationkey AS family, o_orderpriority AS sample, string_agg(DISTINCT CAST(o_custkey AS VARCHAR), ', ' ORDER BY CAST(o_custkey AS VARCHAR)) AS members, CAST(sum(floor(o_totalprice)) AS DOUBLE) AS length FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2",
     "karyotype_arrays": f"SELECT sample, seqid, start, \"end\", family FROM {MARKED} m WHERE family IS NOT NULL",
     "karyotype_contigs": f"SELECT sample, seqid, max(\"end\") AS length, CAST(row_number() OVER (PARTITION BY sample ORDER BY min(line), seqid) AS INTEGER) AS position FROM {MARKED} m GROUP BY 1, 2",
     "wide_attributes": "SELECT n_nationkey, n_name AS Name, CASE WHEN n_regionkey > 1 THEN CAST(n_regionkey AS VARCHAR) END AS region FROM nation",

@@ -157,7 +157,7 @@ QUERIES = {
     "best_pair_canonical": lambda sp, d: rounded(G.best_canonical(hits(sp, d))),
     "graph_simplify": lambda sp, d: rounded(G.simplify(hits(sp, d), "q", "s", "qcov")),
     "edge_gate_same": lambda sp, d: hits(sp, d).where(G.comparative_gate(0.95, 97.0, by_longer=False, same=F.col("q") % 25 == F.col("s") % 25)).groupBy("q", "s").agg(F.count("*").alias("n")),
-    "graph_isolated": lambda sp, d: rounded(G.with_isolated(table(sp, d, "part").select(F.col("p_partkey").alias("node")), G.simplify(super_hits(sp, d).where("length >= 48"), "q", "s", "qcov").where("dst >= 0 or src >= 0").select("dst", "src", "weight"))).where("node >= 0"),
+    "graph_isolated": lambda sp, d: rounded(G.with_isolated(table(sp, d, "part").select(F.col("p_partkey").alias("node")), G.simplify(super_hits(sp, d).where(G.comparative_gate(by_longer=False)), "q", "s", "qcov").where("dst >= 0 or src >= 0").select("dst", "src", "weight"))).where("node >= 0"),
     "pairs_loops": lambda sp, d: G.canonical_pairs(super_hits(sp, d).where(G.cluster_gate())),
     "conn_comp": lambda sp, d: G.connected_components(links(sp, d)),
     "two_level_compose": lambda sp, d: G.compose(table(sp, d, "part").select(F.col("p_partkey").alias("node"), (F.col("p_partkey") % 150).alias("component")), G.connected_components(links(sp, d))),
@@ -176,7 +176,7 @@ QUERIES = {
     "kmer_gap_hist": lambda sp, d: S.kmer_gaps(dna_docs(sp, d), "doc_id", "seq", 6, 200),
     "revcomp": lambda sp, d: dna_docs(sp, d).select("doc_id", S.reverse_complement(F.col("seq")).alias("seq")),
     "canonical_motif": lambda sp, d: S.kmer_counts(dna_docs(sp, d), "seq", 6).groupBy(S.canonical_motif(F.col("kmer")).alias("motif")).agg(F.sum("n").alias("n")),
-    "unique_motifs": lambda sp, d: table(sp, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set(F.translate(F.substring("p_type", 1, 4), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"))).alias("m")).select("p_brand", F.array_join(S.unique_motifs(F.concat("m", F.array(F.lit("A"), F.lit("AT"), F.lit("ATAT"), F.lit("AAA")))), ",").alias("motifs")),
+    "unique_motifs": lambda sp, d: table(sp, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set(F.translate("p_type", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"))).alias("m")).select("p_brand", F.array_join(S.unique_motifs(F.concat("m", F.array(F.lit("A"), F.lit("AT"), F.lit("ATAT"), F.lit("AAA")))), ",").alias("motifs")),
     "tiled": lambda sp, d: dna_docs(sp, d).select("doc_id", F.md5(S.tiled(F.col("seq"), 500)).alias("digest"), F.length(S.tiled(F.col("seq"), 500)).alias("n")),
     "subsequences": lambda sp, d: S.subsequences(doc_spans(sp, d), dna_docs(sp, d).withColumnRenamed("doc_id", "seqid")),
     "homopolymer": lambda sp, d: dna_docs(sp, d).select("doc_id", S.is_homopolymer(F.col("seq"), 4).alias("found")),
@@ -226,7 +226,15 @@ ORACLE_SQL = {
     "best_pair_canonical": f"SELECT src, dst, round(pident, 6) AS pident, round(qcov, 6) AS qcov, round(tcov, 6) AS tcov FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY pident DESC, qcov DESC, tcov DESC) AS k FROM (SELECT least(q, s) AS src, greatest(q, s) AS dst, pident, qcov, tcov FROM {HITS} h WHERE q <> s) p) t WHERE k = 1",
     "graph_simplify": f"SELECT least(q, s) AS src, greatest(q, s) AS dst, round(sum(qcov), 6) AS weight FROM {HITS} h WHERE q <> s GROUP BY 1, 2",
     "edge_gate_same": f"SELECT q, s, count(*) AS n FROM {HITS} h WHERE (least(qcov, tcov) >= CAST(0.95 AS DOUBLE) AND pident >= 97) OR q % 25 = s % 25 GROUP BY 1, 2",
-    "graph_isolated": f"WITH g AS (SELECT q, -s - 1 AS s, sum(qcov) AS weight FROM {HITS} h WHERE length >= 48 GROUP BY 1, 2) SELECT p_partkey AS node, count(weight) AS degree, round(coalesce(sum(weight), 0.0), 6) AS strength FROM part LEFT JOIN g ON q = p_partkey GROUP BY 1",
+    "unique_motifs": """
+WITH own AS (SELECT DISTINCT p_brand, translate(p_type, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC') AS m FROM part),
+items AS (
+  SELECT p_brand, m, row_number() OVER (PARTITION BY p_brand ORDER BY m) AS i FROM own
+  UNION ALL SELECT p_brand, f.m, 1000000 + f.i FROM (SELECT DISTINCT p_brand FROM part) b, (VALUES ('A', 1), ('AT', 2), ('ATAT', 3), ('AAA', 4)) f(m, i)
+)
+SELECT p_brand, string_agg(m, ',' ORDER BY length(m), i) AS motifs FROM items x
+WHERE NOT EXISTS (SELECT 1 FROM items y WHERE y.p_brand = x.p_brand AND length(y.m) < length(x.m) AND length(x.m) % length(y.m) = 0 AND replace(x.m, y.m, '') = '') GROUP BY 1""",
+    "graph_isolated": f"WITH g AS (SELECT q, -s - 1 AS s, sum(qcov) AS weight FROM {HITS} h WHERE least(qcov, tcov) >= CAST(0.8 AS DOUBLE) AND pident >= 80 GROUP BY 1, 2) SELECT p_partkey AS node, count(weight) AS degree, round(coalesce(sum(weight), 0.0), 6) AS strength FROM part LEFT JOIN g ON q = p_partkey GROUP BY 1",
     "pairs_loops": f"SELECT DISTINCT dst AS src, src AS dst FROM (SELECT q AS src, -s - 1 AS dst FROM {HITS} h WHERE length / least(qlen, slen) > CAST(0.8 AS DOUBLE)) x UNION SELECT q, q FROM {HITS} h WHERE length / least(qlen, slen) > CAST(0.8 AS DOUBLE) UNION SELECT -s - 1, -s - 1 FROM {HITS} h WHERE length / least(qlen, slen) > CAST(0.8 AS DOUBLE)",
     "conn_comp": f"{WALK} SELECT * FROM {COMPONENTS} c",
     "two_level_compose": f"{WALK} SELECT p_partkey AS node, coalesce(c.component, p_partkey % 150) AS component FROM part LEFT JOIN {COMPONENTS} c ON c.node = p_partkey % 150",

@@ -173,3 +173,21 @@ def test_window_shifts_against_direct_correlation(spark):
         own = windows[r.window_no]
         agree = [sum(ref[p][b] * own[(p + s) % PERIOD][b] for p in range(PERIOD) for b in range(4)) for s in range(PERIOD)]
         assert agree[r.shift] == max(agree)
+
+
+def test_statistics_images_and_suffixes(spark):
+    from pyspark.sql import functions as F
+
+    from spanloom.sources import tables as T
+
+    rows = spark.createDataFrame([(1, '{"n_trcs_total": 12, "total_tr_length": "77", "n_ssrs": null, "version": "1.2-b"}'), (2, "{}"), (3, "no json"), (4, None), (5, '{"n_tras": 1.5}')], "id int, text string")
+    got = {r.id: r for r in T.statistics_of_run(rows).collect()}
+    assert (got[1].n_trcs_total, got[1].total_tr_length, got[1].n_ssrs, got[1].version) == (12, 77, None, "1.2-b")
+    assert all(v is None for i in (2, 3, 4) for v in got[i][1:]) and got[5].n_tras is None
+    cells = spark.createDataFrame([(1, '<img src="a/b.png" alt="x">'), (2, "<a><img src='c d.png'></a>"), (3, r'<img src=\"e.png\">'), (4, "none"), (5, None), (6, '<img src="">')], "id int, c string")
+    assert {r.id: r.p for r in cells.select("id", T.image_path(F.col("c")).alias("p")).collect()} == {1: "a/b.png", 2: "c d.png", 3: "e.png", 4: None, 5: None, 6: None}
+    names = spark.createDataFrame([("T_10",), ("T_9",), ("T",), ("T_x",), ("T_2_1",)], "n string")
+    assert [r.n for r in names.orderBy(T.numeric_suffix(F.col("n")), "n").collect()] == ["T_9", "T_10", "T", "T_2_1", "T_x"]
+    assert T.sample_columns(["Satellite_family", "a", "a_length", "b", "b_annot", "x_prevalent_annot", "prevalent_annot", "group_id"]) == ["a", "b"]
+    page = spark.createDataFrame([("Program version : 1.10.2\n", 1), ("version: 2.0-rc1, more", 2), ("none", 3)], "html string, id int")
+    assert {r.id: r.version for r in T.statistics_of_run(pages=page).collect()} == {1: "1.10.2", 2: "2.0-rc1", 3: None}
