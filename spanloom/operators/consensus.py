@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,10 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.sequences import kmers
-from spanloom.session import cut
+from spanloom.session import cut, written
 
 LETTERS = "ACGT"
 GAPS = ("-", ".", " ")
+FFT_CELLS = 1 << 20
 
 
 def monomers(df: DataFrame, seq_id: str, seq: str, anchors: DataFrame, period: int) -> DataFrame:
@@ -147,23 +149,30 @@ def window_tally(df: DataFrame, seq_id: str, seq: str, period: int, window: int)
 def window_shifts(tally: DataFrame, seq_id: str, period: int) -> DataFrame:
     """(seq_id, window_no, shift): the rotation at which a window agrees best with the sequence's sharpest one, by FFT cross-correlation.
 
-    The sharpest window has the greatest share of its bases at one position; the first wins ties, as the smallest shift does.
-    A task holds two tables of ``period`` times four counts at a time.
+    The sharpest window has the greatest share of its bases at one position; the first wins ties, as the smallest shift does. Windows are
+    rows of counts, and a batch of them goes through one transform; a batch holds at most ``FFT_CELLS`` counts at a time.
     """
     kind = tally.schema[seq_id].dataType.simpleString()
-    heights = tally.groupBy(seq_id, "window_no", "pos").agg(F.sum("n").alias("h")).groupBy(seq_id, "window_no").agg((F.max("h") / F.sum("h")).alias("sharp"))
-    sharpest = heights.groupBy(seq_id).agg(F.min(F.struct((-F.col("sharp")).alias("o"), "window_no")).alias("r")).select(seq_id, F.col("r.window_no").alias("ref"))
-    reference = tally.join(sharpest, seq_id).where("window_no = ref").select(seq_id, "pos", "base", "n")
-    both = tally.select(seq_id, "window_no", "pos", "base", "n", F.lit(0).alias("side")).unionByName(heights.select(seq_id, "window_no").join(reference, seq_id).withColumn("side", F.lit(1)))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros((2, period, 4))
-        counts[group["side"].to_numpy(), group["pos"].to_numpy(), [LETTERS.index(b) for b in group["base"]]] = group["n"]
-        x, ref = np.fft.fft(counts - counts.mean(axis=1, keepdims=True), axis=1)
-        agreement = np.fft.ifft(np.conj(ref) * x, axis=0).real.sum(axis=1).round(6)
-        return pd.DataFrame({seq_id: group[seq_id].iloc[:1], "window_no": group["window_no"].iloc[:1], "shift": [int(agreement.argmax())]})
-
-    return both.groupBy(seq_id, "window_no").applyInPandas(run, f"{seq_id} {kind}, window_no long, shift int")
+    cell = F.struct((F.col("pos") * 4 + F.array_position(F.array(*map(F.lit, LETTERS)), F.col("base")) - 1).cast("int").alias("at"), F.col("n").cast("double").alias("n"))
+    windows = tally.groupBy(seq_id, "window_no", "pos").agg(F.sum("n").alias("h"), F.collect_list(cell).alias("c")).groupBy(seq_id, "window_no").agg((F.max("h") / F.sum("h")).alias("sharp"), F.flatten(F.collect_list("c")).alias("c"))
+    windows = written(windows.select(seq_id, "window_no", "sharp", F.transform("c", lambda x: x["at"]).alias("at"), F.transform("c", lambda x: x["n"]).alias("n")))
+    reference = windows.groupBy(seq_id).agg(F.min_by(F.struct("at", "n"), F.struct(-F.col("sharp"), "window_no")).alias("r")).select(seq_id, F.col("r.at").alias("ref_at"), F.col("r.n").alias("ref_n"))
+
+    def dense(at: pd.Series, n: pd.Series) -> np.ndarray:
+        counts = np.zeros((len(at), period * 4))
+        counts[np.repeat(np.arange(len(at)), at.map(len)), np.concatenate(at.to_list())] = np.concatenate(n.to_list())
+        counts = counts.reshape(-1, period, 4)
+        return np.fft.fft(counts - counts.mean(axis=1, keepdims=True), axis=1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        some = max(1, FFT_CELLS // (4 * period))
+        for batch in batches:
+            for k in range(0, len(batch), some):
+                part = batch.iloc[k : k + some]
+                agreement = np.fft.ifft(np.conj(dense(part["ref_at"], part["ref_n"])) * dense(part["at"], part["n"]), axis=1).real.sum(axis=2).round(6)
+                yield pd.DataFrame({seq_id: part[seq_id], "window_no": part["window_no"], "shift": agreement.argmax(axis=1)})
+
+    return windows.select(seq_id, "window_no", "at", "n").join(reference, seq_id).mapInPandas(run, f"{seq_id} {kind}, window_no long, shift int")
 
 
 def rotated_tally(tally: DataFrame, shifts: DataFrame, seq_id: str, period: int) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.operators.intervals import merge_intervals
+from spanloom.operators.intervals import fit_width, merge_intervals
 from spanloom.operators.rollup import most_common, tolerance_mode
 
 TIERS = ("none", "weak", "supported", "strict")
@@ -192,12 +192,18 @@ def same_record(hits: DataFrame, query: str, subject: str, pattern: str) -> Data
 def drop_adjacent(df: DataFrame, seq: str, s: str, e: str, order: Sequence[str], name: str) -> DataFrame:
     """Rows without the earlier of two neighbours with equal coordinates, in order of sequence and start; only neighbours are compared.
 
-    A name that repeats keeps the place of its first row and the rest of its last, as a table by name would.
+    A name that repeats keeps the place of its first row and the rest of its last, as a table by name would. Rows are ordered within bins
+    of starts, and a bin's last row meets the first one of the next occupied bin.
     """
     one = df.groupBy(name).agg(F.min(F.struct(*order)).alias("__at"), F.max_by(F.struct(*(c for c in df.columns if c != name)), F.struct(*order)).alias("r")).select(name, "__at", "r.*")
-    after = Window.partitionBy(seq).orderBy(s, "__at")
-    same = (F.lead(s).over(after) == F.col(s)) & (F.lead(e).over(after) == F.col(e))
-    return one.withColumn("__gone", F.coalesce(same, F.lit(False))).where(~F.col("__gone")).select(*df.columns)
+    width = fit_width(df, [seq], s, e) or 1 << 40
+    place = F.struct(F.col(s).alias("s"), F.col("__at").alias("at"), F.col(e).alias("e"))
+    binned = one.withColumn("__bin", F.floor(F.col(s) / width)).withColumn("__place", place)
+    firsts = binned.groupBy(seq, "__bin").agg(F.min("__place").alias("__first")).select(seq, "__bin", F.lead("__first").over(Window.partitionBy(seq).orderBy("__bin")).alias("__after"))
+    inside = F.lead("__place").over(Window.partitionBy(seq, "__bin").orderBy("__place"))
+    nearest = binned.withColumn("__next", inside).join(firsts, [seq, "__bin"]).withColumn("__next", F.coalesce("__next", "__after"))
+    same = (F.col("__next.s") == F.col(s)) & (F.col("__next.e") == F.col(e))
+    return nearest.where(~F.coalesce(same, F.lit(False))).select(*df.columns)
 
 
 def overlapping(a_s: Column, a_e: Column, b_s: Column, b_e: Column) -> Column:

@@ -130,6 +130,21 @@ TOP4 = f"(SELECT doc_id, kmer FROM (SELECT doc_id, kmer, row_number() OVER (PART
 WINDOWS = f"(SELECT t.doc_id, substr(seq, pos + 1, 10) AS copy FROM {KMER(4, 'doc_id,')} t JOIN {TOP4} a ON a.doc_id = t.doc_id AND a.kmer = t.kmer JOIN {DNA} s ON s.doc_id = t.doc_id WHERE pos + 10 <= length(seq))"
 PLAIN = "SELECT doc_id, string_agg(CASE WHEN top / n < CAST(0.4 AS DOUBLE) THEN 'N' WHEN a = top THEN 'A' WHEN c = top THEN 'C' WHEN g = top THEN 'G' ELSE 'T' END, '' ORDER BY i) AS consensus, count(*) AS n_kept, CAST(0 AS BIGINT) AS n_dropped, count(*) FILTER (top / n < CAST(0.4 AS DOUBLE)) AS n_n, round(avg(" + ENTROPY + "), 6) AS mean_entropy FROM (SELECT *, a + c + g + t AS n, greatest(a, c, g, t) AS top FROM (SELECT doc_id, i, " + ", ".join(f"sum(CASE WHEN substr(copy, i, 1) = '{b}' THEN 1 ELSE 0 END) AS {b.lower()}" for b in "ACGT") + f" FROM (SELECT *, unnest(range(1, 11)) AS i FROM {WINDOWS} c0) c1 GROUP BY 1, 2) s0) s GROUP BY doc_id"
 
+TALLY = f"SELECT doc_id, CAST(least(pos // 600, greatest(len // 600 - 1, 0)) AS BIGINT) AS window_no, CAST(pos % {PERIOD} AS INTEGER) AS pos, base, count(*) AS n FROM (SELECT doc_id, length(seq) AS len, i - 1 AS pos, substr(seq, i, 1) AS base FROM (SELECT doc_id, seq, unnest(range(1, length(seq) + 1)) AS i FROM {DNA} d0) d1) t GROUP BY 1, 2, 3, 4"
+
+#: Centred counts agree like plain ones, but for a constant that all shifts share.
+SHIFTS = f"""
+WITH tally AS MATERIALIZED ({TALLY}), heights AS (
+  SELECT doc_id, window_no, CAST(max(h) AS DOUBLE) / CAST(sum(h) AS DOUBLE) AS sharp FROM (SELECT doc_id, window_no, pos, sum(n) AS h FROM tally GROUP BY ALL) x GROUP BY ALL
+), ref AS (
+  SELECT t.doc_id, pos, base, n FROM tally t JOIN (SELECT doc_id, window_no, row_number() OVER (PARTITION BY doc_id ORDER BY sharp DESC, window_no) AS k FROM heights) r USING (doc_id, window_no) WHERE k = 1
+), agree AS (
+  SELECT x.doc_id, x.window_no, (x.pos - r.pos + {PERIOD}) % {PERIOD} AS shift, sum(x.n * r.n) AS sum FROM tally x JOIN ref r USING (doc_id, base) GROUP BY ALL
+), shifts AS MATERIALIZED (
+  SELECT h.doc_id, h.window_no, CAST(coalesce(shift, 0) AS INTEGER) AS shift FROM heights h
+  LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY doc_id, window_no ORDER BY sum DESC, shift) AS k FROM agree) a ON a.doc_id = h.doc_id AND a.window_no = h.window_no AND k = 1
+)"""
+
 ORACLE_SQL = {
     "harmonics": HARMONICS,
     "monomer_cut": f"SELECT doc_id, copy_no, copy FROM {COPIES} c",
@@ -140,7 +155,15 @@ ORACLE_SQL = {
     "plain_consensus": PLAIN,
     "fragment_filter": "SELECT l_orderkey, l_linenumber, l.l_suppkey, l_quantity AS len, l_linenumber AS cn FROM lineitem l JOIN (SELECT l_suppkey, quantile_cont(l_quantity, 0.5) AS m FROM lineitem GROUP BY 1) q ON q.l_suppkey = l.l_suppkey WHERE l_linenumber >= 2 AND l_quantity >= m / 2",
     "flattest_window": "WITH c AS (SELECT l_orderkey, l_linenumber AS i, sum(CAST(round_even(l_discount * 100, 0) AS INTEGER)) AS gap FROM lineitem GROUP BY 1, 2), w AS (SELECT l_orderkey, i, sum(gap) OVER v AS gaps, count(*) OVER v AS n, last_value(i) OVER v AS e FROM c WINDOW v AS (PARTITION BY l_orderkey ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (n < 3), CASE WHEN n = 3 THEN gaps END NULLS FIRST, i) AS k FROM w) SELECT l_orderkey, i AS start, e AS \"end\" FROM r WHERE k = 1",
-    "window_tally": f"SELECT doc_id, CAST(least(pos // 600, greatest(len // 600 - 1, 0)) AS BIGINT) AS window_no, CAST(pos % {PERIOD} AS INTEGER) AS pos, base, count(*) AS n FROM (SELECT doc_id, length(seq) AS len, i - 1 AS pos, substr(seq, i, 1) AS base FROM (SELECT doc_id, seq, unnest(range(1, length(seq) + 1)) AS i FROM {DNA} d0) d1) t GROUP BY 1, 2, 3, 4",
+    "window_tally": TALLY,
+    "window_shifts": f"{SHIFTS} SELECT * FROM shifts",
+    "rotated_consensus": f"""{SHIFTS}, c AS (
+  SELECT doc_id, (pos - shift + {PERIOD}) % {PERIOD} AS pos, sum(n) + 2 AS n, {", ".join(f"coalesce(sum(n) FILTER (WHERE base = '{b}'), 0) + 0.5 AS {b.lower()}" for b in "ACGT")} FROM tally JOIN shifts USING (doc_id, window_no) GROUP BY 1, 2
+), p AS (
+  SELECT doc_id, pos, {", ".join(f"CAST({b} AS DOUBLE) / CAST(n AS DOUBLE) AS {b}" for b in "acgt")} FROM c
+)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN a = greatest(a, c, g, t) THEN 'A' WHEN c = greatest(a, c, g, t) THEN 'C' WHEN g = greatest(a, c, g, t) THEN 'G' ELSE 'T' END AS base,
+  round(greatest(a, c, g, t), 6) AS share, round(-(a * log2(a) + c * log2(c) + g * log2(g) + t * log2(t)), 6) AS entropy FROM p""",
     "pattern_pivot": "SELECT o_orderstatus, " + ", ".join(f"min(CASE WHEN o_orderpriority = '{p}' THEN o_orderkey END) AS \"{p}_o_orderkey\", arg_min(o_custkey, o_orderkey) FILTER (o_orderpriority = '{p}') AS \"{p}_o_custkey\"" for p in PRIORITIES) + " FROM orders GROUP BY 1",
     "subrepeat_tier": TIER,
     "candidate_parse": f"SELECT l_orderkey, k, kind, round(period, 6) AS period, round(density, 6) AS density, round(contrast, 6) AS contrast, phase, label FROM {CANDIDATES} c",

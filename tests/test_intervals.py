@@ -52,6 +52,21 @@ def test_width_from_the_rows(spark, monkeypatch):
     assert got == [("a", 0, 994, 100), ("b", 5, 900, 1)]
 
 
+def test_adjacent_rows_across_bins(spark, monkeypatch):
+    from spanloom.operators import report
+
+    r = random.Random(8)
+    data = [(i, r.choice("ab"), s := r.randint(1, 60), s + r.randint(0, 2)) for i in range(300)]
+    df = spark.createDataFrame(data, "id int, seqid string, s long, e long").repartition(3)
+    want = []
+    for key in "ab":
+        rows = sorted((x for x in data if x[1] == key), key=lambda x: (x[2], x[0]))
+        want += [x for x, y in zip(rows, [*rows[1:], None], strict=True) if y is None or x[2:] != y[2:]]
+    for width in (None, 1, 7):
+        monkeypatch.setattr(report, "fit_width", lambda *_, width=width: width)
+        assert sorted(map(tuple, report.drop_adjacent(df, "seqid", "s", "e", ["id"], "id").collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_containment_against_all_pairs(spark, seed):
     data, outer = rows(seed, 40, 60), rows(seed + 50, 15, 60)
