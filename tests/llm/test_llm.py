@@ -462,9 +462,11 @@ def test_pipeline_stages(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, DATA).drop("slot").collect())) == sorted(map(tuple, shards.drop("slot").collect()))
 
 
-def test_near_duplicates_of_the_pipeline_are_all_pairs_of_similarity_08(spark):
+@pytest.mark.parametrize("block", [1024, 5])
+def test_near_duplicates_of_the_pipeline_are_all_pairs_of_similarity_08(spark, monkeypatch, block):
     import corpus_pipeline
 
+    monkeypatch.setattr(near_copies, "BLOCK", block)
     rng = np.random.default_rng(8)
     vocabulary = [f"w{i}" for i in range(3000)]
     stock = list(rng.choice(vocabulary, 40))  # a passage that all texts hold
