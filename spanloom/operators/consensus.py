@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,18 +185,30 @@ def rotated_tally(tally: DataFrame, shifts: DataFrame, seq_id: str, period: int)
 def harmonics(tally: DataFrame, seq_id: str, period: int, most: int = 5, pseudo: float = 0.5) -> DataFrame:
     """(seq_id, k, strength): for k from 2, the greatest share over the bases of the spectrum's magnitude at k cycles a period; 0 for short periods."""
     kind = tally.schema[seq_id].dataType.simpleString()
+    ks = range(2, most + 1)
+    cell = F.struct((F.col("pos") * 4 + F.array_position(F.array(*map(F.lit, LETTERS)), F.col("base")) - 1).cast("int").alias("at"), F.col("n").cast("double").alias("n"))
+    each = tally.groupBy(seq_id).agg(F.collect_list(cell).alias("c")).select(seq_id, F.transform("c", lambda x: x["at"]).alias("at"), F.transform("c", lambda x: x["n"]).alias("n"))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        counts = np.full((period, 4), pseudo)
-        counts[group["pos"].to_numpy(), [LETTERS.index(b) for b in group["base"]]] += group["n"]
-        share = counts / counts.sum(axis=1, keepdims=True)
-        size = np.abs(np.fft.rfft(share - share.mean(axis=0), axis=0))[1:]
-        total = size.sum(axis=0)
-        ks = range(2, most + 1)
-        strength = [0.0 if period < 2 * most else float(np.where(total > 1e-12, size[k - 1] / np.maximum(total, 1e-12), 0).max()) for k in ks]
-        return pd.DataFrame({seq_id: [group[seq_id].iloc[0]] * len(ks), "k": list(ks), "strength": strength})
-
-    return tally.groupBy(seq_id).applyInPandas(run, f"{seq_id} {kind}, k int, strength double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = max(1, FFT_CELLS // (4 * period))
+        for batch in batches:
+            for i in range(0, batch.num_rows, some):
+                part = batch.slice(i, some)
+                at, n = part.column(1), part.column(2)
+                counts = np.full((len(at), period * 4), pseudo)
+                rows = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy(zero_copy_only=False))
+                np.add.at(counts, (rows, at.flatten().to_numpy()), n.flatten().to_numpy())
+                counts = counts.reshape(-1, period, 4)
+                share = counts / counts.sum(axis=2, keepdims=True)
+                size = np.abs(np.fft.rfft(share - share.mean(axis=1, keepdims=True), axis=1))[:, 1:]
+                total = size.sum(axis=1)
+                strength = np.zeros((len(at), len(ks)))
+                if period >= 2 * most:
+                    strength = np.stack([np.where(total > 1e-12, size[:, k - 1] / np.maximum(total, 1e-12), 0).max(axis=1) for k in ks], axis=1)
+                owner = np.repeat(np.arange(len(at)), len(ks))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(np.tile(np.array(ks, np.int32), len(at))), pa.array(strength.ravel())], names=[seq_id, "k", "strength"])
+
+    return each.mapInArrow(run, f"`{seq_id}` {kind}, k int, strength double")
 
 
 def strong_components(follow: dict[str, list[str]]) -> list[list[str]]:
