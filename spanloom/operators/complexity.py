@@ -21,19 +21,23 @@ PIECE = 250_000
 def window_scores(codes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Score of the window at each start: pairs of equal triplets in it by the number of its triplets less one. A shorter text is one window.
 
-    Pairs are added up distance by distance from running counts, so the cost is text times window. Triplets with other letters than
-    A, C, G and T pair with none.
+    A window's pairs are those of the one before, with those of the triplet that enters and without those of the one that leaves; how often a
+    triplet stands among its neighbours is looked up in its own places. Triplets with other letters than A, C, G and T pair with none.
     """
     triplets = len(codes) - 2
     if triplets < 1:
         return np.zeros(0)
-    value = codes[:-2].astype(np.int64) * 25 + codes[1:-1] * 5 + codes[2:]
-    value = np.where((codes[:-2] < 4) & (codes[1:-1] < 4) & (codes[2:] < 4), value, -np.arange(1, triplets + 1))
+    known = (codes[:-2] < 4) & (codes[1:-1] < 4) & (codes[2:] < 4)
+    value = np.where(known, codes[:-2] * 16 + codes[1:-1] * 4 + codes[2:], 64).astype(np.uint8)
     wide = min(window - 2, triplets)
-    pairs = np.zeros(triplets - wide + 1, np.int64)
-    for apart in range(1, wide):
-        upto = np.r_[0, np.cumsum(value[apart:] == value[:-apart])]
-        pairs += upto[wide - apart :][: len(pairs)] - upto[: len(pairs)]
+    order = np.argsort(value, kind="stable")
+    order = order[: int(known.sum())]
+    key = value[order].astype(np.int64) * (triplets + wide) + order
+    rank = np.arange(len(key))
+    before, after = np.zeros(triplets, np.int64), np.zeros(triplets, np.int64)  # equal ones among the wide - 1 on either side
+    before[order] = rank - np.searchsorted(key, key - (wide - 1))
+    after[order] = np.searchsorted(key, key + (wide - 1), side="right") - 1 - rank
+    pairs = before[:wide].sum() + np.r_[0, np.cumsum(before[wide:] - after[: triplets - wide])]
     return pairs / max(1, wide - 1)
 
 
