@@ -70,3 +70,26 @@ def test_window_scores_by_counting_pairs():
         for i in range(len(triplets) - wide + 1 if triplets else 0):
             scores.append(sum(c * (c - 1) // 2 for c in Counter(triplets[i : i + wide]).values()) / max(1, wide - 1))
         assert C.window_scores(part).tolist() == scores
+
+
+def test_orientation_against_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART", 3)
+    rng, k = random.Random(8), 4
+    rows = [(rng.choice([1, 2, None]), i, "".join(rng.choices("acgtN€"[: rng.choice([4, 4, 5, 6])], k=rng.randint(0, 60)))) for i in range(60)] + [(1, 99, None), (2, None, "ACGT" * 3)]
+    back = lambda t: t.translate(str.maketrans(S.BASES, S.COMPLEMENTS))[::-1]
+
+    def half(t):
+        seen = [t[i : i + k] for i in range(len(t) - k + 1)]
+        counts = Counter(seen)
+        return sorted(counts, key=lambda x: (-counts[x], seen.index(x)))[: len(counts) // 2]
+
+    longest = {}
+    for g, i, t in rows:
+        if None not in (g, i, t):
+            longest[g] = min(longest.get(g, (0, i, "")), (-len(t), i, t.upper()))
+    df = spark.createDataFrame(rows, "grp int, id int, text string")
+    call = S.orientation(df, "grp", "id", "text", k)
+    for r in S.orientation(df, "grp", "id", "text", k).collect():
+        text = next((t for g, i, t in rows if (g, i) == (r.grp, r.id)), None)
+        votes = [sum(x in longest[r.grp][2] for x in half(s)) for s in (text.upper(), back(text.upper()))] if None not in (r.grp, r.id, text) else [0, 0]
+        assert r.forward == (votes[0] > votes[1])
