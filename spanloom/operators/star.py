@@ -74,22 +74,23 @@ def star_alignment(rows: DataFrame, key: str, seq: str, band: int = 24, centre:
     Letters are put in upper case; insertions are written from the left of their columns.
     """
     kind = rows.schema[key].dataType.simpleString()
-    usable = rows.where(F.col(seq).isNotNull() & F.col(key).isNotNull()).select(key, F.upper(F.col(seq)).alias("copy"))
+    usable = written(rows.where(F.col(seq).isNotNull() & F.col(key).isNotNull()).select(key, F.upper(F.col(seq)).alias("copy")))
     held = written(centre if centre is not None else centres(usable, key, "copy"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [against(c, t, band) for c, t in zip(batch["centre"], batch["copy"], strict=True)]
-            yield pd.DataFrame({key: batch[key], "row": [r for r, _ in found], "extra": [x for _, x in found]})
+            yield pd.DataFrame({key: batch[key], "row": [r for r, _ in found], "extra": [[{"at": i, "x": t} for i, t in enumerate(x) if t] for _, x in found]})
 
-    aligned = written(usable.join(held, key).mapInPandas(run, f"{key} {kind}, row string, extra array<string>"))
-    widths = aligned.select(key, F.posexplode("extra").alias("at", "x")).where("x <> ''").groupBy(key, "at").agg(F.max(F.length("x")).alias("w"))
+    aligned = written(usable.join(held, key).mapInPandas(run, f"{key} {kind}, row string, extra array<struct<at:int,x:string>>"))
+    widths = aligned.select(key, F.explode("extra").alias("e")).groupBy(key, F.col("e.at").alias("at")).agg(F.max(F.length("e.x")).alias("w"))
     columns = widths.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "w"))).alias("widths"))
 
-    def piece(x, i):
-        return F.concat(F.rpad(x, F.coalesce(F.col("widths")[i], F.lit(0)), "-"), F.substring(F.col("row"), i + 1, F.lit(1)))
+    def piece(i):
+        letters = F.filter("extra", lambda e: e["at"] == i)
+        return F.concat(F.rpad(F.coalesce(F.get(letters, 0)["x"], F.lit("")), F.coalesce(F.col("widths")[i], F.lit(0)), "-"), F.substring(F.col("row"), i + 1, F.lit(1)))
 
-    text = F.array_join(F.transform("extra", piece), "")
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.length("row")), piece), "")
     return aligned.join(columns, key, "left").withColumn("widths", F.coalesce("widths", F.create_map().cast("map<int,int>"))).select(key, text.alias("aligned"))
 
 
