@@ -136,3 +136,24 @@ def test_recall_of_planted_families(spark):
     got = {(h.q, h.s) for h in Y.similarity_hits(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect()}
     planted = {(a, b) for a in family for b in family if a < b and family[a] == family[b]}
     assert all(family[a] == family[b] for a, b in got) and len(got & planted) >= 0.9 * len(planted)
+
+
+def test_only_the_windows_of_a_pair_are_aligned():
+    rng = np.random.default_rng(5)
+    search = Y.Search(k=9, window=3, share=0.03, band=20)
+    short = "".join(rng.choice(list("ACGT"), 300))
+    changed = short[:100] + "GG" + short[100:200] + short[203:]
+    back = changed[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    around = ["".join(rng.choice(list("ACGT"), n)) for n in (7000, 5000)]
+    keys = lambda t: Y.Keys(*(k := Y.minimizers(Y.encoded(t), 9, 3, True)), len(k[0]), len(t))
+    for inside, forward in ((changed, True), (back, False)):
+        long = around[0] + inside + around[1]
+        for a, b in ((short, long), (long, short)):
+            found = Y.placed_pair(keys(a), keys(b), search)
+            assert found[0] is forward and max(found[3], found[5]) <= 300 + 2 * search.band
+            line = found[1] + found[2] - found[4]  # of the whole texts
+            other = Y.encoded(b) if forward else Y.reversed_complement(Y.encoded(b))
+            whole = Y.banded_alignments([(Y.encoded(a), other, line)], search.band)[0]
+            hit = Y.align_pairs([(a, b)], search)[0]
+            assert (hit[0], hit[2], hit[3], hit[4] - 1, hit[5] - 1) == tuple(whole[[0, 2, 3, 4, 5]])
+            assert (hit[6] - 1, hit[7] - 1) == (tuple(whole[6:]) if forward else (len(b) - 1 - whole[7], len(b) - 1 - whole[6]))
