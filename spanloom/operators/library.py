@@ -1,34 +1,104 @@
 """Search of a library in long sequences: common k-mers, chained by diagonal and position, of which the best chains are kept.
 
 Sequences are cut into overlapping pieces, and each k-mer belongs to the piece in which it starts, with its place in the whole
-sequence. Everything after that works on those places, so a search gives the same whole or in pieces, whatever their size. Chains
+sequence. Keys are worked out in Arrow batches, and those of a library that is small leave out all others there. Everything after that works on those places, so a search gives the same whole or in pieces, whatever their size. Chains
 are windows over (sequence, entry, strand, band of diagonals), and such a group is no longer than the entry and a band.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import reannotate
-from spanloom.operators.sequences import kmers, reverse_complement
+from spanloom.operators.letters import CHUNK
+from spanloom.operators.similarity import encoded
 from spanloom.operators.tandem import pieces
 from spanloom.session import written
 
 BROADCAST_ROWS = 500_000
 BIN = 4096
-
-
-def placed_kmers(seqs: DataFrame, seq_id: str, seq: str, k: int, piece: int, sample: int = 1) -> DataFrame:
+BITS = 22  # of the table in which keys are looked up first
+
+
+def kmer_keys(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, key, ahead) of the k-mers of A, C, G and T in letters coded 0 to 3 (4 for others): the lesser of a k-mer and its reverse complement, as a number."""
+    n = len(codes) - k + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    # runs of 1, 2, 4, ... letters are put together to k
+    run, turned, size = (codes & 3).astype(np.int64), (3 - (codes & 3)).astype(np.int64), 1
+    ahead, back, done = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+    while True:
+        if k & size:
+            ahead = ahead << 2 * size | run[done : done + n]
+            back |= turned[done : done + n] << 2 * done
+            done += size
+        if done == k:
+            break
+        run, turned = run[:-size] << 2 * size | run[size:], turned[:-size] | turned[size:] << 2 * size
+        size *= 2
+    other = np.r_[0, np.cumsum(codes > 3)]
+    at = np.flatnonzero(other[k:] == other[:-k])
+    ahead, back = ahead[at], back[at]
+    return at, np.minimum(ahead, back), ahead <= back
+
+
+class Known:
+    """Some keys, looked up by a table of bits of their hashes first."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.unique(keys.astype(np.int64))
+        self.bits = np.zeros(1 << BITS, bool)
+        self.bits[self._hashed(self.keys)] = True
+
+    @staticmethod
+    def _hashed(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where a known key stands."""
+        maybe = np.flatnonzero(self.bits[self._hashed(keys)])
+        if not len(self.keys):
+            return maybe
+        return maybe[self.keys[np.minimum(np.searchsorted(self.keys, keys[maybe]), len(self.keys) - 1)] == keys[maybe]]
+
+
+def placed_kmers(seqs: DataFrame, seq_id: str, seq: str, k: int, piece: int, sample: int = 1, known: np.ndarray | None = None) -> DataFrame:
     """(seq_id, pos, key, ahead): k-mers of A, C, G and T with their 0-based places; the key is the lesser of a k-mer and its reverse complement.
 
-    ``sample`` keeps one key in so many, by a hash of the key, so two texts keep the same ones.
+    Keys are numbers of two bits a letter, so k is 31 at most. ``sample`` keeps one key in so many, by a hash of the key, so two texts
+    keep the same ones. With ``known`` only these keys leave a task, and not a row a letter.
     """
+    if not 1 <= k <= 31:
+        raise ValueError("k is from 1 to 31")
+    kind = seqs.schema[seq_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None if known is None else Known(known)
+        for batch in batches:
+            ends = np.cumsum(batch.column("size").to_numpy(zero_copy_only=False)) // CHUNK
+            for part in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(ends)) + 1):
+                rows = batch.take(pa.array(part))
+                texts = rows.column("text").to_pylist()
+                starts = np.cumsum([0, *(len(t) + 1 for t in texts)])  # a letter that breaks k-mers stands between texts
+                at, key, ahead = kmer_keys(encoded("-".join(texts)), k)
+                if wanted is not None:
+                    found = wanted.find(key)
+                    at, key, ahead = at[found], key[found], ahead[found]
+                owner = np.searchsorted(starts, at, side="right") - 1
+                at = at - starts[owner]
+                mine = np.flatnonzero(at < rows.column("own").to_numpy(zero_copy_only=False)[owner])
+                pos = (at + rows.column("at").to_numpy(zero_copy_only=False)[owner])[mine]
+                yield pa.RecordBatch.from_arrays([rows.column(seq_id).take(pa.array(owner[mine])), pa.array(pos), pa.array(key[mine]), pa.array(ahead[mine])], names=[seq_id, "pos", "key", "ahead"])
+
     upper = seqs.select(seq_id, F.upper(F.col(seq)).alias("seq"))
-    each = pieces(upper, seq_id, "seq", piece, k).select(seq_id, "at", "own", F.posexplode(kmers(F.col("text"), k)).alias("i", "kmer"))
-    each = each.where((F.col("i") < F.col("own")) & ~F.rlike("kmer", F.lit("[^ACGT]")))
-    back = reverse_complement(F.col("kmer"))
-    rows = each.select(seq_id, (F.col("at") + F.col("i")).alias("pos"), F.least("kmer", back).alias("key"), (F.col("kmer") <= back).alias("ahead"))
+    each = pieces(upper, seq_id, "seq", piece, k).select(seq_id, "at", "own", "text", F.length("text").alias("size"))
+    rows = each.mapInArrow(run, f"`{seq_id}` {kind}, pos long, key long, ahead boolean")
     return rows if sample == 1 else rows.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0)
 
 
@@ -40,11 +110,14 @@ def chains(seqs: DataFrame, library: DataFrame, seq_id: str = "seqid", seq: str
     """
     index = placed_kmers(library, entry, seq, k, piece, sample).select(F.col(entry), F.col("pos").alias("off"), "key", F.col("ahead").alias("along"))
     index = written(index)
-    index = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
+    small = index.count() <= BROADCAST_ROWS
+    known = index.select("key").distinct().toPandas()["key"].to_numpy(np.int64) if small else None
+    index = F.broadcast(index) if small else index
+    seqs = written(seqs.select(seq_id, F.upper(F.col(seq)).alias(seq)))  # read for the short and for the long ones
     same = F.col("ahead") == F.col("along")
     line = F.when(same, F.col("pos") - F.col("off")).otherwise(F.col("pos") + F.col("off"))
     first = F.floor(line / band)
-    met = placed_kmers(seqs, seq_id, seq, k, piece, sample).join(index, "key")
+    met = placed_kmers(seqs, seq_id, seq, k, piece, sample, known).join(index, "key")
     seeds = met.select(seq_id, entry, F.when(same, "+").otherwise("-").alias("strand"), "pos", "off", F.explode(F.array(first, first - 1)).alias("cell"))
     group = [seq_id, entry, "strand", "cell"]
     order = Window.partitionBy(*group).orderBy("pos", "off")

@@ -48,3 +48,22 @@ def test_sampled_keys_are_a_part_of_all(spark):
     some = {tuple(x) for x in L.placed_kmers(seqs, "seqid", "seq", 11, 77, sample=4).collect()}
     assert some < every and 0.15 < len(some) / len(every) < 0.35
     assert L.library_hits(seqs.where("false"), spark.createDataFrame(entries, "entry int, name string, seq string")).count() == 0
+
+
+def test_keys_leave_a_task_only_where_the_library_has_them(spark):
+    rows, _, _ = planted(7)
+    text = dna(random.Random(1), 3000) + "nRy" + dna(random.Random(2), 40)
+    seqs = spark.createDataFrame([x for x in rows if x[0] is not None] + [(20, text)], "seqid int, seq string").repartition(2)
+    for k in (1, 5, 16, 31):
+        want = set()
+        for key, seq in [x for x in rows if x[0] is not None and x[1]] + [(20, text)]:
+            upper = seq.upper()
+            for i in range(len(upper) - k + 1):
+                kmer = upper[i : i + k]
+                if not set(kmer) - set("ACGT"):
+                    back = kmer[::-1].translate(COMPLEMENT)
+                    want.add((key, i, sum("ACGT".index(c) << 2 * (k - 1 - j) for j, c in enumerate(min(kmer, back))), kmer <= back))
+        assert {tuple(x) for x in L.placed_kmers(seqs, "seqid", "seq", k, 400).collect()} == want
+        known = L.np.array(sorted({x[2] for x in want})[::7])
+        assert {tuple(x) for x in L.placed_kmers(seqs, "seqid", "seq", k, 400, known=known).collect()} == {x for x in want if x[2] in set(known.tolist())}
+    assert L.placed_kmers(seqs, "seqid", "seq", 16, 400, known=L.np.zeros(0, "int64")).count() == 0
