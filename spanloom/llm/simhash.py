@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from spanloom.llm.columns import set_apart
 from spanloom.operators.graph import connected_components
 from spanloom.llm.workers import released
-from spanloom.session import cut
+from spanloom.session import cut, releasing
 
 SEED = 42
 MAX_BITS = 4
@@ -283,6 +283,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keep_named(docs, near_duplicate_classes(docs, id_col, text_col, **how), id_col, text_col)
 
 
+@releasing
 def keep_named(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``keep_one_of_each`` for classes given as (doc_id, component_id).
 
