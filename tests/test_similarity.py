@@ -157,3 +157,51 @@ def test_only_the_windows_of_a_pair_are_aligned():
             hit = Y.align_pairs([(a, b)], search)[0]
             assert (hit[0], hit[2], hit[3], hit[4] - 1, hit[5] - 1) == tuple(whole[[0, 2, 3, 4, 5]])
             assert (hit[6] - 1, hit[7] - 1) == (tuple(whole[6:]) if forward else (len(b) - 1 - whole[7], len(b) - 1 - whole[6]))
+
+
+def test_score_without_a_way_back_is_that_of_the_alignment():
+    r, rng = random.Random(8), np.random.default_rng(8)
+    for size, band in ((60, 5), (90, 32), (600, 16)):
+        texts = [("".join(rng.choice(list("ACGT"), r.randint(1, size)))) for _ in range(40)]
+        pairs = [(Y.encoded(t), Y.encoded(mutated(r, t, 0.2) if i % 2 else texts[i - 1]), r.randint(-3, 3)) for i, t in enumerate(texts)]
+        rows, wide = max(len(a) for a, _, _ in pairs), 2 * band + 1
+        left, right = np.full((rows, len(pairs)), 5, np.uint8), np.full((rows + wide, len(pairs)), 6, np.uint8)
+        for p, (a, b, d) in enumerate(pairs):
+            left[: len(a), p] = a
+            kept = b[max(0, -d - band) : max(0, rows - d + band + 1)]
+            right[max(0, d + band) :, p][: len(kept)] = kept
+        score, first, last = Y.reach(left, right, band)
+        whole = Y.banded_alignments(pairs, band)
+        assert (score == whole[:, 0]).all() and (last == whole[:, 5])[score > 0].all() and (first <= whole[:, 4])[score > 0].all()
+
+
+def test_many_pairs_are_placed_as_one_by_one():
+    search = Y.Search(k=7, window=3, share=0.1, band=12)
+    texts = [t for _, t in families(4, 60) if t]
+    sides = [Y.minimizers(Y.encoded(t), search.k, search.window, True) for t in texts]
+    ends = np.cumsum([0, *(len(k[0]) for k in sides)])
+    keys, at, ahead = (np.concatenate([k[c] for k in sides]) for c in range(3))
+    x, y = (v.ravel() for v in np.triu_indices(len(texts), 1))
+    kept, *rest = Y._places(x, y, np.diff(ends), np.array([len(t) for t in texts]), ends, np.unique(keys, return_inverse=True)[1], at.astype(np.int64), ahead, search)
+    one = [Y.Keys(*k, len(k[0]), len(t)) for k, t in zip(sides, texts, strict=True)]
+    want = {p: f for p, (i, j) in enumerate(zip(x, y, strict=True)) if (f := Y.placed_pair(one[i], one[j], search))}
+    assert len(want) > 100 and {p: (bool(f), *map(int, v)) for p, f, *v in zip(kept.tolist(), *rest, strict=True)} == want
+
+
+def test_a_frequent_key_and_long_texts(spark):
+    """Pairs of a hub are dealt to parts, each pair once; long windows, which go to tasks of their own, give the hits that all pairs compared give."""
+    rng, r = np.random.default_rng(2), random.Random(2)
+    dna = lambda n: "".join(rng.choice(list("ACGT"), n))
+    line, long = dna(70), dna(6000)
+    rows = [(i, dna(r.randint(5, 60)) + line + dna(r.randint(5, 200))) for i in range(300)]
+    rows += [(1000 + i, t) for i, t in enumerate([long, mutated(r, long, 0.05), complement(mutated(r, long, 0.05)), dna(3000) + long[:1500], dna(500) + long])]
+    search = Y.Search(k=13, window=8, share=0.2, band=24, min_identity=80.0)
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    pairs = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1 :]]
+    want = {(a[0], b[0]): h for (a, b), h in zip(pairs, Y.align_pairs([(a[1], b[1]) for a, b in pairs], search), strict=True) if h}
+    assert sum(q >= 1000 for q, _ in want) >= 5 and len(want) > 50
+    assert {(h.q, h.s): tuple(h)[2:] for h in Y.similarity_hits(df, "id", "text", search).collect()} == want
+    nodes = df.selectExpr("cast(id as long) node", "text seq")
+    found, _ = Y.candidate_pairs(Y.shared_keys(nodes, search), search)
+    met = [tuple(sorted((p, row.node))) for row in found.collect() for p in row.others]
+    assert len(met) == len(set(met)) and set(met) >= set(want)
