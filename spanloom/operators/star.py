@@ -2,7 +2,7 @@
 
 The centre is one copy of a stack; every other is aligned to it end to end, with insertions and deletions. What a copy has between two letters of the centre
 stands in columns of its own, as many as the widest insertion there, so all rows of a stack get one length and
-``stack_consensus`` reads them. Copies are aligned apart from each other: a stack's rows never meet in one task, only its centre and
+``stack_consensus`` reads them. A copy that repeats is aligned once. Copies are aligned apart from each other: a stack's rows never meet in one task, only its centre and
 the widths of its insertions go to them.
 """
 
@@ -20,6 +20,7 @@ from spanloom.session import written
 
 MATCH, MISMATCH, GAP = 2, -2, 3
 FAR = np.iinfo(np.int32).min // 2
+CELLS, SIDE = 1 << 25, 1024  # of alignments that are held at a time, a byte each; alignments side by side
 
 
 def against(centre: str, copy: str, band: int = 24) -> tuple[str, list[str]]:
@@ -61,6 +62,88 @@ def against(centre: str, copy: str, band: int = 24) -> tuple[str, list[str]]:
     return "".join(row), inserted
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _side_by_side(pairs: list[tuple[str, str]], band: int) -> list[tuple[str, list[str]]]:
+    """``against`` of pairs that stand along the last axis. Of each cell a byte says the way back: 1 a letter over a letter, 2 a gap in the copy, 0 an insertion.
+
+    Columns before a copy's first letter stay out of reach, as every way to them begins there, and no way leads back from those behind its
+    last one; so only the steps beyond a pair's own band are told apart.
+    """
+    count = len(pairs)
+    n, m = (np.array([len(x[i]) for x in pairs]) for i in (0, 1))
+    low, wides = np.minimum(0, m - n) - band, np.abs(m - n) + 2 * band + 1
+    rows, wide = int(n.max()), int(wides.max())
+    left, right = np.zeros((rows, count), np.uint32), np.zeros((rows + wide, count), np.uint32)
+    for p, (a, b) in enumerate(pairs):
+        left[: len(a), p] = _points(a)
+        points = _points(b)[: rows + wide + low[p]]
+        right[-low[p] : len(points) - low[p], p] = points  # the copy's letter before column j stands at j - 1 - low
+    step = np.arange(wide, dtype=np.int32)[:, None]
+    beyond = step >= wides
+    slope = np.repeat(GAP * step, count, axis=1)
+    table = np.full((wide + 1, count), FAR, np.int32)
+    table[:wide] = np.where((low + step >= 0) & ~beyond, -GAP * (low + step), FAR)
+    ways = np.zeros((rows, wide, count), np.uint8)
+    now, up, most = (np.empty((wide, count), np.int32) for _ in range(3))
+    steps = list(most)
+    for i in range(rows):
+        np.multiply(right[i : i + wide] == left[i], np.int32(MATCH - MISMATCH), out=now, dtype=np.int32, casting="unsafe")
+        now += table[:wide]
+        now += np.int32(MISMATCH)
+        np.subtract(table[1:], np.int32(GAP), out=up)
+        np.maximum(now, up, out=most)
+        most += slope
+        for last, one in zip(steps, steps[1:], strict=False):
+            np.maximum(one, last, out=one)
+        np.subtract(most, slope, out=most)
+        np.copyto(ways[i], np.where(most == now, 1, np.where(most == up, 2, 0)), casting="unsafe")
+        table[:wide] = most
+        np.copyto(table[:wide], FAR, where=beyond)
+    taken = np.full((rows, count), -1, np.int64)
+    p, i, o = np.arange(count), n.copy(), m - n - low
+    added = []
+    while len(p):
+        j = i + low[p] + o
+        todo = (i > 0) | (j > 0)
+        if not todo.all():
+            p, i, o, j = p[todo], i[todo], o[todo], j[todo]
+        way = np.where(i > 0, ways[np.maximum(i - 1, 0), o, p], 0)
+        over = way == 1
+        taken[i[over] - 1, p[over]] = j[over] - 1
+        new = way == 0
+        added.append(np.stack([p[new], i[new], j[new] - 1]))
+        i, o = i - (way > 0), o + (way == 2) - new
+    owner, at, letter = np.concatenate(added, axis=1)
+    out = [(["-"] * k, [""] * (k + 1)) for k in n.tolist()]
+    for k, (_, copy) in enumerate(pairs):
+        row = out[k][0]
+        for c, x in enumerate(taken[: n[k], k].tolist()):
+            if x >= 0:
+                row[c] = copy[x]
+    for k, c, x in zip(owner[::-1].tolist(), at[::-1].tolist(), letter[::-1].tolist(), strict=True):  # the first ones last, as seen from the end
+        out[k][1][c] += pairs[k][1][x]
+    return [("".join(row), extra) for row, extra in out]
+
+
+def all_against(pairs: list[tuple[str, str]], band: int = 24) -> list[tuple[str, list[str]]]:
+    """``against`` of each (centre, copy); those of like length together, and a copy equal to its centre is that."""
+    out: list = [(c, [""] * (len(c) + 1)) if c == t else None for c, t in pairs]
+    wide = [abs(len(t) - len(c)) + 2 * band + 1 for c, t in pairs]
+    todo = sorted((i for i, found in enumerate(out) if found is None), key=lambda i: (wide[i] // 64, len(pairs[i][0])))
+    while todo:
+        rows, across = len(pairs[todo[-1]][0]), wide[todo[-1]]
+        part, most = [], max(1, CELLS // ((rows + 1) * (across + 64)))
+        while todo and len(part) < min(SIDE, most) and wide[todo[-1]] // 64 == across // 64 and 2 * len(pairs[todo[-1]][0]) + 64 >= rows:
+            part.append(todo.pop())
+        found = _side_by_side([pairs[i] for i in part], band) if 10 * len(part) > across else [against(*pairs[i], band) for i in part]
+        for i, one in zip(part, found, strict=True):
+            out[i] = one
+    return out
+
+
 def centres(rows: DataFrame, key: str, seq: str) -> DataFrame:
     """(key, centre): the commonest copy; of equally common ones the one of the length nearest to the median, then the first by text."""
     middle = rows.groupBy(key).agg(F.percentile(F.length(seq), 0.5).alias("__m"))
@@ -79,19 +162,30 @@ def star_alignment(rows: DataFrame, key: str, seq: str, band: int = 24, centre:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [against(c, t, band) for c, t in zip(batch["centre"], batch["copy"], strict=True)]
-            yield pd.DataFrame({key: batch[key], "row": [r for r, _ in found], "extra": [[{"at": i, "x": t} for i, t in enumerate(x) if t] for _, x in found]})
+            found = all_against(list(zip(batch["centre"], batch["copy"], strict=True)), band)
+            yield pd.DataFrame({key: batch[key], "times": batch["times"], "row": [r for r, _ in found], "extra": [[{"at": i, "x": t} for i, t in enumerate(x) if t] for _, x in found]})
 
-    aligned = written(usable.join(held, key).mapInPandas(run, f"{key} {kind}, row string, extra array<struct<at:int,x:string>>"))
+    distinct = usable.groupBy(key, "copy").agg(F.count("*").alias("times"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes make much work
+    aligned = written(distinct.join(held, key).repartition(tasks, key, "copy").mapInPandas(run, f"{key} {kind}, times long, row string, extra array<struct<at:int,x:string>>"))
     widths = aligned.select(key, F.explode("extra").alias("e")).groupBy(key, F.col("e.at").alias("at")).agg(F.max(F.length("e.x")).alias("w"))
-    columns = widths.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "w"))).alias("widths"))
+    columns = widths.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("widths"))
+    wide = aligned.join(columns, key, "left").select(key, "times", "row", "extra", F.coalesce("widths", F.array().cast("array<struct<at:int,w:int>>")).alias("widths"))
 
-    def piece(i):
-        letters = F.filter("extra", lambda e: e["at"] == i)
-        return F.concat(F.rpad(F.coalesce(F.get(letters, 0)["x"], F.lit("")), F.coalesce(F.col("widths")[i], F.lit(0)), "-"), F.substring(F.col("row"), i + 1, F.lit(1)))
-
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.length("row")), piece), "")
-    return aligned.join(columns, key, "left").withColumn("widths", F.coalesce("widths", F.create_map().cast("map<int,int>"))).select(key, text.alias("aligned"))
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = []
+            for row, extra, found in zip(batch["row"], batch["extra"], batch["widths"], strict=True):
+                own, pieces, done = {x["at"]: x["x"] for x in extra}, [], 0
+                for column in found:
+                    at = column["at"]
+                    pieces += [row[done:at], own.get(at, "").ljust(column["w"], "-")]
+                    done = at
+                texts.append("".join(pieces) + row[done:])
+            yield pd.DataFrame({key: batch[key], "times": batch["times"], "aligned": texts})
+
+    whole = wide.mapInPandas(spread, f"{key} {kind}, times long, aligned string")
+    return whole.select(key, "aligned", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("time")).drop("time")
 
 
 def star_consensus(rows: DataFrame, key: str, seq: str, max_gap: float = 0.5, least: float = 0.4, **how) -> DataFrame:

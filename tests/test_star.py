@@ -32,6 +32,19 @@ def test_alignment_to_the_centre(seed):
         assert score == plain_score(a, b)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_alignments_side_by_side_are_those_of_one_by_one(seed):
+    r = random.Random(seed)
+    pairs = []
+    for _ in range(150):
+        a = dna(r, r.choice([0, 1, r.randint(0, 30), r.randint(100, 160)]))
+        pairs.append((a, a if r.random() < 0.2 else mutated(r, a, 0.3) if r.random() < 0.8 else dna(r, r.randint(0, 60))))
+    pairs.append(("aé\U0001f600b", "é\U0001f600xb"))
+    for band in (2, 24):
+        want = [star.against(a, b, band) for a, b in pairs]
+        assert star.all_against(pairs, band) == want and star._side_by_side(pairs, band) == want
+
+
 def test_unequal_copies_give_the_planted_consensus(spark):
     r = random.Random(2)
     monomers = {k: dna(r, n) for k, n in (("a", 180), ("b", 60), ("c", 33))}
